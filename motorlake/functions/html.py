@@ -38,7 +38,7 @@ def title(html: Column) -> Column:
 
 def _whole_number(run: Column, kind: str) -> Column:
     """Digits with plain or no-break spaces; any other inner space is no number."""
-    joined = F.translate(run, "  ", "")
+    joined = F.translate(run, " \u00a0", "")
     return strip(joined).try_cast(kind)
 
 
