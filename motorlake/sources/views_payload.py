@@ -2,32 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from motorlake.functions.values import digits_id, view_count
 
 
-def read_entries(payloads: DataFrame, body: str = "body") -> DataFrame:
+def payload_shape(body: Column) -> Column:
+    """'ok', 'empty' (no ``data``), 'not_an_object' or 'unreadable'."""
+    parsed = F.try_parse_json(body)
+    data = F.try_variant_get(parsed, "$.data", "variant")
+    return (
+        F.when(parsed.isNull(), "unreadable")
+        .when(data.isNull(), "empty")
+        .when(F.schema_of_variant(data).startswith("OBJECT"), "ok")
+        .otherwise("not_an_object")
+    )
+
+
+def read_entries(payloads: DataFrame, body: str = "body", carry: list[str] = ()) -> DataFrame:
     """One row per map entry: (id_text, value, raw). Bad shapes yield no rows."""
     parsed = payloads.select(
+        *carry,
         F.from_json(F.col(body), "struct<data:map<string,variant>>")["data"].alias("_values"),
         F.from_json(F.col(body), "struct<data:map<string,string>>")["data"].alias("_raw"),
     )
-    return parsed.select(F.explode("_values").alias("id_text", "value"), "_raw").select(
-        "id_text", "value", F.try_element_at("_raw", F.col("id_text")).alias("raw")
+    return parsed.select(*carry, F.explode("_values").alias("id_text", "value"), "_raw").select(
+        *carry, "id_text", "value", F.try_element_at("_raw", F.col("id_text")).alias("raw")
     )
 
 
-def rejected_payloads(payloads: DataFrame, body: str = "body") -> DataFrame:
-    """Payloads whose ``data`` is present but no object, and unreadable ones."""
-    data = F.from_json(F.col(body), "struct<data:map<string,variant>>")["data"]
-    return payloads.where(data.isNull())
-
-
-def view_counts(payloads: DataFrame, body: str = "body") -> DataFrame:
+def view_counts(payloads: DataFrame, body: str = "body", carry: list[str] = ()) -> DataFrame:
     """(listing_id, views); entries without a usable id or count are skipped."""
-    entries = read_entries(payloads, body)
+    entries = read_entries(payloads, body, carry)
     return entries.select(
-        digits_id(F.col("id_text")).alias("listing_id"), view_count(F.col("value"), F.col("raw")).alias("views")
+        *carry,
+        digits_id(F.col("id_text")).alias("listing_id"), view_count(F.col("value"), F.col("raw")).alias("views"),
     ).where(F.col("listing_id").isNotNull() & F.col("views").isNotNull())
