@@ -200,7 +200,7 @@ view("vcounts", "", """
   FROM events WHERE event_id % 11 IN (0, 1, 2, 3, 4, 5)""")
 
 view("outs", "obs", """
-  SELECT CAST(fetched_at AS DATE) AS run, listing_id, fetched_at AS at,
+  SELECT CAST(fetched_at AS DATE) AS run, listing_id, fetched_at AS "at",
          CASE kind WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'blocked' WHEN 'view' THEN 'duplicate' ELSE 'parsed' END AS outcome,
          CASE WHEN kind IN ('click', 'purchase') THEN 200 WHEN kind = 'error' THEN 404 END AS http_status,
          CASE WHEN kind = 'error' THEN 'HTTP 404 for event ' || event_id END AS error

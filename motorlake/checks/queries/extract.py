@@ -166,8 +166,8 @@ def http_status_maps(t):
 
 
 @query("A9", """
-  SELECT run::VARCHAR AS run, error_count, recency, at, listing_id, error FROM (
-    SELECT *, count(*) OVER (PARTITION BY run) AS error_count, row_number() OVER (PARTITION BY run ORDER BY at DESC, listing_id DESC) AS recency
+  SELECT run::VARCHAR AS run, error_count, recency, "at", listing_id, error FROM (
+    SELECT *, count(*) OVER (PARTITION BY run) AS error_count, row_number() OVER (PARTITION BY run ORDER BY "at" DESC, listing_id DESC) AS recency
     FROM outs WHERE error IS NOT NULL) q WHERE recency <= 10""", "outs")
 def recent_errors_per_run(t):
     return recent_errors(B.outcomes(t), "run").withColumn("recency", F.col("recency").cast("bigint"))

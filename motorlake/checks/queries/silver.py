@@ -20,7 +20,8 @@ _CURRENT = [
     "body_type", "engine_volume_l", "engine_type", "transmission", "steering", "customs_cleared", "seller_name",
     "seller_type", "first_seen_at", "last_seen_at", "is_active",
 ]
-_CURRENT_SQL = ", ".join(_CURRENT)
+_MONEY = ("price_kzt", "engine_volume_l")
+_CURRENT_SQL = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in _MONEY else c for c in _CURRENT)
 
 
 def _good(t):

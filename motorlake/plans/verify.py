@@ -109,7 +109,7 @@ def publish_report(gold: Gold) -> DataFrame:
     span = facts.agg(F.count_distinct("listing_id").alias("u"), F.max("date_key").cast("bigint").alias("k"))
     summary = span.select(F.inline(F.array(
         F.struct(F.lit("unique_listings").alias("probe"), F.lit("fact_listing_daily").alias("label"), F.col("u").alias("value")),
-        F.struct(F.lit("latest_date_key"), F.lit("fact_listing_daily"), F.col("k")),
+        F.struct(F.lit("latest_date_key").alias("probe"), F.lit("fact_listing_daily").alias("label"), F.col("k").alias("value")),
     )))
     makes = top_makes(facts, gold.dim_vehicle).select(F.lit("top_make").alias("probe"), F.col("make").alias("label"), F.col("n").alias("value"))
     return Q.combine([counts, summary, makes])
