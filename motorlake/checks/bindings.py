@@ -8,6 +8,7 @@ DataFrame here and as a SQL text in ``oracle_views``, written independently.
 from __future__ import annotations
 
 import datetime as dt
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 from motorlake.functions.text import listing_url
 from motorlake.plans import gold as G
 from motorlake.plans import silver as S
-from motorlake.schemas import PARSED, STRINGS
-from motorlake.session import configure
+from motorlake.schemas import GOLD_ORDER, LOCATION_COLUMNS, PARSED, SELLER_COLUMNS, VEHICLE_COLUMNS
+from motorlake.session import configure, staged
 from motorlake.sources.calendar import calendar_around
 
 AS_OF = dt.date(2024, 1, 30)
@@ -25,13 +26,17 @@ BASE_URL = "https://cars.example"
 
 
 class Tables:
-    """The given tables of one folder."""
+    """The given tables of one folder; each is opened on first use."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = configure(spark), folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name.startswith("_"):
+            raise AttributeError(name)
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
 
 def observations(t: Tables) -> DataFrame:
@@ -84,43 +89,56 @@ def places(t: Tables) -> DataFrame:
 
 def records(t: Tables) -> DataFrame:
     """Observations with the full listing record; every fifth listing moves at SPLIT."""
-    moved = ((F.col("listing_id") % 5 == 0) & (F.col("fetched_at") >= F.lit(SPLIT).cast("timestamp"))).cast("int")
-    rows = (
-        observations(t).withColumn("place", ((F.col("listing_id") + moved) % 25).cast("int"))
-        .join(attributes(t), "listing_id").join(places(t), "place")
+    split = f"TIMESTAMP '{SPLIT}'"
+    placed = observations(t).selectExpr(
+        "*", f"CAST((listing_id + IF(listing_id % 5 = 0 AND fetched_at >= {split}, 1, 0)) % 25 AS INT) AS place"
     )
-    ok = F.col("http_status") < 400
+    rows = placed.join(attributes(t), "listing_id").join(places(t), "place")
     own = {
-        "url": listing_url(BASE_URL, F.col("listing_id")),
-        "title": F.concat_ws(" ", "make", "model", "trim"),
-        "city": F.when(F.col("listing_id") % 29 != 7, F.col("city")),
-        "options_list": F.array().cast(STRINGS),
-        "photos": F.array().cast(STRINGS),
-    }
-    unset = ["generation", "drivetrain", "color", "options_text"]
-    full = rows.select(
-        "listing_id", "fetched_at", "http_status",
-        *[
-            F.when(ok, own.get(f.name, F.lit(None) if f.name in unset else F.col(f.name))).cast(f.dataType).alias(f.name)
-            if f.name not in ("listing_id", "price_kzt", "engine_volume_l")
-            else F.when(ok, F.col(f.name)).alias(f.name)
-            for f in PARSED.fields if f.name != "listing_id"
-        ],
-    )
-    return full.withColumn("payload_hash", F.lit(None).cast("string"))
+        "url": f"concat('{BASE_URL}/a/show/', listing_id)",
+        "title": "concat_ws(' ', make, model, trim)",
+        "city": "IF(listing_id % 29 != 7, city, NULL)",
+        "options_list": "CAST(array() AS ARRAY<STRING>)",
+        "photos": "CAST(array() AS ARRAY<STRING>)",
+    } | dict.fromkeys(["generation", "drivetrain", "color", "options_text"], "CAST(NULL AS STRING)")
+    record = [f"IF(http_status < 400, {own.get(name, name)}, NULL) AS {name}" for name in PARSED.names[1:]]
+    return rows.selectExpr("listing_id", "fetched_at", "http_status", *record, "CAST(NULL AS STRING) AS payload_hash")
 
 
 def before_split() -> Column:
     return F.col("fetched_at") < F.lit(SPLIT).cast("timestamp")
 
 
-def silver(t: Tables) -> S.Silver:
+class SilverLake:
+    """Silver tables of the fetches selected by ``where``, each built on first use.
+
+    As in a real run, a table that others build on is written once and read back.
+    """
+
+    def __init__(self, t: Tables, where: Column | None = None):
+        self._rows = records(t) if where is None else records(t).where(where)
+        self._none = S.empty_silver(t.spark)
+
+    @cached_property
+    def current(self) -> DataFrame:
+        return staged(S.merge_current(self._none.current, self._rows), "current")
+
+    @cached_property
+    def snapshots(self) -> DataFrame:
+        return S.merge_snapshots(self._none.snapshots, self._rows)
+
+    @cached_property
+    def price_events(self) -> DataFrame:
+        return S.batch_price_events(self._none.current, self._rows)
+
+
+def silver(t: Tables) -> SilverLake:
     """All silver tables, from the whole history."""
-    return S.from_history(t.spark, records(t))
+    return SilverLake(t)
 
 
-def silver_at_split(t: Tables) -> S.Silver:
-    return S.from_history(t.spark, records(t).where(before_split()))
+def silver_at_split(t: Tables) -> SilverLake:
+    return SilverLake(t, before_split())
 
 
 def silver_two_steps(t: Tables) -> S.Silver:
@@ -132,13 +150,72 @@ def calendar(t: Tables) -> DataFrame:
     return calendar_around(t.spark, AS_OF)
 
 
-def gold(t: Tables) -> G.Gold:
-    return G.build_gold(G.empty_gold(t.spark), silver(t), calendar(t))
+def dimensions(t: Tables, current: DataFrame) -> G.Gold:
+    """The dimensions of a current state, written before facts point at them."""
+    return staged_dimensions(G.grow_dimensions(G.empty_gold(t.spark), current, calendar(t)))
+
+
+def staged_dimensions(gold: G.Gold) -> G.Gold:
+    written = {n: staged(df, n) for n, df in gold.tables().items() if n in ("dim_location", "dim_vehicle", "dim_seller")}
+    return replace(gold, **written)
+
+
+class GoldLake:
+    """Gold tables after merging silver tables into ``before``, each built on first use."""
+
+    def __init__(self, before, silver_tables, days: DataFrame):
+        self._before, self._silver, self._days = before, silver_tables, days
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return G.grow_calendar(self._before.dim_date, self._days)
+
+    def _grown(self, name: str, rows: DataFrame, keys: list[str], key: str) -> DataFrame:
+        return staged(G.grow_dimension(getattr(self._before, name), rows, keys, key), name)
+
+    @cached_property
+    def dim_location(self) -> DataFrame:
+        return self._grown("dim_location", G.location_rows(self._silver.current), LOCATION_COLUMNS, "location_key")
+
+    @cached_property
+    def dim_vehicle(self) -> DataFrame:
+        return self._grown("dim_vehicle", G.vehicle_rows(self._silver.current), VEHICLE_COLUMNS, "vehicle_key")
+
+    @cached_property
+    def dim_seller(self) -> DataFrame:
+        return self._grown("dim_seller", G.seller_rows(self._silver.current), SELLER_COLUMNS, "seller_key")
+
+    @cached_property
+    def fact_listing_daily(self) -> DataFrame:
+        keys = G.listing_keys(self._silver.current, self.dim_location, self.dim_vehicle, self.dim_seller)
+        return G.upsert_facts(self._before.fact_listing_daily, G.resolve_star(self._silver.snapshots, keys, self.dim_date))
+
+    @cached_property
+    def fact_price_event(self) -> DataFrame:
+        return G.insert_price_facts(self._before.fact_price_event, self._silver.price_events)
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: getattr(self, name) for name in GOLD_ORDER}
+
+
+class StateAt:
+    """Silver tables that only need a given current state."""
+
+    def __init__(self, current: DataFrame):
+        self.current = current
+
+
+def dimensions(t: Tables, current: DataFrame) -> GoldLake:
+    """The dimensions of a current state, written before facts point at them."""
+    return GoldLake(G.empty_gold(t.spark), StateAt(current), calendar(t))
+
+
+def build(before, silver_tables, days: DataFrame) -> GoldLake:
+    return GoldLake(before, silver_tables, days)
 
 
-def dimensions(t: Tables, current: DataFrame | None = None) -> G.Gold:
-    current = S.merge_current(S.empty_silver(t.spark).current, records(t)) if current is None else current
-    return G.grow_dimensions(G.empty_gold(t.spark), current, calendar(t))
+def gold(t: Tables) -> GoldLake:
+    return GoldLake(G.empty_gold(t.spark), silver(t), calendar(t))
 
 
 def wide_snapshots(t: Tables) -> DataFrame:

@@ -92,7 +92,7 @@ def lake_tables_created(t):
     root = scratch_path(t.spark, "lake")
     T.create_lake(t.spark, root, prefix)
     T.create_lake(t.spark, root, prefix)
-    B.dimensions(t).dim_location.write.insertInto(f"{prefix}gold.dim_location")
+    B.dimensions(t, B.silver(t).current).dim_location.write.insertInto(f"{prefix}gold.dim_location")
     return t.spark.table(f"{prefix}gold.dim_location")
 
 

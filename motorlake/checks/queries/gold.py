@@ -11,9 +11,7 @@ from motorlake.functions.dates import date_key
 from motorlake.operators.joins import keys_match
 from motorlake.operators.latest import first_in_order
 from motorlake.plans import gold as G
-from motorlake.plans import silver as S
 from motorlake.plans.verify import top_makes
-from motorlake.schemas import LISTING_CURRENT, empty
 from motorlake.sources.calendar import calendar_around
 from motorlake.sources.tables import row_counts
 
@@ -22,12 +20,12 @@ _VEHICLE_SQL = ", ".join(c if c != "engine_volume_l" else "CAST(engine_volume_l
 
 
 def _current(t, where=None):
-    rows = B.records(t) if where is None else B.records(t).where(where)
-    return S.merge_current(empty(t.spark, LISTING_CURRENT), rows)
+    return B.SilverLake(t, where).current
 
 
-def _split_gold(t):
-    return G.build_gold(G.empty_gold(t.spark), B.silver_at_split(t), B.calendar(t))
+def _first_dimensions(t):
+    """Dimensions of the state at SPLIT."""
+    return B.dimensions(t, _current(t, B.before_split()))
 
 
 @query("S5", """
@@ -72,19 +70,19 @@ def seller_source_rows(t):
 
 @query("M10 W6", "SELECT location_key, region, city FROM loc_b", "loc_b")
 def location_insert_if_absent(t):
-    first = B.dimensions(t, _current(t, B.before_split())).dim_location
+    first = _first_dimensions(t).dim_location
     return G.grow_dimension(first, G.location_rows(_current(t)), LOCATION, "location_key")
 
 
 @query("M11 W6", f"SELECT vehicle_key, {_VEHICLE_SQL} FROM veh_b", "veh_b")
 def vehicle_insert_if_absent(t):
-    first = B.dimensions(t, _current(t, B.before_split())).dim_vehicle
+    first = _first_dimensions(t).dim_vehicle
     return G.grow_dimension(first, G.vehicle_rows(_current(t)), VEHICLE, "vehicle_key")
 
 
 @query("M12 W6", "SELECT seller_key, seller_type, seller_name, seller_user_id, city FROM sel_b", "sel_b")
 def seller_insert_if_absent(t):
-    first = B.dimensions(t, _current(t, B.before_split())).dim_seller
+    first = _first_dimensions(t).dim_seller
     return G.grow_dimension(first, G.seller_rows(_current(t)), SELLER, "seller_key")
 
 
@@ -107,21 +105,21 @@ def snapshots_with_calendar(t):
 def location_key_lookup(t):
     current = _current(t)
     dim = B.dimensions(t, current).dim_location
-    return current.join(dim, keys_match(current, dim, ["city"], ["region"])).select("listing_id", "location_key")
+    return current.alias("s").join(dim.alias("d"), keys_match("s", "d", ["city"], ["region"])).select("listing_id", "location_key")
 
 
 @query("J4 P9", "SELECT s.listing_id, v.vehicle_key FROM cur s JOIN veh v ON " + " AND ".join(f"v.{c} IS NOT DISTINCT FROM s.{c}" for c in VEHICLE), "cur veh")
 def vehicle_key_lookup(t):
     current = _current(t)
     dim = B.dimensions(t, current).dim_vehicle
-    return current.join(dim, keys_match(current, dim, VEHICLE[:2], VEHICLE[2:])).select("listing_id", "vehicle_key")
+    return current.alias("s").join(dim.alias("d"), keys_match("s", "d", VEHICLE[:2], VEHICLE[2:])).select("listing_id", "vehicle_key")
 
 
 @query("J5 P9", "SELECT s.listing_id, v.seller_key FROM cur s JOIN sel v ON " + " AND ".join(f"v.{c} IS NOT DISTINCT FROM s.{c}" for c in SELLER), "cur sel")
 def seller_key_lookup(t):
     current = _current(t)
     dim = B.dimensions(t, current).dim_seller
-    return current.join(dim, keys_match(current, dim, [], SELLER)).select("listing_id", "seller_key")
+    return current.alias("s").join(dim.alias("d"), keys_match("s", "d", [], SELLER)).select("listing_id", "seller_key")
 
 
 @query("J11", f"SELECT {_FACT} FROM facts", "facts")
@@ -156,8 +154,8 @@ def star_resolve_unkeyed_snapshots(t):
 @query("M13", f"SELECT {_FACT} FROM facts_b", "facts_b")
 def fact_upsert_with_sticky_keys(t):
     """Facts of the first build keep their dimension keys in the second."""
-    second = G.build_gold(_split_gold(t), B.silver(t), B.calendar(t))
-    return second.fact_listing_daily
+    first = B.build(G.empty_gold(t.spark), B.silver_at_split(t), B.calendar(t))
+    return B.build(first, B.silver(t), B.calendar(t)).fact_listing_daily
 
 
 @query("M14 D1", "SELECT event_ts, date_key, listing_id, CAST(old_price_kzt AS DOUBLE) AS old_price_kzt, CAST(new_price_kzt AS DOUBLE) AS new_price_kzt FROM pfacts", "pfacts")
@@ -171,8 +169,8 @@ def price_fact_insert(t):
 def gold_full_refresh(t):
     """A second full build on its own result changes nothing."""
     sv, days = B.silver(t), B.calendar(t)
-    once = G.build_gold(G.empty_gold(t.spark), sv, days)
-    return G.build_gold(once, sv, days).fact_listing_daily
+    once = B.build(G.empty_gold(t.spark), sv, days)
+    return B.build(once, sv, days).fact_listing_daily
 
 
 @query("P10", "SELECT date_key, listing_id, vehicle_key, location_key, seller_key, CAST(price_kzt AS DOUBLE) AS price_kzt, days_on_site, views, photo_count, CAST(NULL AS INTEGER) AS y_sold_30d_proxy FROM facts", "facts")
@@ -242,7 +240,7 @@ def fact_sample(t):
 def days_on_site(t):
     from motorlake.functions.dates import days_on_site as days
     sv = B.silver(t)
-    g = B.gold(t)
+    g = B.build(G.empty_gold(t.spark), sv, B.calendar(t))
     listed = g.fact_listing_daily.select("date_key", "listing_id").join(F.broadcast(g.dim_date.select("date_key", "d")), "date_key")
     return listed.join(sv.current.select("listing_id", "first_seen_at"), "listing_id").select(
         "listing_id", "d", days(F.col("d"), F.col("first_seen_at")).alias("days_on_site")
@@ -253,7 +251,7 @@ def days_on_site(t):
 def snapshots_without_facts(t):
     """Snapshots dropped by the star joins, counted."""
     sv = B.silver(t)
-    g = B.gold(t)
+    g = B.build(G.empty_gold(t.spark), sv, B.calendar(t))
     lost = sv.snapshots.withColumn("date_key", date_key(F.col("snapshot_date"))).join(
         g.fact_listing_daily.select("date_key", "listing_id"), ["date_key", "listing_id"], "left_anti"
     )

@@ -9,6 +9,7 @@ from motorlake.checks.oracle import LOCATION, SELLER, VEHICLE, view
 from motorlake.checks.registry import query
 from motorlake.operators import quality as Q
 from motorlake.operators.joins import orphans
+from motorlake.plans import gold as G
 from motorlake.plans import silver as S
 from motorlake.plans import verify as V
 
@@ -28,7 +29,8 @@ view("bad_veh", "veh", """
 
 
 def _damaged(t):
-    g, sv = B.gold(t), B.silver(t)
+    sv = B.silver(t)
+    g = B.build(G.empty_gold(t.spark), sv, B.calendar(t))
     n = F.col("photo_count")
     facts = g.fact_listing_daily.select(
         F.when(n % 17 == 0, 20991231).otherwise(F.col("date_key")).alias("date_key"),
@@ -163,7 +165,8 @@ def _suite_sql(level: str) -> str:
 
 def _suite(t, level):
     sv = B.silver(t)
-    return V.run_suite(B.observations(t), sv, B.gold(t).fact_listing_daily, B.AS_OF, level)
+    facts = B.build(G.empty_gold(t.spark), sv, B.calendar(t)).fact_listing_daily
+    return V.run_suite(B.observations(t), sv, facts, B.AS_OF, level)
 
 
 @query("Q1 P6 P7 P8 A2 A11", _suite_sql("error"), "obs snap facts cur")

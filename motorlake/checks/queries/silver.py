@@ -13,6 +13,7 @@ from motorlake.operators.latest import first_and_last_seen, last_per_key, requir
 from motorlake.operators.merge import delete_keys, insert_if_absent
 from motorlake.plans import silver as S
 from motorlake.schemas import LISTING_CURRENT, empty
+from motorlake.session import staged
 from motorlake.sources.views_payload import view_counts
 
 _CURRENT = [
@@ -48,13 +49,23 @@ def current_state_upsert(t):
 
 
 @query("M4", """
-  SELECT c.listing_id, c.is_active, a.is_active AS was_active
-  FROM cur c LEFT JOIN cur_a a USING (listing_id)""", "cur cur_a")
+  SELECT c.listing_id, c.is_active AND NOT EXISTS (
+           SELECT 1 FROM records x WHERE x.listing_id = c.listing_id AND x.http_status = 404 AND x.fetched_at > c.last_seen_at) AS is_active
+  FROM cur_a c""", "cur_a records")
 def listings_marked_inactive(t):
-    before = _current(t, B.before_split())
-    after = S.merge_current(before, B.records(t).where(~B.before_split()))
-    was = before.select("listing_id", F.col("is_active").alias("was_active"))
-    return after.select("listing_id", "is_active").join(was, "listing_id", "left")
+    """Later misses deactivate stored listings; nothing else changes."""
+    state = B.silver_at_split(t).current
+    gone = B.records(t).where(S.is_gone()).groupBy("listing_id").agg(F.max("fetched_at").alias("gone_at"))
+    return S.mark_inactive(state, gone).select("listing_id", "is_active")
+
+
+@query("M4", """
+  SELECT s.listing_id, s.snapshot_date::VARCHAR AS snapshot_date, s.is_active AND NOT EXISTS (
+           SELECT 1 FROM events e WHERE e.user_id = s.listing_id AND e.event_type = 'error' AND CAST(e.ts AS DATE) = s.snapshot_date) AS is_active
+  FROM snap s""", "snap")
+def snapshots_marked_inactive(t):
+    gone = B.records(t).where(S.is_gone()).select("listing_id", F.col("fetched_at").alias("gone_at"))
+    return S.mark_snapshots_inactive(B.silver(t).snapshots, gone).select("listing_id", "snapshot_date", "is_active")
 
 
 @query("W4", "SELECT listing_id, snapshot_date::VARCHAR AS snapshot_date, CAST(price_kzt AS DOUBLE) AS price_kzt, photo_count FROM snap", "snap")
@@ -70,8 +81,7 @@ def last_observation_per_day(t):
   FROM snap s LEFT JOIN snap_a a USING (listing_id, snapshot_date)""", "snap snap_a")
 def daily_snapshot_upsert(t):
     """Views stored before the second batch survive it."""
-    before = S.merge_snapshots(B.silver_at_split(t).snapshots.limit(0), B.records(t).where(B.before_split()))
-    enriched = before.withColumn("views", F.lit(7))
+    enriched = B.silver_at_split(t).snapshots.withColumn("views", F.lit(7))
     return S.merge_snapshots(enriched, B.records(t))
 
 
@@ -175,5 +185,5 @@ def price_events_replayed(t):
     """Applying the second batch twice adds nothing."""
     batch = B.records(t).where(~B.before_split())
     once = S.apply_batch(B.silver_at_split(t), batch)
-    events = S.batch_price_events(once.current, batch)
-    return insert_if_absent(once.price_events, events, ["listing_id", "event_ts"])
+    events = S.batch_price_events(staged(once.current, "current"), batch)
+    return insert_if_absent(staged(once.price_events, "events"), events, ["listing_id", "event_ts"])

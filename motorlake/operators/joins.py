@@ -2,30 +2,26 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROW_LIMIT = 100_000
 
 
-def keys_match(left: DataFrame, right: DataFrame, plain: list[str], null_safe: list[str] = ()) -> Column:
+def keys_match(left: str, right: str, plain: list[str], null_safe: list[str] = ()) -> Column:
     """Equality on ``plain`` and IS NOT DISTINCT FROM on ``null_safe`` columns.
 
-    Catalyst turns the null-safe conjuncts into hashable keys, so the join
-    stays an equi-join.
+    ``left`` and ``right`` are frame aliases. Catalyst turns the null-safe
+    conjuncts into hashable keys, so the join stays an equi-join.
     """
-    parts = [left[c] == right[c] for c in plain] + [left[c].eqNullSafe(right[c]) for c in null_safe]
-    return reduce(lambda a, b: a & b, parts)
+    parts = [f"{left}.{c} = {right}.{c}" for c in plain] + [f"{left}.{c} <=> {right}.{c}" for c in null_safe]
+    return F.expr(" AND ".join(parts))
 
 
-def not_in(rows: DataFrame, existing: DataFrame, keys: list[str], null_safe: bool = True) -> DataFrame:
+def not_in(rows: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key is not present yet (nulls count as equal values)."""
-    a, b = rows.alias("_rows"), existing.select(*keys).alias("_existing")
-    pairs = [(F.col(f"_rows.{k}"), F.col(f"_existing.{k}")) for k in keys]
-    on = reduce(lambda x, y: x & y, [l.eqNullSafe(r) if null_safe else l == r for l, r in pairs])
-    return a.join(b, on, "left_anti")
+    known = existing.select(*keys).alias("known")
+    return rows.alias("sent").join(known, keys_match("sent", "known", [], keys), "left_anti")
 
 
 def with_lookup(rows: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left") -> DataFrame:

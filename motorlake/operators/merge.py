@@ -6,9 +6,7 @@ table version or over the touched partitions only.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from motorlake.operators.joins import not_in
@@ -30,49 +28,52 @@ def upsert(
     keys: list[str],
     overwrite: list[str],
     keep: list[str] = (),
-    constants: dict[str, Column] | None = None,
-    apply_when: Column | None = None,
+    computed: dict[str, str] | None = None,
+    apply_when: str | None = None,
+    insert_when: str | None = None,
 ) -> DataFrame:
-    """Insert or update by key, with a policy per column.
+    """Insert or update by key in one join, with a policy per column.
 
     ``overwrite``: taken from the batch on a match, nulls included.
     ``keep``: the target's value survives a match; a new row takes the batch's.
-    ``constants``: set on every inserted or updated row.
-    ``apply_when``: over target (``t.``) and batch (``b.``) columns; a match that
-    fails it leaves the target row alone. The batch must hold each key once.
+    ``computed``: an expression over target (``t.``) and batch (``b.``) columns,
+    used for every row the batch touches.
+    ``apply_when``: a match that fails it keeps its ``overwrite`` columns.
+    ``insert_when``: an unmatched batch row that fails it is not inserted.
+    The batch must hold each key once. Conditions are SQL texts and count as
+    false when null.
     """
-    constants = constants or {}
-    t = target.withColumn("_known", F.lit(True)).alias("t")
-    b = batch.withColumn("_sent", F.lit(True)).alias("b")
-    on = reduce(lambda x, y: x & y, [F.col(f"t.{k}") == F.col(f"b.{k}") for k in keys])
-    is_new = F.col("t._known").isNull()
-    sent = F.col("b._sent").isNotNull()
-    if apply_when is not None:
-        sent = sent & (is_new | F.coalesce(apply_when, F.lit(False)))
-
-    def merged(name: str) -> Column:
-        mine = F.col(f"t.{name}")
+    computed = computed or {}
+    t = target.selectExpr("*", "true AS _known").alias("t")
+    b = batch.selectExpr("*", "true AS _sent").alias("b")
+    on = F.expr(" AND ".join(f"t.{k} = b.{k}" for k in keys))
+    is_new, sent = "t._known IS NULL", "b._sent IS NOT NULL"
+    applies = sent if apply_when is None else f"{sent} AND ({is_new} OR coalesce({apply_when}, false))"
+
+    def merged(name: str) -> str:
         if name in keys:
-            return F.coalesce(mine, F.col(f"b.{name}"))
-        if name in constants:
-            return F.when(sent, constants[name]).otherwise(mine)
+            return f"coalesce(t.{name}, b.{name})"
+        if name in computed:
+            return f"CASE WHEN {sent} THEN {computed[name]} ELSE t.{name} END"
         if name in overwrite:
-            return F.when(sent, F.col(f"b.{name}")).otherwise(mine)
+            return f"CASE WHEN {applies} THEN b.{name} ELSE t.{name} END"
         if name in keep:
-            return F.when(is_new, F.col(f"b.{name}")).otherwise(mine)
+            return f"CASE WHEN {is_new} THEN b.{name} ELSE t.{name} END"
         raise ValueError(f"no merge policy for column {name}")
 
-    fields = {f.name: f.dataType for f in target.schema.fields}
-    return t.join(b, on, "full_outer").select([merged(c).cast(kind).alias(c) for c, kind in fields.items()])
+    joined = t.join(b, on, "full_outer")
+    if insert_when is not None:
+        joined = joined.where(f"NOT ({is_new}) OR coalesce({insert_when}, false)")
+    return joined.selectExpr(
+        *[f"CAST({merged(f.name)} AS {f.dataType.simpleString()}) AS {f.name}" for f in target.schema.fields]
+    )
 
 
 def update_join(target: DataFrame, updates: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Set columns from matching update rows; every other row is unchanged."""
-    u = updates.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_hit"))
-    joined = target.join(u, keys, "left")
-    return joined.select([
-        F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
-        for c in target.columns
+    u = updates.selectExpr(*keys, *[f"{c} AS _new_{c}" for c in columns], "true AS _hit")
+    return target.join(u, keys, "left").selectExpr(*[
+        f"CASE WHEN _hit THEN _new_{c} ELSE {c} END AS {c}" if c in columns else c for c in target.columns
     ])
 
 

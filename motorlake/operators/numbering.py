@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 _BUCKET_DIGITS = 3
 
 
-def key_digest(df: DataFrame, keys: list[str]) -> Column:
+def key_digest(keys: list[str]) -> Column:
     """md5 of the key columns; a null differs from every text."""
-    parts = [F.coalesce(F.concat(F.lit("+"), F.col(k).cast("string")), F.lit("-")) for k in keys]
-    return F.md5(F.concat_ws("\x1f", *parts))
+    parts = ", ".join(f"coalesce('+' || CAST({k} AS STRING), '-')" for k in keys)
+    return F.expr(f"md5(concat_ws(char(31), {parts}))")
 
 
 def dense_index(df: DataFrame, keys: list[str], out: str, base: DataFrame | None = None) -> DataFrame:
@@ -23,7 +23,7 @@ def dense_index(df: DataFrame, keys: list[str], out: str, base: DataFrame | None
     key and the bucket counts, so a recomputed task assigns the same numbers.
     ``base`` is a one-row frame with the highest number in use.
     """
-    tagged = df.withColumn("_digest", key_digest(df, keys)).withColumn(
+    tagged = df.withColumn("_digest", key_digest(keys)).withColumn(
         "_bucket", F.substring("_digest", 1, _BUCKET_DIGITS)
     )
     counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))

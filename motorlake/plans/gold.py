@@ -69,13 +69,14 @@ def listing_keys(current: DataFrame, location: DataFrame, vehicle: DataFrame, se
     The wide null-safe joins run on one row per listing, not on one row per
     listing and day. A listing without city, make or model has no keys.
     """
-    rows = current.select("listing_id", "first_seen_at", *dict.fromkeys(LOCATION_COLUMNS + VEHICLE_COLUMNS + SELLER_COLUMNS))
-    located = rows.join(location, keys_match(rows, location, ["city"], ["region"])).select(rows["*"], "location_key")
-    typed = located.join(vehicle, keys_match(located, vehicle, VEHICLE_COLUMNS[:2], VEHICLE_COLUMNS[2:])).select(
-        located["*"], "vehicle_key"
+    attributes = dict.fromkeys(LOCATION_COLUMNS + VEHICLE_COLUMNS + SELLER_COLUMNS)
+    return (
+        current.select("listing_id", "first_seen_at", *attributes).alias("s")
+        .join(location.alias("l"), keys_match("s", "l", ["city"], ["region"]))
+        .join(vehicle.alias("v"), keys_match("s", "v", VEHICLE_COLUMNS[:2], VEHICLE_COLUMNS[2:]))
+        .join(seller.alias("d"), keys_match("s", "d", [], SELLER_COLUMNS))
+        .select("s.listing_id", "s.first_seen_at", "l.location_key", "v.vehicle_key", "d.seller_key")
     )
-    sold = typed.join(seller, keys_match(typed, seller, [], SELLER_COLUMNS))
-    return sold.select(typed["listing_id"], typed["first_seen_at"], "location_key", "vehicle_key", "seller_key")
 
 
 def resolve_star(snapshots: DataFrame, keys: DataFrame, dim_date: DataFrame, distinct_on: bool = False) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motorlake.functions import fixed
-from motorlake.functions.values import photos_json, price_changed
+from motorlake.functions.values import price_changed
 from motorlake.operators.lag import HOT_KEY_ROWS, previous_value
 from motorlake.operators.merge import insert_if_absent, update_join, upsert
 from motorlake.schemas import LISTING_CURRENT, PRICE_EVENT, SNAPSHOT_DAILY, empty
@@ -60,16 +60,14 @@ def split_valid(observations: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def to_table_types(observations: DataFrame) -> DataFrame:
     """Cast record columns to their table types; photos become JSON text."""
-    kinds = {f.name: f.dataType for f in LISTING_CURRENT.fields}
-    columns = []
-    for f in observations.schema.fields:
-        value = F.col(f.name)
-        if f.name == "photos" and f.dataType.typeName() == "array":
-            value = F.when(is_ok(), photos_json(value))
-        if f.name in kinds:
-            value = value.cast(kinds[f.name])
-        columns.append(value.alias(f.name))
-    return observations.select(columns)
+    kinds = {f.name: f.dataType.simpleString() for f in LISTING_CURRENT.fields}
+
+    def column(field) -> str:
+        if field.name == "photos" and field.dataType.typeName() == "array":
+            return "CASE WHEN http_status < 400 THEN to_json(coalesce(photos, array())) END AS photos"
+        return f"CAST({field.name} AS {kinds[field.name]}) AS {field.name}" if field.name in kinds else field.name
+
+    return observations.selectExpr(*[column(f) for f in observations.schema.fields])
 
 
 def listing_summary(observations: DataFrame) -> DataFrame:
@@ -88,35 +86,36 @@ def listing_summary(observations: DataFrame) -> DataFrame:
 
 
 def upsert_current(current: DataFrame, summary: DataFrame) -> DataFrame:
-    """Merge the last good records; only newer ones overwrite."""
-    empty_columns = {f.name: f.dataType for f in LISTING_CURRENT.fields if f.name in FIRST_ONLY[2:]}
-    batch = summary.where(F.col("last").isNotNull()).select(
-        "listing_id", *[F.col(f"last.{c}").alias(c) for c in PAYLOAD],
-        F.col("last.payload_hash").alias("payload_hash"),
-        "first_seen_at", F.col("last.fetched_at").alias("last_seen_at"),
-        F.lit(fixed.CURRENCY).alias("currency"),
-        *[F.lit(None).cast(kind).alias(name) for name, kind in empty_columns.items()],
+    """Merge listing summaries: newer good records overwrite, a later miss deactivates.
+
+    A listing that was only ever missing is not inserted.
+    """
+    unset = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in LISTING_CURRENT.fields if f.name in FIRST_ONLY[2:]]
+    batch = summary.selectExpr(
+        "listing_id", *[f"last.{c}" for c in PAYLOAD], "last.payload_hash", "first_seen_at",
+        "last.fetched_at AS last_seen_at", f"'{fixed.CURRENCY}' AS currency", *unset, "gone_at",
     )
+    is_newer = "(b.last_seen_at IS NOT NULL AND (t.last_seen_at IS NULL OR b.last_seen_at > t.last_seen_at))"
+    is_missing = "b.gone_at > greatest(b.last_seen_at, t.last_seen_at)"
     return upsert(
         current, batch, ["listing_id"],
         overwrite=PAYLOAD + ["payload_hash", "last_seen_at"], keep=FIRST_ONLY,
-        constants={"is_active": F.lit(True)},
-        apply_when=F.col("b.last_seen_at") > F.col("t.last_seen_at"),
+        computed={"is_active": f"CASE WHEN {is_missing} THEN false WHEN {is_newer} THEN true ELSE t.is_active END"},
+        apply_when=is_newer, insert_when="b.last_seen_at IS NOT NULL",
     )
 
 
+def merge_current(current: DataFrame, observations: DataFrame) -> DataFrame:
+    return upsert_current(current, listing_summary(observations))
+
+
 def mark_inactive(current: DataFrame, gone: DataFrame) -> DataFrame:
-    """Deactivate listings found missing after they were last seen."""
+    """Deactivate listings (listing_id, gone_at) found missing after they were last seen."""
     rows = current.join(gone.select("listing_id", "gone_at"), "listing_id", "left")
     missing = F.coalesce(F.col("gone_at") > F.col("last_seen_at"), F.lit(False))
     return rows.withColumn("is_active", F.when(missing, False).otherwise(F.col("is_active"))).select(*current.columns)
 
 
-def merge_current(current: DataFrame, observations: DataFrame) -> DataFrame:
-    summary = listing_summary(observations)
-    return mark_inactive(upsert_current(current, summary), summary.where("gone_at is not null"))
-
-
 def day_summary(observations: DataFrame) -> DataFrame:
     """Per listing and day: last good price and photo count, last time missing."""
     rows = to_table_types(observations).withColumn("snapshot_date", F.to_date("fetched_at"))
@@ -128,28 +127,29 @@ def day_summary(observations: DataFrame) -> DataFrame:
 
 
 def upsert_snapshots(snapshots: DataFrame, days: DataFrame) -> DataFrame:
-    """Insert with unknown views; an update keeps the views it finds."""
-    batch = days.where(F.col("last").isNotNull()).select(
-        "listing_id", "snapshot_date", F.col("last.price_kzt").alias("price_kzt"),
-        F.col("last.photo_count").alias("photo_count"), F.lit(None).cast("int").alias("views"),
+    """Merge day summaries. A new row has unknown views; an update keeps the views
+    it finds. A miss after the day's last good fetch deactivates that day's row."""
+    batch = days.selectExpr(
+        "listing_id", "snapshot_date", "last.price_kzt", "last.photo_count", "CAST(NULL AS INT) AS views",
+        "last.fetched_at AS seen_at", "gone_at",
     )
+    is_missing = "b.gone_at IS NOT NULL AND (b.seen_at IS NULL OR b.gone_at > b.seen_at)"
+    is_active = f"CASE WHEN {is_missing} THEN false WHEN b.seen_at IS NOT NULL THEN true ELSE t.is_active END"
     return upsert(
         snapshots, batch, ["listing_id", "snapshot_date"],
-        overwrite=["price_kzt", "photo_count"], keep=["views"], constants={"is_active": F.lit(True)},
+        overwrite=["price_kzt", "photo_count"], keep=["views"], computed={"is_active": is_active},
+        apply_when="b.seen_at IS NOT NULL", insert_when="b.seen_at IS NOT NULL",
     )
 
 
-def mark_snapshots_inactive(snapshots: DataFrame, days: DataFrame) -> DataFrame:
-    """Deactivate the snapshot of the day a listing was found missing."""
-    seen_later = F.col("last.fetched_at") > F.col("gone_at")
-    gone = days.where(F.col("gone_at").isNotNull() & ~F.coalesce(seen_later, F.lit(False)))
-    updates = gone.select("listing_id", "snapshot_date", F.lit(False).alias("is_active"))
-    return update_join(snapshots, updates, ["listing_id", "snapshot_date"], ["is_active"])
+def merge_snapshots(snapshots: DataFrame, observations: DataFrame) -> DataFrame:
+    return upsert_snapshots(snapshots, day_summary(observations))
 
 
-def merge_snapshots(snapshots: DataFrame, observations: DataFrame) -> DataFrame:
-    days = day_summary(observations)
-    return mark_snapshots_inactive(upsert_snapshots(snapshots, days), days)
+def mark_snapshots_inactive(snapshots: DataFrame, gone: DataFrame) -> DataFrame:
+    """Deactivate the snapshots of the days listings (listing_id, gone_at) were missing."""
+    updates = gone.select("listing_id", F.to_date("gone_at").alias("snapshot_date"), F.lit(False).alias("is_active")).distinct()
+    return update_join(snapshots, updates, ["listing_id", "snapshot_date"], ["is_active"])
 
 
 def price_changes(prices: DataFrame, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:

@@ -139,5 +139,10 @@ FOREIGN_KEYS = [
 
 
 def empty(spark, schema: T.StructType):
-    """A table of this schema without rows."""
-    return spark.createDataFrame([], schema)
+    """A table of this schema without rows.
+
+    The filter folds to an empty relation, so merging into it leaves no join
+    and no shuffle in the plan.
+    """
+    columns = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields]
+    return spark.range(1).where("false").selectExpr(*columns)

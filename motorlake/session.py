@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SQL_SETTINGS = {
     # Dates, snapshot days and date keys are all defined in UTC.
@@ -17,6 +17,8 @@ _SQL_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # A JSON object with a repeated key keeps the last value instead of failing.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # Wide merges build many expressions; skip a stack trace for each of them.
+    "spark.sql.dataFrameQueryContext.enabled": "false",
 }
 
 _fallback_root: str | None = None
@@ -35,6 +37,7 @@ def local_session(cores: str = "8", app: str = "motorlake") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
@@ -59,6 +62,17 @@ def shared_root(spark: SparkSession) -> str:
     return _fallback_root
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back.
+
+    Used where a result feeds several others: it is computed once, its lineage
+    ends at the files, and a lost executor costs a re-read.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, never reused path under the shared folder."""
     return f"{shared_root(spark)}/motorlake/{name}-{uuid.uuid4().hex[:12]}"

@@ -28,7 +28,7 @@ def export_table(df: DataFrame, root: str, table: str, as_of, date_key: int | No
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of the schema in its order and types; a failing cast raises."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields])
 
 
 def counted_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:

@@ -56,13 +56,15 @@ def read_page_objects(spark: SparkSession, *paths: str) -> DataFrame:
     Accepts both ``YYYY/MM/DD/{id}_{HHMMSS}.html.gz`` keys and the partition
     layout of ``write_page_objects``; gzip is transparent to the reader.
     """
-    files = (
-        spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(list(paths))
-        .select(F.col("value").alias("html"), F.col("_metadata.file_path").alias("path"))
+    files = spark.read.text(list(paths), wholetext=True, recursiveFileLookup=True).select(
+        F.col("value"), F.col("_metadata.file_path").alias("path")
     )
+    # The text writer ends each of its files with a line feed that is not the page's.
+    written = F.col("path").contains("object=")
+    page = F.when(written, F.regexp_replace("value", r"\n\z", "")).otherwise(F.col("value"))
     key = r"(\d{4})[-/](\d{2})[-/](\d{2})/(?:object=)?(\d+)_(\d{6})"
     part = lambda group: capture(F.col("path"), key, group)
     stamp = F.concat(part(1), part(2), part(3), part(5))
     return files.select(
-        part(4).cast("bigint").alias("listing_id"), F.to_timestamp(stamp, "yyyyMMddHHmmss").alias("fetched_at"), "html"
+        part(4).cast("bigint").alias("listing_id"), F.to_timestamp(stamp, "yyyyMMddHHmmss").alias("fetched_at"), page.alias("html")
     )

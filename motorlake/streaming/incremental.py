@@ -89,8 +89,7 @@ def merge_silver(store: LakeStore, observations: DataFrame, batch: int) -> None:
 
     days = S.day_summary(valid)
     touched = within_partitions(store.partitioned("snapshots", SNAPSHOT_DAILY), days, "snapshot_date")
-    merged = S.mark_snapshots_inactive(S.upsert_snapshots(touched, days), days)
-    store.replace_partitions("snapshots", merged, "snapshot_date")
+    store.replace_partitions("snapshots", S.upsert_snapshots(touched, days), "snapshot_date")
 
 
 def merge_gold(store: LakeStore, calendar: DataFrame, batch: int, days: DataFrame | None = None) -> None:
