@@ -37,13 +37,13 @@ _TITLE = _clean(_plain(r"regexp_extract(" + _VISIBLE + r", '(?is)<h1\b[^>]*>(.*?
 
 @query("F2", f"SELECT page_id, len(l) AS n_lines, md5(array_to_string(l, chr(10))) AS digest FROM (SELECT page_id, {_LINES} AS l FROM pages) q")
 def page_text_lines(t):
-    lines = t.pages.select("page_id", H.text_lines(F.col("html")).alias("l"))
+    lines = t.pages.select("page_id", H.text_lines(H.without_hidden(F.col("html"))).alias("l"))
     return lines.select("page_id", F.size("l").cast("bigint").alias("n_lines"), F.md5(F.array_join("l", "\n")).alias("digest"))
 
 
 @query("F3", f"SELECT page_id, {_TITLE} AS title FROM pages")
 def page_titles(t):
-    return t.pages.select("page_id", H.title(F.col("html")).alias("title"))
+    return t.pages.select("page_id", H.title(H.without_hidden(F.col("html"))).alias("title"))
 
 
 @query("F13 F14 F15", f"""
@@ -53,7 +53,7 @@ def page_titles(t):
   FROM (SELECT page_id, s, string_split(s, ' ') AS k FROM (SELECT page_id, ({_TITLE}) || ' ' || (1900 + page_id % 150) || ' г.' AS s FROM pages) a) q""")
 def title_parts(t):
     year = F.concat(F.lit(" "), (F.col("page_id") % 150 + 1900).cast("string"), F.lit(" г."))
-    titles = t.pages.select("page_id", F.concat(H.title(F.col("html")), year).alias("s"))
+    titles = t.pages.select("page_id", F.concat(H.title(H.without_hidden(F.col("html"))), year).alias("s"))
     tokens = titles.select("page_id", "s", H.title_tokens(F.col("s")).alias("k"))
     k = F.col("k")
     return tokens.select(
@@ -204,7 +204,7 @@ def photo_urls(t):
         F.col("page_id").cast("string"), F.lit(">"), F.lit("<img src='ftp://no'><!-- <img src='/hidden'> --><img alt=none><img src=\""),
         F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit('">'),
     )
-    return t.pages.select("page_id", H.photos(html, B.BASE_URL).alias("photos"))
+    return t.pages.select("page_id", H.photos(H.without_hidden(html), B.BASE_URL).alias("photos"))
 
 
 @query("F11", """

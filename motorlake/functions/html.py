@@ -24,15 +24,18 @@ def without_hidden(html: Column) -> Column:
     return F.regexp_replace(html, _HIDDEN, "")
 
 
-def text_lines(html: Column) -> Column:
-    """Every text node on a line of its own: stripped, empty lines dropped."""
-    flat = unescape_entities(F.regexp_replace(without_hidden(html), _TAG, "\n"))
+def text_lines(visible: Column) -> Column:
+    """Every text node on a line of its own: stripped, empty lines dropped.
+
+    This, ``title`` and ``photos`` take a page ``without_hidden`` parts.
+    """
+    flat = unescape_entities(F.regexp_replace(visible, _TAG, "\n"))
     return F.filter(F.transform(F.split(flat, "\n"), strip), lambda line: line != "")
 
 
-def title(html: Column) -> Column:
+def title(visible: Column) -> Column:
     """Text of the first h1."""
-    inner = F.regexp_extract(without_hidden(html), r"(?is)<h1\b[^>]*>(.*?)(?:</h1\s*>|\z)", 1)
+    inner = F.regexp_extract(visible, r"(?is)<h1\b[^>]*>(.*?)(?:</h1\s*>|\z)", 1)
     return clean(unescape_entities(F.regexp_replace(inner, _TAG, " ")))
 
 
@@ -105,9 +108,9 @@ def _attribute(tag: Column, name: str) -> Column:
     return F.nullif(unescape_entities(value), F.lit(""))
 
 
-def photos(html: Column, base_url: str) -> Column:
+def photos(visible: Column, base_url: str) -> Column:
     """Absolute image URLs, in page order, each once."""
-    tags = F.regexp_extract_all(without_hidden(html), F.lit(r"(?is)<img\b[^>]*>"), F.lit(0))
+    tags = F.regexp_extract_all(visible, F.lit(r"(?is)<img\b[^>]*>"), F.lit(0))
     sources = F.transform(
         tags, lambda tag: F.coalesce(*[_attribute(tag, a) for a in ("data-src", "src", "data-lazy-src")])
     )

@@ -63,11 +63,10 @@ def unescape_entities(text: Column) -> Column:
             _code_point(F.lpad(hexa, 8, "0")),
         )
         rest = F.regexp_replace(piece, r"^#?[A-Za-z0-9]+;", "")
-        decoded = F.when(value.isNotNull(), F.concat(value, rest)).otherwise(F.concat(F.lit("&"), piece))
+        decoded = F.coalesce(F.concat(value, rest), F.concat(F.lit("&"), piece))
         return F.when(index == 0, piece).otherwise(decoded)
 
-    decoded = F.array_join(F.transform(F.split(text, "&"), decode), "")
-    return F.when(text.contains("&"), decoded).otherwise(text)
+    return F.array_join(F.transform(F.split(text, "&"), decode), "")
 
 
 def redact_secrets(message: Column) -> Column:

@@ -14,12 +14,12 @@ from motorlake.schemas import PARSED
 def parse_pages(pages: DataFrame, base_url: str, carry: list[str] = ()) -> DataFrame:
     """(listing_id, url, html) to the 26-column listing record.
 
-    Three projections, each using the arrays made by the one before it, so the
+    Four projections, each using the arrays made by the one before it, so the
     page text is scanned once per pattern and the line array is built once. No
     shuffle and no Python worker is involved.
     """
-    page = F.col("html")
-    split = pages.select(
+    page = F.col("visible")
+    split = pages.select("listing_id", "url", *carry, H.without_hidden(F.col("html")).alias("visible")).select(
         "listing_id", "url", *carry,
         H.text_lines(page).alias("lines"), H.title(page).alias("title"), H.photos(page, base_url).alias("photos"),
     )

@@ -7,7 +7,7 @@ from conftest import SMALL, rows
 from motorlake.checks import bindings as B
 from motorlake.plans import gold as G
 from motorlake.plans import verify as V
-from motorlake.schemas import LAKE
+from motorlake.schemas import LAKE, SELLER_COLUMNS
 from motorlake.session import scratch_path, staged
 from motorlake.sinks import files as W
 from motorlake.sinks.publish import get_sink, publish, register_sink
@@ -128,8 +128,8 @@ def test_repeated_stream_batch_changes_nothing(spark, lake):
 
 def test_new_surrogate_keys_leave_old_ones(lake):
     t, _, _ = lake
-    old = B.dimensions(t, B.silver_at_split(t).current).dim_location
-    grown = G.grow_dimension(old, G.location_rows(B.silver(t).current), ["region", "city"], "location_key")
+    old = B.dimensions(t, B.silver_at_split(t).current).dim_seller
+    grown = G.grow_dimension(old, G.seller_rows(B.silver(t).current), SELLER_COLUMNS, "seller_key")
     assert old.exceptAll(grown).count() == 0 and grown.count() > old.count()
 
 
