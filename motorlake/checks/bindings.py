@@ -256,8 +256,11 @@ def fetched_pages(t: Tables) -> DataFrame:
 def listing_sources(t: Tables) -> DataFrame:
     """Fields a listing page is written from."""
     place = F.pmod(F.col("listing_id"), F.lit(25)).cast("int")
+    # Writing and parsing pages is CPU work: spread the few input rows over all
+    # tasks, as the files of a bronze table would be.
     return (
         attributes(t).join(t.part.select(F.col("p_partkey").alias("listing_id"), "p_brand", "p_retailprice"), "listing_id")
+        .repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")), "listing_id")
         .withColumn("place", place).join(places(t), "place")
         .withColumn("price", (F.col("p_retailprice").cast("decimal(14,2)") * 1000).cast("bigint"))
     )

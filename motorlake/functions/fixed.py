@@ -60,6 +60,10 @@ REDACTIONS = [
     ),
 ]
 
+# A text without any of these and without '://' has nothing to redact; the last
+# one is a letter that equals 's' when case is ignored.
+REDACTION_WORDS = ["password", "secret", "key", "token", "supabase_db_url", "\u017f"]
+
 # Queue states and outcomes.
 STATE_NEW, STATE_FETCHED, STATE_RETRY, STATE_INACTIVE = "NEW", "FETCHED", "RETRY", "INACTIVE"
 BLOCKED_ERROR = "Blocking detected"

@@ -49,52 +49,62 @@ def digits_id(text: Column) -> Column:
     return F.when(text.rlike(r"^\d+$"), text.try_cast("bigint"))
 
 
-def _is_kind(value: Column, *kinds: str) -> Column:
-    return F.regexp_extract(F.schema_of_variant(value), r"^([A-Z]+)", 1).isin(*kinds)
+_NUMBERS = ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT", "BOOLEAN")
 
 
-_NUMBERS = ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT", "BOOLEAN")
+def variant_kind(value: Column) -> Column:
+    """OBJECT, ARRAY, STRING, VOID, BOOLEAN, BIGINT, DECIMAL or DOUBLE."""
+    return F.regexp_extract(F.schema_of_variant(value), r"^([A-Z]+)", 1)
 
 
 def _as_count(value: Column) -> Column:
     """Numbers truncate, digit strings convert, all else is null."""
-    text = strip(F.try_variant_get(value, "$", "string"))
+    kind, text = variant_kind(value), strip(F.try_variant_get(value, "$", "string"))
     whole = F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint"))
-    return (
-        F.when(_is_kind(value, *_NUMBERS), F.try_variant_get(value, "$", "bigint"))
-        .when(_is_kind(value, "STRING"), whole)
-    )
+    return F.when(kind.isin(*_NUMBERS), F.try_variant_get(value, "$", "bigint")).when(kind == "STRING", whole)
+
+
+def _member(value: Column, name: str) -> Column:
+    return F.try_variant_get(value, f"$.{name}", "variant")
+
+
+def _filled(value: Column) -> Column:
+    """Neither absent, null, zero, false, '' nor an empty container."""
+    text = F.try_variant_get(value, "$", "string")
+    return F.coalesce(~text.isin("", "false", "{}", "[]") & (F.coalesce(text.try_cast("double"), F.lit(1.0)) != 0)
+                      | (variant_kind(value) == "STRING") & (text != ""), F.lit(False))
 
 
 def _present(value: Column) -> Column:
     return value.isNotNull() & ~F.is_variant_null(value)
 
 
-def _truthy(value: Column) -> Column:
-    """Neither null, zero, false, '' nor an empty container."""
-    number = F.try_variant_get(value, "$", "double")
-    text = F.try_variant_get(value, "$", "string")
-    filled = (
-        F.when(_is_kind(value, *_NUMBERS), number != 0)
-        .when(_is_kind(value, "STRING"), text != "")
-        .otherwise(~text.isin("{}", "[]"))
-    )
-    return _present(value) & filled
+def needs_member_order(value: Column) -> Column:
+    """An object whose count is not under one of the usual names."""
+    usual = _filled(_member(value, "views")) | _filled(_member(value, "count")) | _present(_member(value, "value"))
+    return (variant_kind(value) == "OBJECT") & ~usual
+
+
+def first_number(raw: Column) -> Column:
+    """The first numeric member of an object, in the order of its JSON text.
+
+    The variant type sorts members by name, the text keeps the payload's order.
+    """
+    members = F.map_values(F.from_json(raw, "map<string,variant>"))
+    return F.get(F.filter(members, lambda m: _present(m) & variant_kind(m).isin(*_NUMBERS)), F.lit(0))
 
 
 def view_count(value: Column, raw: Column) -> Column:
     """A view count from an integer, a number, a digit string or an object.
 
     In an object the first filled one of ``views`` and ``count`` wins, then
-    ``value`` as it is, then the first numeric member. ``raw`` is the same
-    value as JSON text: it keeps the members in payload order, which the
-    variant type sorts by name.
+    ``value`` as it is, then the first numeric member of its text ``raw``.
     """
-    members = F.map_values(F.from_json(raw, "map<string,variant>"))
-    first_number = F.get(F.filter(members, lambda m: _present(m) & _is_kind(m, *_NUMBERS)), F.lit(0))
-    views, count, other = (F.try_variant_get(value, f"$.{k}", "variant") for k in ("views", "count", "value"))
+    views, count, other = (_member(value, name) for name in ("views", "count", "value"))
     chosen = (
-        F.when(_truthy(views), views).when(_truthy(count), count).when(_present(other), other)
-        .otherwise(first_number)
+        F.when(variant_kind(value) != "OBJECT", value)
+        .when(_filled(views), views).when(_filled(count), count).when(_present(other), other)
+        .otherwise(first_number(raw))
     )
-    return F.when(_is_kind(value, "OBJECT"), _as_count(chosen)).otherwise(_as_count(value)).try_cast("int")
+    counted = F.get(F.transform(F.array(chosen), _as_count), F.lit(0))
+    return counted.try_cast("int")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from motorlake.functions.values import digits_id, view_count
+from motorlake.functions.values import digits_id, needs_member_order, view_count
 
 
 def payload_shape(body: Column) -> Column:
@@ -21,13 +21,17 @@ def payload_shape(body: Column) -> Column:
 
 
 def read_entries(payloads: DataFrame, body: str = "body", carry: list[str] = ()) -> DataFrame:
-    """One row per map entry: (id_text, value, raw). Bad shapes yield no rows."""
-    parsed = payloads.select(
-        *carry,
-        F.from_json(F.col(body), "struct<data:map<string,variant>>")["data"].alias("_values"),
-        F.from_json(F.col(body), "struct<data:map<string,string>>")["data"].alias("_raw"),
-    )
-    return parsed.select(*carry, F.explode("_values").alias("id_text", "value"), "_raw").select(
+    """One row per map entry: (id_text, value, raw). Bad shapes yield no rows.
+
+    ``raw``, the entry's JSON text, is only read for payloads with an object
+    that has to be searched in member order; elsewhere it is null.
+    """
+    values = F.from_json(F.col(body), "struct<data:map<string,variant>>")["data"]
+    texts = F.from_json(F.col(body), "struct<data:map<string,string>>")["data"]
+    parsed = payloads.select(*carry, body, values.alias("_values"))
+    ordered = F.exists(F.map_values("_values"), needs_member_order)
+    with_text = parsed.select(*carry, "_values", F.when(ordered, texts).alias("_raw"))
+    return with_text.select(*carry, F.explode("_values").alias("id_text", "value"), "_raw").select(
         *carry, "id_text", "value", F.try_element_at("_raw", F.col("id_text")).alias("raw")
     )
 
