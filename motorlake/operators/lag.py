@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key with more rows than this has its timeline cut into segments. Data with
-# R rows has at most R / HOT_KEY_ROWS such keys: 10^12 rows (over 100 TB of
-# price observations with their pages) give at most 100,000 keys of four
-# numbers, about 5 MB, which bounds the broadcast below.
+# A key with more rows than this has its timeline cut into segments.
 HOT_KEY_ROWS = 10_000_000
+# Only so many of the largest keys are cut, which bounds the broadcast of them to
+# a few MB whatever the data. Of R rows, a key beyond these has under R / 100,000.
+MAX_HOT_KEYS = 100_000
 _SEGMENTS_PER_HOT_UNIT = 8
 
 
@@ -35,6 +35,7 @@ def previous_value(
             F.max(micros).alias("_to"),
         )
         .where(F.col("_rows") > hot_key_rows)
+        .orderBy(F.desc("_rows"), key).limit(MAX_HOT_KEYS)
         .select(
             key, "_from",
             (

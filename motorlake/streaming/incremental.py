@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from motorlake.functions.dates import date_key
 from motorlake.operators.latest import last_per_key
-from motorlake.operators.merge import within_partitions
+from motorlake.operators.merge import new_keys_only, within_partitions
 from motorlake.operators.stats import run_counters
 from motorlake.plans import gold as G
 from motorlake.plans import silver as S
@@ -44,9 +45,12 @@ class LakeStore:
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _read(self, table: str, schema: T.StructType) -> DataFrame:
+    def _files(self, table: str):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(table))
-        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _read(self, table: str, schema: T.StructType) -> DataFrame:
+        path, files = self._files(table)
         if not files.exists(path):
             return empty(self.spark, schema)
         return self.spark.read.schema(schema).parquet(self._path(table)).select(*schema.names)
@@ -56,6 +60,10 @@ class LakeStore:
         rows = self._read(table, _with_batch(schema))
         return (rows if before is None else rows.where(F.col("batch") < before)).select(*schema.names)
 
+    def appended_in(self, table: str, schema: T.StructType, batch: int) -> DataFrame:
+        """Rows one batch appended."""
+        return self._read(table, _with_batch(schema)).where(F.col("batch") == batch).select(*schema.names)
+
     def append(self, table: str, rows: DataFrame, batch: int) -> None:
         (
             rows.withColumn("batch", F.lit(batch).cast("bigint")).write.mode("overwrite")
@@ -67,7 +75,10 @@ class LakeStore:
         return self._read(f"{table}/v={batch}", schema)
 
     def write_version(self, table: str, rows: DataFrame, batch: int) -> None:
+        """Write version ``batch``; the one before stays, older ones go."""
         rows.write.mode("overwrite").parquet(self._path(f"{table}/v={batch}"))
+        path, files = self._files(f"{table}/v={batch - 2}")
+        files.delete(path, True)
 
     def partitioned(self, table: str, schema: T.StructType) -> DataFrame:
         return self._read(table, schema)
@@ -109,22 +120,18 @@ def merge_gold(store: LakeStore, calendar: DataFrame, batch: int, days: DataFram
         known = store.appended(name, schemas[name], before=batch)
         store.append(name, G.new_dimension_rows(known, rows, keys, key), batch)
     known_days = store.appended("dim_date", schemas["dim_date"], before=batch)
-    store.append("dim_date", S.insert_if_absent(known_days, calendar, ["d"]).join(known_days, "d", "left_anti"), batch)
+    store.append("dim_date", new_keys_only(known_days, calendar, ["d"]), batch)
 
     dims = {name: store.appended(name, schemas[name]) for name in [*sources, "dim_date"]}
     keys = G.listing_keys(current, dims["dim_location"], dims["dim_vehicle"], dims["dim_seller"])
     snapshots = store.partitioned("snapshots", SNAPSHOT_DAILY)
+    stored = store.partitioned("fact_listing_daily", FACT_LISTING_DAILY)
     if days is not None:
         snapshots = within_partitions(snapshots, days, "snapshot_date")
+        stored = within_partitions(stored, days.select(date_key(F.col("snapshot_date")).alias("date_key")), "date_key")
     facts = G.resolve_star(snapshots, keys, dims["dim_date"])
-    stored = store.partitioned("fact_listing_daily", FACT_LISTING_DAILY)
-    touched = within_partitions(stored, facts, "date_key")
-    store.replace_partitions("fact_listing_daily", G.upsert_facts(touched, facts), "date_key")
-
-    new_events = store.appended("price_events", PRICE_EVENT, None) if batch == 0 else (
-        store._read("price_events", _with_batch(PRICE_EVENT)).where(F.col("batch") == batch).drop("batch")
-    )
-    store.append("fact_price_event", G.price_event_facts(new_events), batch)
+    store.replace_partitions("fact_listing_daily", G.upsert_facts(stored, facts), "date_key")
+    store.append("fact_price_event", G.price_event_facts(store.appended_in("price_events", PRICE_EVENT, batch)), batch)
 
 
 def observation_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int) -> DataFrame:
