@@ -35,6 +35,13 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
     return child.where(F.col(column).isNotNull()).join(known, column, "left_anti")
 
 
+def orphan_counts(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """Orphan keys with their row counts: child rows are counted per key before
+    the join, so a key that fills the table is one row in it."""
+    per_key = child.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return orphans(per_key, column, parent, parent_column)
+
+
 def broadcast_calendar(days: DataFrame) -> DataFrame:
     """Broadcast a calendar: one row per day, so 100,000 rows are 270 years.
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from motorlake.functions.dates import safe_ratio
-from motorlake.operators.joins import orphans
+from motorlake.operators.joins import orphan_counts
 
 COLUMNS = ["check_name", "table_name", "value", "threshold", "direction", "level", "passed"]
 
@@ -81,8 +81,9 @@ def unique(df: DataFrame, table: str, keys: list[str], ignore_nulls: bool = Fals
 
 def relationship(child: DataFrame, child_name: str, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """A foreign-key check, as a result row."""
-    check = Threshold(f"relationship_{column}", child_name, F.count(F.lit(1)), 0)
-    return run_thresholds(orphans(child, column, parent, parent_column), [check])
+    rows = F.coalesce(F.sum("n"), F.lit(0))
+    check = Threshold(f"relationship_{column}", child_name, rows, 0)
+    return run_thresholds(orphan_counts(child, column, parent, parent_column), [check])
 
 
 def combine(results: list[DataFrame]) -> DataFrame:

@@ -29,7 +29,9 @@ def read_entries(payloads: DataFrame, body: str = "body", carry: list[str] = ())
     values = F.from_json(F.col(body), "struct<data:map<string,variant>>")["data"]
     texts = F.from_json(F.col(body), "struct<data:map<string,string>>")["data"]
     parsed = payloads.select(*carry, body, values.alias("_values"))
-    ordered = F.exists(F.map_values("_values"), needs_member_order)
+    # An object entry is the third brace of a payload at the earliest.
+    braces = F.length(body) - F.length(F.replace(body, F.lit("{")))
+    ordered = F.when(braces > 2, F.exists(F.map_values("_values"), needs_member_order))
     with_text = parsed.select(*carry, "_values", F.when(ordered, texts).alias("_raw"))
     return with_text.select(*carry, F.explode("_values").alias("id_text", "value"), "_raw").select(
         *carry, "id_text", "value", F.try_element_at("_raw", F.col("id_text")).alias("raw")

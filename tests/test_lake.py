@@ -137,3 +137,18 @@ def test_hot_listing_is_counted_before_the_lookup(lake):
     facts = lake[2].fact_listing_daily.select("vehicle_key", F.lit(1).alias("one"))
     text = V.top_makes(staged(facts, "f"), lake[2].dim_vehicle)._jdf.queryExecution().optimizedPlan().toString()
     assert text.index("Join") < text.index("count(1)")  # the count is below the join
+
+
+def test_probes_are_isolated(lake):
+    def broken():
+        raise RuntimeError("gone")
+
+    results = V.probe_each({"ok": lake[2].dim_location.count, "bad": broken})
+    assert results[0][1] > 0 and results[1] == ("bad", None, "gone")
+
+
+def test_one_key_orphans_are_one_row(spark):
+    from motorlake.operators.joins import orphan_counts
+    child = spark.range(1000).selectExpr("IF(id < 900, 7, id) AS k")
+    parent = spark.range(900, 1000)
+    assert rows(orphan_counts(child, "k", parent, "id")) == [(7, 900)]
