@@ -197,6 +197,11 @@ class GoldLake:
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in GOLD_ORDER}
 
+    def written(self) -> GoldLake:
+        """With the facts written too, for readers that scan them several times."""
+        self.fact_listing_daily = staged(self.fact_listing_daily, "fact_listing_daily")
+        return self
+
 
 class StateAt:
     """Silver tables that only need a given current state."""

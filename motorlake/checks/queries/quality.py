@@ -30,7 +30,7 @@ view("bad_veh", "veh", """
 
 def _damaged(t):
     sv = B.silver(t)
-    g = B.build(G.empty_gold(t.spark), sv, B.calendar(t))
+    g = B.build(G.empty_gold(t.spark), sv, B.calendar(t)).written()
     n = F.col("photo_count")
     facts = g.fact_listing_daily.select(
         F.when(n % 17 == 0, 20991231).otherwise(F.col("date_key")).alias("date_key"),
@@ -192,7 +192,7 @@ def price_null_ratio(t):
   UNION ALL SELECT 'latest_date_key', 'fact_listing_daily', max(date_key) FROM facts
   UNION ALL (SELECT 'top_make', v.make, count(*) AS n FROM facts f JOIN veh v USING (vehicle_key) GROUP BY v.make ORDER BY n DESC, v.make LIMIT 5)""", "facts pfacts")
 def published_copy_report(t):
-    return V.publish_report(B.gold(t))
+    return V.publish_report(B.gold(t).written())
 
 
 @query("Q9", "SELECT event_id, event_type = 'signup' AS no_id, event_type = 'error' AS no_time FROM events WHERE event_type IN ('signup', 'error')")
