@@ -24,11 +24,6 @@ def not_in(rows: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     return rows.alias("sent").join(known, keys_match("sent", "known", [], keys), "left_anti")
 
 
-def with_lookup(rows: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Key lookup; the planner broadcasts only a side measured as small."""
-    return rows.join(lookup, keys, how)
-
-
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child rows whose non-null key has no parent."""
     known = parent.select(F.col(parent_column).alias(column))

@@ -27,7 +27,7 @@ from motorlake.operators.stats import run_counters
 from motorlake.plans import gold as G
 from motorlake.plans import silver as S
 from motorlake.schemas import (
-    FACT_LISTING_DAILY, FACT_PRICE_EVENT, LAKE, LISTING_CURRENT, LOCATION_COLUMNS, PRICE_EVENT, SELLER_COLUMNS,
+    FACT_LISTING_DAILY, LAKE, LISTING_CURRENT, LOCATION_COLUMNS, PRICE_EVENT, SELLER_COLUMNS,
     SNAPSHOT_DAILY, VEHICLE_COLUMNS, empty,
 )
 
