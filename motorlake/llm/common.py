@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motorlake.session import scratch_path, shared_root, staged  # noqa: F401
@@ -36,3 +40,25 @@ def sorted_runs(keys: np.ndarray) -> np.ndarray:
     if not len(keys):
         return np.zeros(1, np.int64)
     return np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]]).astype(np.int64)
+
+
+def small_side(df: DataFrame, rows: int) -> DataFrame:
+    """A join side with a broadcast hint if it has at most ``rows`` rows, as counted; else as it is."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand the package's source to the executors, once per application, so that tasks can import it anywhere."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="motorlake-")) / "motorlake_source.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
