@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from motorlake.llm.common import small_side, staged
+from motorlake.llm.common import ROW, nested, small_side, staged, unnested
 
 LONGEST = 4
 GRAM_BITS = 18
@@ -152,6 +152,13 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
     return docs.select(F.col(f"`{key}`").alias("doc_id"), out.alias("_p")).select("doc_id", "_p.lang_pred", "_p.score")
 
 
+def keep_identified(docs: DataFrame, model: Model, least: float, text: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text is not ``und`` and scores at least ``least``."""
+    rows = docs.select(nested(docs))
+    found = predict(rows, model, ROW, f"{ROW}`.`{text}").where((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    return unnested(found.select(F.col("doc_id").alias(ROW)), docs.columns)
+
+
 def held_out(key: str = "doc_id"):
     """Documents that are never learned from: crc32 of the id as text leaves 2 when divided by 4."""
     return F.coalesce(F.crc32(F.col(f"`{key}`").cast("string").cast("binary")) % 4 == 2, F.lit(False))

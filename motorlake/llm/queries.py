@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorlake.llm import chat, curves, exact_dedup, language, mixing, ngram_join, packing, secrets, token_counts
+from motorlake.llm import chat, curves, exact_dedup, language, mixing, ngram_join, packing, repeats, secrets, token_counts
 from motorlake.llm.common import ship
 
 BPE = "byte_bpe_50k.json"
@@ -94,6 +94,12 @@ def op8_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(table(spark, folder, "documents"))
 
 
+@query()
+def op9_prefix_free_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    left = repeats.remove_repeats(table(spark, folder, "documents"), size=400)
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query()
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path(BPE), limit=512)
