@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from motorlake.llm.common import ROW, nested, staged, unnested
-from motorlake.llm.language import sample
+from motorlake.llm.common import ROW, nested, small_side, staged, unnested
+from motorlake.llm.language import SAMPLE_BROADCAST, sample
 from motorlake.llm.shingles import texts, word_hashes
 
 FEATURE_BITS = 18
@@ -44,7 +44,7 @@ class DomainModel:
 
     def posterior(self, found: np.ndarray) -> np.ndarray:
         z = self.bias + (self.weights[found].sum(0) / np.sqrt(len(found)) if len(found) else 0)
-        e = np.exp(z - z.max())
+        e = np.exp(z - z.max(initial=0))
         return e / e.sum()
 
 
@@ -185,5 +185,5 @@ def label_domains(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "poor").when(F.col("quality") == 1, "good")
     marks = labels.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_id"), domain.alias("domain"))
     marks = marks.groupBy("_id").agg(F.max("domain").alias("domain"))  # of conflicting marks the worst by name: toxic first
-    return docs.join(marks, F.col(f"`{key}`") == F.col("_id")).select(
-        F.col("_id").alias("doc_id"), F.col(f"`{text}`").alias("text"), "domain")
+    rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    return rows.join(small_side(marks, SAMPLE_BROADCAST), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "domain")

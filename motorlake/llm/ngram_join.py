@@ -190,11 +190,10 @@ class _Block:
 _NONE = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
 
-def _links(ids: np.ndarray, cuts: np.ndarray, copies: np.ndarray, sets: list[np.ndarray], num: int, den: int):
-    """(set, root, linked documents) of a block, or of the pairs between its two cuts."""
+def _links(within: bool, ids: np.ndarray, cuts: np.ndarray, copies: np.ndarray, sets: list[np.ndarray], num: int, den: int):
+    """(set, root, linked documents) of the pairs within one cut of a block, or of those between its two cuts."""
     order = np.array(sorted(range(len(sets)), key=lambda i: (len(sets[i]), ids[i])), np.int64)
     ids, cuts, copies, sets = ids[order], cuts[order], copies[order], [sets[i] for i in order]
-    within = len(np.unique(cuts)) == 1
     root, degree = np.arange(len(ids)), np.zeros(len(ids), np.int64)
 
     def find(i):
@@ -224,16 +223,16 @@ def _search(held: DataFrame, num: int, den: int) -> DataFrame:
         for b in batches:
             for r in zip(*(b.column(c).to_pylist() for c in ("block", "x", "y", "cut", "set_id", "copies", "shingles"))):
                 if r[:3] != now:
-                    yield from close(rows)
+                    yield from close(now, rows)
                     now, rows = r[:3], []
                 rows.append(r[3:])
-        yield from close(rows)
+        yield from close(now, rows)
 
-    def close(rows):
+    def close(block, rows):
         once = {r[1]: r for r in rows}  # a repeated row brings its set twice
         if len(once) > 1:
             cuts, ids, copies, raw = zip(*once.values())
-            a, b, n = _links(np.array(ids), np.array(cuts), np.array(copies), [np.frombuffer(x, np.uint64) for x in raw], num, den)
+            a, b, n = _links(block[1] == block[2], np.array(ids), np.array(cuts), np.array(copies), [np.frombuffer(x, np.uint64) for x in raw], num, den)
             yield pa.RecordBatch.from_pydict({"a": a, "b": b, "n_links": n})
 
     ordered = held.repartition("block", "x", "y").sortWithinPartitions("block", "x", "y")
@@ -298,7 +297,7 @@ def keep_one_per_component(docs: DataFrame, width: int = 5, num: int = 80, den:
     rows = staged(docs.select(F.monotonically_increasing_id().alias("_uid"), nested(docs)), "near-dedup")
     linked = link_documents(rows.select(F.col("_uid").alias("doc_id"), F.col(f"{ROW}.`{text}`").alias("text")), width, num, den)
     keyed = linked.join(rows.select(F.col("_uid").alias("doc_id"), F.col(f"{ROW}.`{key}`").cast("bigint").alias("k")), "doc_id")
-    least = keyed.groupBy("component_id").agg(F.min("k").alias("k"))
-    first = keyed.join(least, (keyed["component_id"] == least["component_id"]) & keyed["k"].eqNullSafe(least["k"])).groupBy(
-        keyed["component_id"]).agg(F.min("doc_id").alias("_uid"))
+    least = keyed.groupBy(F.col("component_id").alias("c")).agg(F.min("k").alias("least"))
+    first = keyed.join(least, (F.col("component_id") == F.col("c")) & F.col("k").eqNullSafe(F.col("least"))).groupBy("c").agg(
+        F.min("doc_id").alias("_uid"))
     return unnested(rows.join(first.select("_uid"), "_uid", "left_semi"), docs.columns)
