@@ -150,16 +150,6 @@ def calendar(t: Tables) -> DataFrame:
     return calendar_around(t.spark, AS_OF)
 
 
-def dimensions(t: Tables, current: DataFrame) -> G.Gold:
-    """The dimensions of a current state, written before facts point at them."""
-    return staged_dimensions(G.grow_dimensions(G.empty_gold(t.spark), current, calendar(t)))
-
-
-def staged_dimensions(gold: G.Gold) -> G.Gold:
-    written = {n: staged(df, n) for n, df in gold.tables().items() if n in ("dim_location", "dim_vehicle", "dim_seller")}
-    return replace(gold, **written)
-
-
 class GoldLake:
     """Gold tables after merging silver tables into ``before``, each built on first use."""
 

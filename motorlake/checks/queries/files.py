@@ -53,7 +53,8 @@ def integer_repair_scan(t):
     return T.scan_repaired(t.spark, path)
 
 
-_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages"]
+_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "embeddings", "benchmark",
+           "labels", "conversations"]
 
 
 @query("S7 A1", " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in _TABLES))

@@ -17,8 +17,11 @@ _VISIBLE = (
 )
 
 
+_INSIDE = r"""(?:[^>=]|=\s*(?:"[^"]*"|''[^'']*'')|=)*"""
+
+
 def _plain(markup: str, gap: str) -> str:
-    text = f"regexp_replace({markup}, '<[A-Za-z/!?][^>]*>?', {gap}, 'g')"
+    text = f"regexp_replace({markup}, '<[A-Za-z/!?]{_INSIDE}>?', {gap}, 'g')"
     for name, char in [("&middot;", "·"), ("&copy;", "©"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]:
         text = f"replace({text}, '{name}', '{char}')"
     return text
@@ -32,18 +35,27 @@ _LINES = (
     f"list_filter(list_transform(string_split({_plain(_VISIBLE, 'chr(10)')}, chr(10)), "
     f"lambda x: regexp_replace(x, '^{WS}+|{WS}+$', '', 'g')), lambda y: y <> '')"
 )
-_TITLE = _clean(_plain(r"regexp_extract(" + _VISIBLE + r", '(?is)<h1\b[^>]*>(.*?)(?:</h1\s*>|\z)', 1)", "' '"))
+_TITLE = _clean(_plain(r"regexp_extract(" + _VISIBLE + rf", '(?is)<h1\b{_INSIDE}>(.*?)(?:</h1\s*>|\z)', 1)", "' '"))
+
+
+# Every third page gets attributes with '>' in its headings.
+_QUOTED = """(SELECT page_id, CASE WHEN page_id % 3 = 0 THEN replace(html, '<h1', '<h1 title="a>b" lang=''x>y''') ELSE html END AS html FROM pages)"""
+
+
+def _quoted(t):
+    html = F.replace("html", F.lit("<h1"), F.lit("<h1 title=\"a>b\" lang='x>y'"))
+    return t.pages.select("page_id", F.when(F.col("page_id") % 3 == 0, html).otherwise(F.col("html")).alias("html"))
 
 
-@query("F2", f"SELECT page_id, len(l) AS n_lines, md5(array_to_string(l, chr(10))) AS digest FROM (SELECT page_id, {_LINES} AS l FROM pages) q")
+@query("F2", f"SELECT page_id, len(l) AS n_lines, md5(array_to_string(l, chr(10))) AS digest FROM (SELECT page_id, {_LINES} AS l FROM {_QUOTED} p) q")
 def page_text_lines(t):
-    lines = t.pages.select("page_id", H.text_lines(H.without_hidden(F.col("html"))).alias("l"))
+    lines = _quoted(t).select("page_id", H.text_lines(H.without_hidden(F.col("html"))).alias("l"))
     return lines.select("page_id", F.size("l").cast("bigint").alias("n_lines"), F.md5(F.array_join("l", "\n")).alias("digest"))
 
 
-@query("F3", f"SELECT page_id, {_TITLE} AS title FROM pages")
+@query("F3", f"SELECT page_id, {_TITLE} AS title FROM {_QUOTED} p")
 def page_titles(t):
-    return t.pages.select("page_id", H.title(H.without_hidden(F.col("html"))).alias("title"))
+    return _quoted(t).select("page_id", H.title(H.without_hidden(F.col("html"))).alias("title"))
 
 
 @query("F13 F14 F15", f"""
@@ -197,20 +209,20 @@ def block_reasons(t):
 
 
 @query("F12 P12 W5 F19", f"""
-  SELECT page_id, url || '|{BASE}/rel/' || page_id AS photos FROM pages""")
+  SELECT page_id, url || '|{BASE}/rel/' || page_id || '|{BASE}/quoted' AS photos FROM pages""")
 def photo_urls(t):
     html = F.concat(
         F.lit('<img data-src="" src="'), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("\"><IMG alt='src=' data-lazy-src=/rel/"),
-        F.col("page_id").cast("string"), F.lit(">"), F.lit("<img src='ftp://no'><!-- <img src='/hidden'> --><img alt=none><img src=\""),
+        F.col("page_id").cast("string"), F.lit(">"), F.lit("<img alt=\"1>0\" src='/quoted'><img src='ftp://no'><!-- <img src='/hidden'> --><img alt=none><img src=\""),
         F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit('">'),
     )
     return t.pages.select("page_id", H.photos(H.without_hidden(html), B.BASE_URL).alias("photos"))
 
 
 @query("F11", """
-  SELECT event_id, CASE WHEN event_id % 3 = 2 THEN '' ELSE array_to_string(list_transform(range(least(event_id % 25, 19)), lambda i: 'option ' || i), '|') END AS options FROM events""")
+  SELECT event_id, CASE WHEN event_id % 3 = 2 THEN '' ELSE array_to_string(list_transform(range(event_id % 25), lambda i: 'option ' || i), '|') END AS options FROM events""")
 def option_blocks(t):
-    """Up to 19 lines, cut by a heading or absent."""
+    """Up to 24 lines, cut by a heading or absent."""
     n = F.col("event_id")
     many = F.transform(F.sequence(F.lit(0), F.lit(30)), lambda i: F.concat(F.lit("option "), i.cast("string")))
     body = F.concat(F.slice(many, F.lit(1), (n % 25).cast("int")), F.array(F.when(n % 2 == 0, "Кузов").otherwise("PHOTOS 12")), F.array(F.lit("after")))

@@ -16,7 +16,9 @@ from motorlake.functions.text import (
 from motorlake.functions.values import flatten_list
 
 _HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style|template)\b.*?(?:</\1\s*>|\z)"
-_TAG = r"<[A-Za-z/!?][^>]*>?"
+# The inside of a tag: a quoted value may hold '>'. Possessive, so that no input backtracks or recurses.
+_INSIDE = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+"""
+_TAG = rf"<[A-Za-z/!?]{_INSIDE}>?"
 
 
 def without_hidden(html: Column) -> Column:
@@ -35,7 +37,7 @@ def text_lines(visible: Column) -> Column:
 
 def title(visible: Column) -> Column:
     """Text of the first h1."""
-    inner = F.regexp_extract(visible, r"(?is)<h1\b[^>]*>(.*?)(?:</h1\s*>|\z)", 1)
+    inner = F.regexp_extract(visible, rf"(?is)<h1\b{_INSIDE}>(.*?)(?:</h1\s*>|\z)", 1)
     return clean(unescape_entities(F.regexp_replace(inner, _TAG, " ")))
 
 
@@ -88,10 +90,10 @@ def seller_type(seller_name: Column) -> Column:
     return F.when(seller_name.isNotNull(), "dealer").otherwise("private")
 
 
-def options(lines: Column) -> Column:
-    """The lines under the options header, up to the next section."""
+def options(lines: Column, most: int | None = None) -> Column:
+    """The lines under the options header, up to the next section; at most ``most`` if given."""
     position = F.array_position(lines, fixed.LABEL_OPTIONS).cast("int")
-    window = F.slice(lines, position + 1, F.lit(fixed.OPTIONS_WINDOW))
+    window = F.slice(lines, position + 1, F.size(lines) if most is None else F.lit(most))
     is_stop = F.transform(window, lambda line: is_upper(line) | line.isin(fixed.OPTIONS_STOP_LABELS))
     stop = F.array_position(is_stop, True).cast("int")
     kept = F.when(stop > 0, F.slice(window, F.lit(1), stop - 1)).otherwise(window)
@@ -110,7 +112,7 @@ def _attribute(tag: Column, name: str) -> Column:
 
 def photos(visible: Column, base_url: str) -> Column:
     """Absolute image URLs, in page order, each once."""
-    tags = F.regexp_extract_all(visible, F.lit(r"(?is)<img\b[^>]*>"), F.lit(0))
+    tags = F.regexp_extract_all(visible, F.lit(rf"(?is)<img\b{_INSIDE}>"), F.lit(0))
     sources = F.transform(
         tags, lambda tag: F.coalesce(*[_attribute(tag, a) for a in ("data-src", "src", "data-lazy-src")])
     )
@@ -156,12 +158,15 @@ def listing_ids(html: Column) -> Column:
     return ids
 
 
-def block_reason(html: Column) -> Column:
-    """Why a page is a block page, null for a usable page. The first rule wins."""
+def block_reason(html: Column, short_page: int = fixed.SHORT_PAGE_CHARS, cf_ray_page: int = fixed.CF_RAY_CHARS) -> Column:
+    """Why a page is a block page, null for a usable page. The first rule wins.
+
+    Two rules hold for pages under ``short_page`` and ``cf_ray_page`` characters.
+    """
     lowered, size = F.lower(html), F.length(html)
     page_title = F.regexp_extract(lowered, r"<title[^>]*>([^<]+)</title>", 1)
     reason = F.when(
-        (size < fixed.SHORT_PAGE_CHARS) & contains_any(lowered, fixed.SHORT_PAGE_WORDS), fixed.SHORT_PAGE_REASON
+        (size < short_page) & contains_any(lowered, fixed.SHORT_PAGE_WORDS), fixed.SHORT_PAGE_REASON
     )
     for pattern, name in fixed.BLOCK_PATTERNS:
         # (?d): only a line feed ends a line for '.'
@@ -172,6 +177,6 @@ def block_reason(html: Column) -> Column:
         F.concat(F.lit(fixed.BLOCK_TITLE_REASON), F.substring(page_title, 1, fixed.BLOCK_TITLE_CHARS)),
     )
     return reason.when(
-        lowered.contains("cf-ray") & (size < fixed.CF_RAY_CHARS) & contains_any(lowered, fixed.CF_RAY_WORDS),
+        lowered.contains("cf-ray") & (size < cf_ray_page) & contains_any(lowered, fixed.CF_RAY_WORDS),
         fixed.CF_RAY_REASON,
     )

@@ -40,29 +40,42 @@ def contains_any(text: Column, words: list[str]) -> Column:
     return hit
 
 
-def _code_point(number: Column) -> Column:
-    """The character of a code point given as a big-endian 8-digit hex string."""
-    return F.decode(F.unhex(number), "UTF-32")
+# 128 to 159 mean Windows-1252 characters in a page; five of them are not assigned.
+_WINDOWS = {b: bytes([b]).decode("cp1252", "replace") for b in range(128, 160)}
+
+
+def _character(code: Column) -> Column:
+    """The character of a code point; U+FFFD for one that is no character."""
+    is_valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    safe = F.when(is_valid, code).otherwise(F.lit(0xFFFD).cast("bigint"))
+    windows = F.try_element_at(F.expr("map(" + ", ".join(f"{b}L, '{c}'" for b, c in _WINDOWS.items()) + ")"), safe)
+    return F.coalesce(windows, F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32"))
+
+
+def _number(digits: Column, base: int, longest: int) -> Column:
+    """A code point from its digits; too many of them are out of every range."""
+    kept = F.regexp_replace(digits, "^0+(?=.)", "")
+    read = F.conv(F.when(F.length(kept) <= longest, kept), base, 10).cast("bigint")
+    return F.when(digits != "", F.coalesce(read, F.lit(0).cast("bigint")))
 
 
 def unescape_entities(text: Column) -> Column:
     """Decode named and numeric character references in one left-to-right pass.
 
     The text is cut at every '&', so '&amp;lt;' yields '&lt;' and is not decoded
-    twice. References without ';' stay as they are.
+    twice. A number needs no ';'; a name without ';' stays as it is. No text can
+    raise: a number that is no character becomes U+FFFD.
     """
-    names = F.expr("map(" + ", ".join(f"'{name}', '{chr(code)}'" for name, code in name2codepoint.items()) + ")")
+    known = {**name2codepoint, "apos": 39}
+    names = F.expr("map(" + ", ".join(f'"{name}", "{chr(code)}"' if code == 39 else f"'{name}', '{chr(code)}'" for name, code in known.items()) + ")")
 
     def decode(piece: Column, index: Column) -> Column:
         name = F.regexp_extract(piece, r"^([A-Za-z][A-Za-z0-9]*);", 1)
-        decimal = capture(piece, r"^#0*(\d{1,7});")
-        hexa = capture(piece, r"^#[xX]0*([0-9A-Fa-f]{1,6});")
-        value = F.coalesce(
-            F.try_element_at(names, name),
-            _code_point(F.lpad(F.hex(decimal.cast("bigint")), 8, "0")),
-            _code_point(F.lpad(hexa, 8, "0")),
-        )
-        rest = F.regexp_replace(piece, r"^#?[A-Za-z0-9]+;", "")
+        decimal = F.regexp_extract(piece, r"^#([0-9]+)", 1)
+        hexa = F.regexp_extract(piece, r"^#[xX]([0-9A-Fa-f]+)", 1)
+        number = F.coalesce(_number(decimal, 10, 7), _number(hexa, 16, 6))
+        value = F.coalesce(F.try_element_at(names, name), F.when(number.isNotNull(), _character(number)))
+        rest = F.regexp_replace(piece, r"^(?:#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|[A-Za-z][A-Za-z0-9]*;)", "")
         decoded = F.coalesce(F.concat(value, rest), F.concat(F.lit("&"), piece))
         return F.when(index == 0, piece).otherwise(decoded)
 

@@ -48,17 +48,18 @@ def local_session(cores: str = "8", app: str = "motorlake") -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or the one set on the context.
 
-    Only where the session names none (unit tests) a temporary one is made.
+    Where the session names none, a local session (tests) gets a temporary one; a cluster must name it.
     """
     global _fallback_root
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _fallback_root is None:
         _fallback_root = tempfile.mkdtemp(prefix="motorlake-")
-        spark.sparkContext.setCheckpointDir(_fallback_root)
     return _fallback_root
 
 

@@ -87,8 +87,9 @@ def target_type(kind: T.DataType) -> str:
     return next((name for kinds, name in _TARGET_TYPES if isinstance(kind, kinds)), "TEXT")
 
 
-def target_columns(schema: T.StructType) -> str:
-    return ", ".join(f"{f.name} {target_type(f.dataType)}" for f in schema.fields)
+def column_types(schema: T.StructType) -> str:
+    """Column types of a created table, in Spark's own names, which the database's dialect maps; decimals keep their size."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
 def target_profile(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from motorlake.schemas import GOLD_ORDER, LAKE
-from motorlake.sinks.files import conform, counted_write, export_table, target_columns, write_table
+from motorlake.sinks.files import column_types, conform, counted_write, export_table, write_table
 
 
 @dataclass
@@ -37,7 +37,7 @@ class JdbcSink:
                 rows.write.format("jdbc").mode("overwrite").options(**self.properties)
                 .option("url", self.url).option("dbtable", f"{self.schema}.{table}")
                 .option("truncate", True).option("batchsize", 10_000)
-                .option("createTableColumnTypes", target_columns(rows.schema)).save()
+                .option("createTableColumnTypes", column_types(rows.schema)).save()
             )
 
         return counted_write(df, write)
@@ -62,7 +62,8 @@ def get_sink(name: str, **options):
 def publish(tables: dict[str, DataFrame], sink, export_root: str, as_of) -> list[tuple]:
     """Export and load each gold table, dimensions first.
 
-    A failing table is reported and does not stop the others. The loop runs
+    A failing table is reported and does not stop the others; ``raise_failed``
+    ends the run after them. The loop runs
     over table names; each step is a distributed write. The load reads the
     export back, so a table is computed once.
     """
@@ -80,6 +81,13 @@ def publish(tables: dict[str, DataFrame], sink, export_root: str, as_of) -> list
     return results
 
 
+def raise_failed(results: list[tuple]) -> None:
+    """Fail a publishing run at its end if any of its tables failed."""
+    failed = [f"{name}: {error}" for name, _, status, error in results if status == "failed"]
+    if failed:
+        raise RuntimeError("tables not published: " + "; ".join(failed))
+
+
 def publish_summary(spark: SparkSession, results: list[tuple]) -> DataFrame:
     """One row per table (at most six)."""
     return spark.createDataFrame(results, "table_name string, rows long, status string, error string")

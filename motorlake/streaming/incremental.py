@@ -64,10 +64,11 @@ class LakeStore:
         """Rows one batch appended."""
         return self._read(table, _with_batch(schema)).where(F.col("batch") == batch).select(*schema.names)
 
-    def append(self, table: str, rows: DataFrame, batch: int) -> None:
+    def append(self, table: str, rows: DataFrame, batch: int, *partition: str) -> None:
+        """Add a batch, below the given partition columns if any; a repeated batch replaces itself."""
         (
             rows.withColumn("batch", F.lit(batch).cast("bigint")).write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(self._path(table))
+            .option("partitionOverwriteMode", "dynamic").partitionBy(*partition, "batch").parquet(self._path(table))
         )
 
     def version(self, table: str, schema: T.StructType, batch: int) -> DataFrame:
@@ -182,34 +183,36 @@ def run_price_detector(stream: DataFrame, store: LakeStore, checkpoint: str) ->
     _run(stream, checkpoint, handle)
 
 
-def exactly_once(stream: DataFrame, delay: str) -> DataFrame:
-    """Drop repeated (listing_id, fetched_at) rows that arrive within ``delay``."""
-    return stream.withWatermark("fetched_at", delay).dropDuplicatesWithinWatermark(["listing_id", "fetched_at"])
+_OBSERVATION = ["listing_id", "fetched_at"]
 
 
-def run_ingest(stream: DataFrame, path: str, checkpoint: str, delay: str) -> None:
-    """De-duplicated observations, appended to bronze."""
-    query = (
-        exactly_once(stream, delay).writeStream.outputMode("append").format("parquet")
-        .option("checkpointLocation", checkpoint).option("path", path).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+def run_ingest(stream: DataFrame, store: LakeStore, checkpoint: str) -> DataFrame:
+    """Bronze with every (listing_id, fetched_at) once, however late a row or its repeat arrives.
+
+    A batch is compared with the stored rows of the days it touches; no state is kept in memory.
+    """
+    day = T.StructField("fetch_date", T.DateType())
+    schema = T.StructType([*stream.schema.fields, day])
 
+    def handle(rows: DataFrame, batch: int) -> None:
+        new = rows.dropDuplicates(_OBSERVATION).withColumn("fetch_date", F.to_date("fetched_at"))
+        held = within_partitions(store.appended("bronze", schema, before=batch), new, "fetch_date")
+        fresh = new_keys_only(held.select(*_OBSERVATION), new, _OBSERVATION)
+        store.append("bronze", fresh, batch, "fetch_date")
 
-def hourly_counters(outcomes: DataFrame, delay: str) -> DataFrame:
-    """Run counters per hour of event time."""
-    windowed = outcomes.withWatermark("at", delay).withColumn("hour", F.window("at", "1 hour"))
-    counters = run_counters(windowed, "hour")
-    return counters.withColumn("hour", F.col("hour.start"))
+    _run(stream, checkpoint, handle)
+    return store.appended("bronze", schema).drop("fetch_date")
 
 
-def run_hourly_counters(stream: DataFrame, store: LakeStore, checkpoint: str, delay: str) -> DataFrame:
-    """Hourly counters, kept up to date as batches arrive.
+def run_hourly_counters(stream: DataFrame, store: LakeStore, checkpoint: str) -> DataFrame:
+    """Run counters per hour of event time, kept up to date as batches arrive.
 
-    Update mode emits each changed hour once per batch; the newest batch of an
-    hour is its value, so the last, still open hours are in the result too.
+    Counts add up: each batch appends its own counts, late outcomes included, and reading sums them.
     """
-    counters = hourly_counters(stream, delay)
-    _run(counters, checkpoint, lambda rows, batch: store.append("hourly_counters", rows, batch), "update")
-    emitted = store._read("hourly_counters", _with_batch(counters.schema))
-    return last_per_key(emitted, ["hour"], ["batch"]).drop("batch")
+    def counters(rows: DataFrame) -> DataFrame:
+        return run_counters(rows.withColumn("hour", F.date_trunc("hour", "at")), "hour")
+
+    schema = counters(stream.sparkSession.createDataFrame([], stream.schema)).schema
+    _run(stream, checkpoint, lambda rows, batch: store.append("hourly_counters", counters(rows), batch))
+    parts = store.appended("hourly_counters", schema)
+    return parts.groupBy("hour").agg(*[F.sum(c).alias(c) for c in parts.columns if c != "hour"])
