@@ -142,6 +142,25 @@ def upsert_snapshots(snapshots: DataFrame, days: DataFrame) -> DataFrame:
     )
 
 
+def upsert_snapshot_state(state: DataFrame, days: DataFrame) -> DataFrame:
+    """``upsert_snapshots`` for batches in any order of time.
+
+    The state also holds when each listing was last fetched and last missing on a day (days with misses only
+    included), so an older observation that arrives late never overwrites a newer one.
+    """
+    batch = days.selectExpr(
+        "listing_id", "snapshot_date", "last.price_kzt", "last.photo_count", "CAST(NULL AS INT) AS views",
+        "last.fetched_at AS seen_at", "gone_at",
+    )
+    seen, gone = "greatest(b.seen_at, t.seen_at)", "greatest(b.gone_at, t.gone_at)"
+    return upsert(
+        state, batch, ["listing_id", "snapshot_date"],
+        overwrite=["price_kzt", "photo_count"], keep=["views"],
+        computed={"seen_at": seen, "gone_at": gone, "is_active": f"coalesce({seen} >= {gone}, {seen} IS NOT NULL)"},
+        apply_when="b.seen_at IS NOT NULL AND (t.seen_at IS NULL OR b.seen_at >= t.seen_at)",
+    )
+
+
 def merge_snapshots(snapshots: DataFrame, observations: DataFrame) -> DataFrame:
     return upsert_snapshots(snapshots, day_summary(observations))
 

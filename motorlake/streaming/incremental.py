@@ -91,6 +91,16 @@ class LakeStore:
         )
 
 
+#: Snapshots with the times that decide between observations of a day.
+_SNAPSHOT_STATE = T.StructType(
+    [*SNAPSHOT_DAILY.fields, T.StructField("seen_at", T.TimestampType()), T.StructField("gone_at", T.TimestampType())])
+
+
+def stored_snapshots(store: LakeStore) -> DataFrame:
+    """The daily snapshots: days on which a listing was fetched."""
+    return store.partitioned("snapshots", _SNAPSHOT_STATE).where(F.col("seen_at").isNotNull()).select(*SNAPSHOT_DAILY.names)
+
+
 def merge_silver(store: LakeStore, observations: DataFrame, batch: int) -> None:
     """Current state, snapshots and price events of one micro-batch."""
     valid, rejected = S.split_valid(observations)
@@ -100,8 +110,8 @@ def merge_silver(store: LakeStore, observations: DataFrame, batch: int) -> None:
     store.write_version("current", S.merge_current(before, valid), batch)
 
     days = S.day_summary(valid)
-    touched = within_partitions(store.partitioned("snapshots", SNAPSHOT_DAILY), days, "snapshot_date")
-    store.replace_partitions("snapshots", S.upsert_snapshots(touched, days), "snapshot_date")
+    touched = within_partitions(store.partitioned("snapshots", _SNAPSHOT_STATE), days, "snapshot_date")
+    store.replace_partitions("snapshots", S.upsert_snapshot_state(touched, days), "snapshot_date")
 
 
 def merge_gold(store: LakeStore, calendar: DataFrame, batch: int, days: DataFrame | None = None) -> None:
@@ -125,7 +135,7 @@ def merge_gold(store: LakeStore, calendar: DataFrame, batch: int, days: DataFram
 
     dims = {name: store.appended(name, schemas[name]) for name in [*sources, "dim_date"]}
     keys = G.listing_keys(current, dims["dim_location"], dims["dim_vehicle"], dims["dim_seller"])
-    snapshots = store.partitioned("snapshots", SNAPSHOT_DAILY)
+    snapshots = stored_snapshots(store)
     stored = store.partitioned("fact_listing_daily", FACT_LISTING_DAILY)
     if days is not None:
         snapshots = within_partitions(snapshots, days, "snapshot_date")
