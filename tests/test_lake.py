@@ -152,3 +152,23 @@ def test_one_key_orphans_are_one_row(spark):
     child = spark.range(1000).selectExpr("IF(id < 900, 7, id) AS k")
     parent = spark.range(900, 1000)
     assert rows(orphan_counts(child, "k", parent, "id")) == [(7, 900)]
+
+
+def test_created_database_columns_keep_their_types(spark):
+    from motorlake.schemas import LAKE
+    from motorlake.sinks.files import column_types
+
+    parser = spark._jsparkSession.sessionState().sqlParser()
+    for schema in LAKE["gold"].values():
+        parsed = parser.parseTableSchema(column_types(schema))
+        assert [f.dataType().simpleString() for f in parsed.fields()] == [f.dataType.simpleString() for f in schema.fields]
+
+
+def test_failed_table_fails_the_run_at_its_end():
+    import pytest
+
+    from motorlake.sinks.publish import raise_failed
+
+    raise_failed([("dim_date", 3, "loaded", None)])
+    with pytest.raises(RuntimeError, match="dim_seller: boom"):
+        raise_failed([("dim_date", 3, "loaded", None), ("dim_seller", None, "failed", "boom")])
