@@ -214,12 +214,12 @@ def gold(t: Tables) -> GoldLake:
 
 
 def wide_snapshots(t: Tables) -> DataFrame:
-    """Snapshots from ``lineitem``: much larger, and not unique per day."""
+    """Snapshots from ``lineitem``: much larger, not unique per day, some outside the calendar."""
     return t.lineitem.select(
-        F.col("l_partkey").alias("listing_id"), F.to_date("l_shipdate").alias("snapshot_date"),
+        F.col("l_partkey").alias("listing_id"), F.date_add(F.lit(dt.date(2022, 12, 1)), F.datediff("l_shipdate", F.lit(dt.date(1992, 1, 1))) % 900).alias("snapshot_date"),
         F.col("l_extendedprice").cast("decimal(14,2)").alias("price_kzt"),
         (F.col("l_linestatus") == "O").alias("is_active"),
-        F.lit(None).cast("int").alias("views"), F.col("l_linenumber").alias("photo_count"),
+        F.lit(None).cast("bigint").alias("views"), F.col("l_linenumber").alias("photo_count"),
     )
 
 
@@ -289,9 +289,9 @@ def listing_pages(t: Tables) -> DataFrame:
 
 
 def view_payloads(t: Tables) -> DataFrame:
-    """One response per event, in every shape a response may have."""
+    """One response per event, in every shape a response may have; every seventh count is above 32 bits."""
     user = F.col("user_id").cast("string")
-    whole = F.col("event_id").cast("string")
+    whole = (F.col("event_id") + F.when(F.col("event_id") % 7 == 0, 3_000_000_000).otherwise(0)).cast("string")
     shapes = [
         F.concat(F.lit('{"data": {"'), user, F.lit('": '), whole, F.lit("}}")),
         F.concat(F.lit('{"data": {"'), user, F.lit('": '), whole, F.lit(".9}}")),
@@ -304,6 +304,7 @@ def view_payloads(t: Tables) -> DataFrame:
         F.concat(F.lit('{"data": ['), whole, F.lit("]}")),
         F.lit('{"status": "empty"}'),
         F.lit("<html>busy</html>"),
+        F.concat(F.lit('{"data": {"'), user, F.lit('": '), whole, F.lit('}} {"data": 1}')),
     ]
     n = F.pmod(F.col("event_id"), F.lit(len(shapes)))
     body = F.when(n == 0, shapes[0])

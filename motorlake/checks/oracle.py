@@ -106,7 +106,7 @@ def _silver(suffix: str, where: str) -> None:
              NOT EXISTS (SELECT 1 FROM seen{suffix} x WHERE x.listing_id = g.listing_id
                          AND x.http_status = 404 AND x.fetched_at > g.fetched_at
                          AND CAST(x.fetched_at AS DATE) = g.day) AS is_active,
-             CAST(NULL AS INTEGER) AS views, g.photo_count
+             CAST(NULL AS BIGINT) AS views, g.photo_count
       FROM (SELECT *, CAST(fetched_at AS DATE) AS day,
                    row_number() OVER (PARTITION BY listing_id, CAST(fetched_at AS DATE) ORDER BY fetched_at DESC) AS rn
             FROM seen{suffix} WHERE http_status < 400) g
@@ -196,8 +196,8 @@ view("fetched", "", """
 
 # What each payload shape means; the JSON itself is not parsed here.
 view("vcounts", "", """
-  SELECT event_id, user_id AS listing_id, CAST(event_id AS INTEGER) AS views
-  FROM events WHERE event_id % 11 IN (0, 1, 2, 3, 4, 5)""")
+  SELECT event_id, user_id AS listing_id, CAST(event_id + CASE WHEN event_id % 7 = 0 THEN 3000000000 ELSE 0 END AS BIGINT) AS views
+  FROM events WHERE event_id % 12 IN (0, 1, 2, 3, 4, 5)""")
 
 view("outs", "obs", """
   SELECT CAST(fetched_at AS DATE) AS run, listing_id, fetched_at AS "at",
@@ -224,7 +224,7 @@ view("runs", "obs", """
   FROM (SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY fetched_at DESC) AS rn FROM obs) q WHERE rn = 1""")
 
 view("wide", "", """
-  SELECT l_partkey AS listing_id, CAST(l_shipdate AS DATE) AS snapshot_date,
+  SELECT l_partkey AS listing_id, DATE '2022-12-01' + CAST((CAST(l_shipdate AS DATE) - DATE '1992-01-01') % 900 AS INTEGER) AS snapshot_date,
          CAST(l_extendedprice AS DECIMAL(14,2)) AS price_kzt, l_linestatus = 'O' AS is_active,
-         CAST(NULL AS INTEGER) AS views, l_linenumber AS photo_count
+         CAST(NULL AS BIGINT) AS views, l_linenumber AS photo_count
   FROM lineitem""")

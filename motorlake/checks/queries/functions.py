@@ -89,7 +89,7 @@ def object_keys(t):
 
 
 @query("S4 T6", """
-  SELECT event_id, CASE WHEN event_id % 11 = 6 THEN 'x' ELSE '' END || user_id AS id_text FROM events WHERE event_id % 11 < 8""")
+  SELECT event_id, CASE WHEN event_id % 12 = 6 THEN 'x' ELSE '' END || user_id AS id_text FROM events WHERE event_id % 12 < 8""")
 def payload_entries(t):
     return read_entries(B.view_payloads(t), carry=["event_id"]).select("event_id", "id_text")
 
@@ -100,7 +100,7 @@ def payload_view_counts(t):
 
 
 @query("T7", """
-  SELECT CASE WHEN event_id % 11 < 8 THEN 'ok' WHEN event_id % 11 = 8 THEN 'not_an_object' WHEN event_id % 11 = 9 THEN 'empty' ELSE 'unreadable' END AS shape,
+  SELECT CASE WHEN event_id % 12 < 8 THEN 'ok' WHEN event_id % 12 = 8 THEN 'not_an_object' WHEN event_id % 12 = 9 THEN 'empty' ELSE 'unreadable' END AS shape,
          count(*) AS n FROM events GROUP BY 1""")
 def payload_shapes(t):
     return B.view_payloads(t).groupBy(payload_shape(F.col("body")).alias("shape")).agg(F.count(F.lit(1)).alias("n"))

@@ -144,7 +144,7 @@ def first_snapshot_per_day(t):
   ORDER BY date_key, listing_id, q.price_kzt DESC NULLS LAST, photo_count DESC NULLS LAST, is_active DESC""",
   "wide cur cal loc veh sel")
 def star_resolve_unkeyed_snapshots(t):
-    """Snapshots with several rows a day, most of them outside the calendar."""
+    """Snapshots with several rows a day, some of them outside the calendar."""
     current = _current(t)
     dims = B.dimensions(t, current)
     keys = G.listing_keys(current, dims.dim_location, dims.dim_vehicle, dims.dim_seller)

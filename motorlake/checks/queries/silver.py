@@ -77,7 +77,7 @@ def last_observation_per_day(t):
 
 @query("M3 M4", """
   SELECT s.listing_id, s.snapshot_date::VARCHAR AS snapshot_date, CAST(s.price_kzt AS DOUBLE) AS price_kzt, s.is_active,
-         CASE WHEN a.listing_id IS NOT NULL THEN 7 END AS views, s.photo_count
+         CASE WHEN a.listing_id IS NOT NULL THEN 7::BIGINT END AS views, s.photo_count
   FROM snap s LEFT JOIN snap_a a USING (listing_id, snapshot_date)""", "snap snap_a")
 def daily_snapshot_upsert(t):
     """Views stored before the second batch survive it."""

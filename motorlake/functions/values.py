@@ -106,5 +106,4 @@ def view_count(value: Column, raw: Column) -> Column:
         .when(_filled(views), views).when(_filled(count), count).when(_present(other), other)
         .otherwise(first_number(raw))
     )
-    counted = F.get(F.transform(F.array(chosen), _as_count), F.lit(0))
-    return counted.try_cast("int")
+    return F.get(F.transform(F.array(chosen), _as_count), F.lit(0))

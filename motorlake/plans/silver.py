@@ -130,7 +130,7 @@ def upsert_snapshots(snapshots: DataFrame, days: DataFrame) -> DataFrame:
     """Merge day summaries. A new row has unknown views; an update keeps the views
     it finds. A miss after the day's last good fetch deactivates that day's row."""
     batch = days.selectExpr(
-        "listing_id", "snapshot_date", "last.price_kzt", "last.photo_count", "CAST(NULL AS INT) AS views",
+        "listing_id", "snapshot_date", "last.price_kzt", "last.photo_count", "CAST(NULL AS BIGINT) AS views",
         "last.fetched_at AS seen_at", "gone_at",
     )
     is_missing = "b.gone_at IS NOT NULL AND (b.seen_at IS NULL OR b.gone_at > b.seen_at)"
@@ -149,7 +149,7 @@ def upsert_snapshot_state(state: DataFrame, days: DataFrame) -> DataFrame:
     included), so an older observation that arrives late never overwrites a newer one.
     """
     batch = days.selectExpr(
-        "listing_id", "snapshot_date", "last.price_kzt", "last.photo_count", "CAST(NULL AS INT) AS views",
+        "listing_id", "snapshot_date", "last.price_kzt", "last.photo_count", "CAST(NULL AS BIGINT) AS views",
         "last.fetched_at AS seen_at", "gone_at",
     )
     seen, gone = "greatest(b.seen_at, t.seen_at)", "greatest(b.gone_at, t.gone_at)"

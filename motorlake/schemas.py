@@ -52,7 +52,7 @@ LISTING_CURRENT = _table(
 
 SNAPSHOT_DAILY = _table(
     ("listing_id", L, False), ("snapshot_date", D, False), ("price_kzt", MONEY),
-    ("is_active", B, False), ("views", I), ("photo_count", I),
+    ("is_active", B, False), ("views", L), ("photo_count", I),
 )
 
 PRICE_EVENT = _table(
@@ -79,7 +79,7 @@ DIM_SELLER = _table(
 FACT_LISTING_DAILY = _table(
     ("date_key", I, False), ("listing_id", L, False), ("location_key", L, False),
     ("vehicle_key", L, False), ("seller_key", L, False), ("price_kzt", MONEY), ("is_active", B, False),
-    ("days_on_site", I), ("views", I), ("photo_count", I),
+    ("days_on_site", I), ("views", L), ("photo_count", I),
 )
 
 FACT_PRICE_EVENT = _table(

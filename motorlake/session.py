@@ -17,6 +17,7 @@ _SQL_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # A JSON object with a repeated key keeps the last value instead of failing.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Wide merges build many expressions; skip a stack trace for each of them.
     "spark.sql.dataFrameQueryContext.enabled": "false",
 }

@@ -8,12 +8,18 @@ from pyspark.sql import functions as F
 from motorlake.functions.values import digits_id, needs_member_order, view_count
 
 
+def _document(body: Column) -> Column:
+    """The payload as the only element of an array, so that text after it makes it unreadable; null if it is."""
+    parsed = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
+    return F.when(F.try_variant_get(parsed, "$[1]", "variant").isNull(), parsed)
+
+
 def payload_shape(body: Column) -> Column:
     """'ok', 'empty' (no ``data``), 'not_an_object' or 'unreadable'."""
-    parsed = F.try_parse_json(body)
-    data = F.try_variant_get(parsed, "$.data", "variant")
+    parsed = _document(body)
+    data = F.try_variant_get(parsed, "$[0].data", "variant")
     return (
-        F.when(parsed.isNull(), "unreadable")
+        F.when(F.try_variant_get(parsed, "$[0]", "variant").isNull(), "unreadable")
         .when(data.isNull(), "empty")
         .when(F.schema_of_variant(data).startswith("OBJECT"), "ok")
         .otherwise("not_an_object")
@@ -23,15 +29,14 @@ def payload_shape(body: Column) -> Column:
 def read_entries(payloads: DataFrame, body: str = "body", carry: list[str] = ()) -> DataFrame:
     """One row per map entry: (id_text, value, raw). Bad shapes yield no rows.
 
-    ``raw``, the entry's JSON text, is only read for payloads with an object
-    that has to be searched in member order; elsewhere it is null.
+    A payload is parsed once. ``raw``, an entry's JSON text, is only read for
+    payloads with an object that has to be searched in member order; elsewhere
+    it is null.
     """
-    values = F.from_json(F.col(body), "struct<data:map<string,variant>>")["data"]
+    values = F.try_variant_get(_document(F.col(body)), "$[0].data", "map<string,variant>")
     texts = F.from_json(F.col(body), "struct<data:map<string,string>>")["data"]
-    parsed = payloads.select(*carry, body, values.alias("_values"))
-    # An object entry is the third brace of a payload at the earliest.
-    braces = F.length(body) - F.length(F.replace(body, F.lit("{")))
-    ordered = F.when(braces > 2, F.exists(F.map_values("_values"), needs_member_order))
+    parsed = payloads.select(*carry, body, values.alias("_values")).where(F.col("_values").isNotNull())
+    ordered = F.exists(F.map_values("_values"), needs_member_order)
     with_text = parsed.select(*carry, "_values", F.when(ordered, texts).alias("_raw"))
     return with_text.select(*carry, F.explode("_values").alias("id_text", "value"), "_raw").select(
         *carry, "id_text", "value", F.try_element_at("_raw", F.col("id_text")).alias("raw")
