@@ -47,13 +47,36 @@ def small_side(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+#: Rows of a list of documents that may be broadcast (some tens of bytes each).
+CHOSEN_ROWS = 500_000
+
+
+def identity(key: str, text: str) -> Column:
+    """A row's number by its key and text: repeated rows share it, and reading the table again gives it again."""
+    return F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`"))
+
+
+def rows_chosen(docs: DataFrame, chosen: DataFrame, key: str, text: str) -> DataFrame:
+    """The rows of ``docs`` (all columns, any names) whose ``identity`` is ``chosen`` (``_id``, ``_many``), each once.
+
+    ``_many`` says how many rows share the identity. Only rows that are repeated are shuffled to become one.
+    """
+    side = small_side(chosen, CHOSEN_ROWS)
+    found = docs.select(identity(key, text).alias("_own"), nested(docs)).join(side, F.col("_own") == F.col("_id"))
+    once = found.where(F.col("_many") == 1).unionByName(found.where(F.col("_many") > 1).dropDuplicates(["_own"]))
+    return unnested(once, docs.columns)
+
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Hand the package's source to the executors, once per application, so that tasks can import it anywhere."""
+    """In a local session, hand the package's source to the workers once, so that tasks find it from any folder.
+
+    On a cluster the package comes with the job (``--py-files`` or ``PYTHONPATH``), and nothing is done.
+    """
     context = spark.sparkContext
-    if context.applicationId in _shipped:
+    if context.applicationId in _shipped or not (context.master == "local" or context.master.startswith("local[")):
         return
     package = Path(__file__).resolve().parent.parent
     archive = Path(tempfile.mkdtemp(prefix="motorlake-")) / "motorlake_source.zip"

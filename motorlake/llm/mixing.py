@@ -13,17 +13,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from motorlake.llm.common import ROW, nested, small_side, staged, unnested
-from motorlake.llm.language import SAMPLE_BROADCAST, sample
+from motorlake.llm.common import CHOSEN_ROWS, ROW, identity, nested, small_side, staged, unnested
+from motorlake.llm.language import SAMPLE_BROADCAST
 from motorlake.llm.shingles import texts, word_hashes
 
 FEATURE_BITS = 18
 #: Labelled rows per domain that the classifier learns from, at most.
 SAMPLE_PER_DOMAIN = 4000
-EPOCHS = 30
+EPOCHS = 10
 STEPS = 60
 TOLERANCE = 1e-4
 #: Weight of staying near rate 1; it makes the solution unique.
@@ -48,18 +48,23 @@ class DomainModel:
         return e / e.sum()
 
 
-def fit(labelled: DataFrame, per_domain: int = SAMPLE_PER_DOMAIN, seed: int = 3) -> DomainModel:
-    """A model from ``doc_id, text, domain``, fitted on at most ``per_domain`` rows of each domain (smallest hashes).
+def fit(docs: DataFrame, marks: DataFrame, per_domain: int = SAMPLE_PER_DOMAIN, seed: int = 3, key: str = "doc_id",
+        text: str = "text") -> DomainModel:
+    """A model from the texts of at most ``per_domain`` marked documents of each domain (those with the smallest hashes).
 
-    Rows without text or domain teach nothing. Only integer places of the sample come to the driver.
+    The sample is drawn from the narrow marks (``doc_id, domain``, each id once) before any text is fetched. Marks
+    without domain and documents without text teach nothing. Only integer places of the sample come to the driver.
     """
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             raw = [places(t)[0].astype(np.int32).tobytes() for t in texts(b.column("text"))]
             yield pa.RecordBatch.from_pydict({"domain": b.column("domain"), "places": pa.array(raw, pa.binary())})
 
-    usable = labelled.where(F.col("domain").isNotNull() & F.col("text").isNotNull())
-    taken = sample(usable.select("doc_id", "text", "domain"), "domain", per_domain)
+    order = Window.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id")
+    drawn = marks.where(F.col("domain").isNotNull()).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_domain)
+    side = small_side(staged(drawn.select(F.col("doc_id").alias("_id"), "domain"), "drawn"), SAMPLE_BROADCAST)
+    whole = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").cast("string").alias("text")).where(F.col("text").isNotNull())
+    taken = whole.join(side, F.col("_key") == F.col("_id"))
     rows = taken.select("text", "domain").mapInArrow(features, "domain string, places binary").toPandas()
     rows = rows.sort_values(["domain", "places"])
     domains = sorted(set(rows.domain))
@@ -151,39 +156,32 @@ def rates(members: DataFrame, domains: list[str], targets: dict[str, float], ste
     return members.withColumn("rate", _replay(done, size))
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], key: str = "doc_id", text: str = "text",
-        carry: bool = False) -> tuple[DataFrame, list[str]]:
-    """Posterior and rate of every document, written once; with ``carry`` also the row itself, as ``_row``."""
-    model = fit(labelled)
-    if carry:
-        rows = staged(docs.select(F.monotonically_increasing_id().alias("_uid"), nested(docs)), "mix-rows")
-        found = posteriors(rows.select("_uid", F.col(f"{ROW}.`{text}`").alias("_text")), model, "_uid", "_text")
-    else:
-        rows, found = None, posteriors(docs, model, key, text)
-    rated = rates(staged(found, "posteriors"), model.domains, targets)
-    if carry:
-        rated = rated.withColumnRenamed("doc_id", "_uid").join(rows, "_uid")
-    return rated, model.domains
+def mix(docs: DataFrame, marks: DataFrame, targets: dict[str, float], key: str = "doc_id", text: str = "text") -> tuple[DataFrame, list[str]]:
+    """Posterior and rate of every document (``doc_id, n_tokens, posterior, rate``), and the domains in their order."""
+    model = fit(docs, marks, key=key, text=text)
+    return rates(staged(posteriors(docs, model, key, text), "posteriors"), model.domains, targets), model.domains
 
 
-def resample(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], key: str = "doc_id", text: str = "text",
+def resample(docs: DataFrame, marks: DataFrame, targets: dict[str, float], key: str = "doc_id", text: str = "text",
              seed: int = 11) -> DataFrame:
     """The documents repeated or left out by their rates, with all their columns.
 
     A document comes floor(rate) times, and once more with the probability of the fraction, decided by a hash of its
     key, its text and the seed; a document without tokens comes once.
     """
-    rated, _ = mix(docs, labelled, targets, key, text, carry=True)
-    draw = F.pmod(F.xxhash64(F.col(f"{ROW}.`{key}`"), F.col(f"{ROW}.`{text}`"), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    model = fit(docs, marks, key=key, text=text)
+    own = docs.select(identity(key, text).alias("id"), F.col(f"`{text}`").alias("t"))
+    rated = rates(staged(posteriors(own, model, "id", "t"), "posteriors"), model.domains, targets)
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     times = F.when(F.col("n_tokens") > 0, F.floor(F.col("rate")) + (draw < F.col("rate") - F.floor("rate")).cast("int")).otherwise(1)
-    copies = rated.withColumn("_times", times.cast("int")).where("_times > 0")
-    return unnested(copies.select(F.explode(F.expr("sequence(1, _times)")), ROW), docs.columns)
+    counted = rated.select(F.col("doc_id").alias("_id"), times.cast("int").alias("_times")).where("_times > 0").distinct()
+    side = small_side(staged(counted, "times"), CHOSEN_ROWS)
+    found = docs.select(identity(key, text).alias("_own"), nested(docs)).join(side, F.col("_own") == F.col("_id"))
+    return unnested(found.select(F.explode(F.expr("sequence(1, _times)")), ROW), docs.columns)
 
 
-def label_domains(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, text, domain`` of the labelled documents: toxic, poor or good; a missing mark teaches nothing."""
+def domain_marks(labels: DataFrame) -> DataFrame:
+    """``doc_id, domain`` of the labels: toxic, poor or good; a missing mark teaches nothing."""
     domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "poor").when(F.col("quality") == 1, "good")
-    marks = labels.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_id"), domain.alias("domain"))
-    marks = marks.groupBy("_id").agg(F.max("domain").alias("domain"))  # of conflicting marks the worst by name: toxic first
-    rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return rows.join(small_side(marks, SAMPLE_BROADCAST), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "domain")
+    marks = labels.where(F.col("doc_id").isNotNull()).select("doc_id", domain.alias("domain"))
+    return marks.groupBy("doc_id").agg(F.max("domain").alias("domain"))  # of conflicting marks the worst by name: toxic first

@@ -70,7 +70,7 @@ TARGETS = {"good": 0.95, "poor": 0.05, "toxic": 0.0}
 @query()
 def op5_soft_membership_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    rated, domains = mixing.mix(docs, mixing.label_domains(docs, table(spark, folder, "labels")), TARGETS)
+    rated, domains = mixing.mix(docs, mixing.domain_marks(table(spark, folder, "labels")), TARGETS)
     shares = [F.col("posterior")[i].alias(f"p_{d}") for i, d in enumerate(domains)]
     return rated.select("doc_id", "n_tokens", *shares, "rate")
 

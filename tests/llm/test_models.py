@@ -62,7 +62,7 @@ def test_mixing_meets_targets(llm):
     labels += [(None, 1, 0), (3, None, None), (5000, 1, 0)]
     d = llm.createDataFrame(docs + [(900, None), (901, ""), (0, docs[0][1]), (None, "alpha")], "doc_id bigint, text string")
     d = d.selectExpr("*", "'x' AS rate", "'y' AS domain", "1 AS _id")
-    labelled = mixing.label_domains(d, llm.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    labelled = mixing.domain_marks(llm.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
     targets = {"good": 0.8, "poor": 0.2}
     rated, domains = mixing.mix(d, labelled, targets)
     rows = rated.toPandas()
@@ -84,10 +84,10 @@ def test_mixing_meets_targets(llm):
 
 def test_mixing_without_rows_or_labels(llm, odd, none):
     marks = llm.createDataFrame([], "doc_id bigint, quality int, toxic int")
-    rated, domains = mixing.mix(odd, mixing.label_domains(odd, marks), {"good": 1.0})
+    rated, domains = mixing.mix(odd, mixing.domain_marks(marks), {"good": 1.0})
     assert domains == [] and {r.rate for r in rated.collect()} == {1.0}
-    assert mixing.resample(odd, mixing.label_domains(odd, marks), {}).count() == len(ODD)
-    assert mixing.resample(none, mixing.label_domains(none, marks), {}).count() == 0
+    assert mixing.resample(odd, mixing.domain_marks(marks), {}).count() == len(ODD)
+    assert mixing.resample(none, mixing.domain_marks(marks), {}).count() == 0
 
 
 def secret_rows():
