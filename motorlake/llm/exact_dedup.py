@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from motorlake.llm.common import ROW, nested, staged, unnested
+from motorlake.llm.common import identity, rows_chosen, staged
 
 SUPPORT = 0.001
 
@@ -40,12 +40,12 @@ def _marked(rows: DataFrame, support: float) -> DataFrame:
     return hot_rows.unionByName(rest.join(_winners(rest), "digest"))
 
 
-def numbered(docs: DataFrame, key: str, text: str, carry: bool) -> DataFrame:
-    """Row number, key and digest of every row, written once so that the numbers stay what they are."""
-    extra = [nested(docs)] if carry else []
+def numbered(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Row number, identity, key and digest of every row, written once so that the numbers stay what they are."""
     return staged(docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(f"`{key}`").cast("bigint").alias("key"),
-        F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"), 256).alias("digest"), *extra), "exact-dedup")
+        F.monotonically_increasing_id().alias("row"), identity(key, text).alias("id"),
+        F.col(f"`{key}`").cast("bigint").alias("key"),
+        F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"), 256).alias("digest")), "exact-dedup")
 
 
 def mark_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", support: float = SUPPORT) -> DataFrame:
@@ -56,7 +56,7 @@ def mark_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", suppor
     only has a null ``keep_id``. Rows repeated with key and text count each, and exactly one of them is kept. Texts of
     any length are digested whole. An empty table gives an empty result. Other columns are ignored.
     """
-    rows = numbered(docs, key, text, carry=False)
+    rows = numbered(docs, key, text)
     return _marked(rows, support).select(
         F.col("key").alias("doc_id"), "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"),
         F.col("digest").alias("text_sha256"))
@@ -64,6 +64,8 @@ def mark_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", suppor
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", support: float = SUPPORT) -> DataFrame:
     """The rows that ``mark_copies`` keeps, with all their columns, whatever their names."""
-    rows = numbered(docs, key, text, carry=True)
-    kept = _marked(rows.drop(ROW), support).where(F.col("row") == F.col("keep_row")).select("row")
-    return unnested(rows.join(kept, "row", "left_semi"), docs.columns)
+    rows = numbered(docs, key, text)
+    many = rows.groupBy("id").agg(F.count(F.lit(1)).alias("_many"))
+    kept = _marked(rows, support).where(F.col("row") == F.col("keep_row")).select("id").distinct()
+    chosen = staged(kept.join(many, "id").withColumnRenamed("id", "_id"), "kept")
+    return rows_chosen(docs, chosen, key, text)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motorlake.llm.common import ROW, mix64, nested, small_side, sorted_runs, staged, unnested
+from motorlake.llm.common import identity, mix64, rows_chosen, small_side, sorted_runs, staged
 from motorlake.llm.components import components
 from motorlake.llm.shingles import set_id, shingle_set, texts, word_hashes
 
@@ -290,14 +290,17 @@ def link_documents(docs: DataFrame, width: int = 5, num: int = 80, den: int = 10
 
 def keep_one_per_component(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100,
                            key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each component, with all its columns: the one with the smallest key.
+    """One document of each component, with all its columns: the one with the smallest key (nulls last).
 
-    Documents with an empty set are all kept, null keys included. Of repeated rows one is kept.
+    Documents with an empty set are their own component. Of repeated rows (same key and text) one is kept.
     """
-    rows = staged(docs.select(F.monotonically_increasing_id().alias("_uid"), nested(docs)), "near-dedup")
-    linked = link_documents(rows.select(F.col("_uid").alias("doc_id"), F.col(f"{ROW}.`{text}`").alias("text")), width, num, den)
-    keyed = linked.join(rows.select(F.col("_uid").alias("doc_id"), F.col(f"{ROW}.`{key}`").cast("bigint").alias("k")), "doc_id")
-    least = keyed.groupBy(F.col("component_id").alias("c")).agg(F.min("k").alias("least"))
-    first = keyed.join(least, (F.col("component_id") == F.col("c")) & F.col("k").eqNullSafe(F.col("least"))).groupBy("c").agg(
-        F.min("doc_id").alias("_uid"))
-    return unnested(rows.join(first.select("_uid"), "_uid", "left_semi"), docs.columns)
+    own = docs.select(identity(key, text).alias("id"), F.col(f"`{key}`").cast("bigint").alias("k"), F.col(f"`{text}`").alias("t"))
+    linked = staged(link_documents(own, width, num, den, "id", "t").select(F.col("doc_id").alias("id"), "component_id"), "components")
+    names = staged(own.groupBy("id", "k").agg(F.count(F.lit(1)).alias("_many")), "names")
+    keyed = linked.distinct().join(names, "id")
+    largest = F.lit(2**63 - 1)
+    least = keyed.groupBy(F.col("component_id").alias("c")).agg(F.min(F.coalesce("k", largest)).alias("least"))
+    first = keyed.join(least, (F.col("component_id") == F.col("c")) & (F.coalesce("k", largest) == F.col("least"))).groupBy("c").agg(
+        F.min("id").alias("id"))
+    chosen = staged(first.join(names, "id").select(F.col("id").alias("_id"), "_many"), "kept")
+    return rows_chosen(docs, chosen, key, text)
