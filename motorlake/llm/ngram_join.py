@@ -2,6 +2,8 @@
 
 Sets above the similarity differ in few shingles. The hash space is cut into more parts than that, so two linked sets
 agree on a whole part; equal part digests join documents into blocks that lose no link and that chance hardly joins.
+Leaving the same shingles out of all sets can't make two sets differ in more of them, so the digests leave out the
+commonest ones: passages that many documents share don't join blocks.
 Within a block every document is a query against the inverted lists of the others: its short lists merge into counts,
 its long ones are probed by binary search for the candidates left, and documents that reach the required overlap link.
 Equal sets are one entry with a count. A block too large for a task is cut, and all pairs of cuts are searched.
@@ -23,6 +25,9 @@ from motorlake.llm.shingles import set_id, shingle_set, texts, word_hashes
 
 #: Shingles that one task holds of one cut of a block.
 BLOCK_SHINGLES = 4_000_000
+#: Shingles that the digests leave out, at most (8 bytes each), and the fewest documents that make one common.
+COMMON_SHINGLES = 200_000
+COMMON_DOCUMENTS = 20
 #: A list of documents to be searched for may be broadcast up to this many rows (about 40 bytes each).
 BROADCAST_ROWS = 500_000
 
@@ -42,11 +47,13 @@ def size_classes(num: int, den: int, top: int) -> tuple[tuple[int, int, int], ..
     return tuple(out)
 
 
-def part_digests(shingles: np.ndarray, num: int, den: int) -> list[np.ndarray]:
-    """Digests of the parts of one set, for its own size class and the one below."""
+def part_digests(shingles: np.ndarray, num: int, den: int, common: np.ndarray | None = None) -> list[np.ndarray]:
+    """Digests of the parts of one set without the ``common`` shingles, for its own size class and the one below."""
     n = len(shingles)
     classes = size_classes(num, den, 1 << max(10, n.bit_length()))
     own = np.searchsorted([c[0] for c in classes], n, side="right") - 1
+    if common is not None and len(common):
+        shingles = shingles[common[np.minimum(np.searchsorted(common, shingles), len(common) - 1)] != shingles]
     mixed = mix64(shingles + np.uint64(0x5851F42D4C957F2D))
     out = []
     for level in (own, own - 1):
@@ -56,7 +63,8 @@ def part_digests(shingles: np.ndarray, num: int, den: int) -> list[np.ndarray]:
         part = ((shingles >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         starts = sorted_runs(part)[:-1]
         seed = np.uint64(level * 1_000_003 + 1)
-        out.append(mix64(np.add.reduceat(mixed, starts) + mix64(part[starts] * np.uint64(0x9E3779B97F4A7C15) + seed)))
+        if len(starts):
+            out.append(mix64(np.add.reduceat(mixed, starts) + mix64(part[starts] * np.uint64(0x9E3779B97F4A7C15) + seed)))
         if parts - len(starts) >= parts - differ:  # so many empty parts that two sets may agree on those alone
             empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), part[starts])
             out.append(mix64(mix64(empty + seed) + np.uint64(level)))
@@ -100,11 +108,39 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     return _per_text(docs, make, "doc_id bigint, n bigint, set_id bigint")
 
 
-def _digests(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+def _common(docs: DataFrame, width: int) -> np.ndarray:
+    """The commonest shingles, as a bounded sorted array: those that a batch of texts repeats, counted over all batches.
+
+    Which ones they are changes the blocks, never the links.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            held, size = [], 0
+            for t in texts(b.column("text")):
+                held.append(shingle_set(word_hashes(t), width))
+                size += len(held[-1])
+                if size > 4_000_000:
+                    yield repeated(held)
+                    held, size = [], 0
+            if held:
+                yield repeated(held)
+
+    def repeated(held):
+        values, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_pydict({"shingle": values[n > 1].view(np.int64), "n": n[n > 1]})
+
+    counts = docs.select("text").mapInArrow(run, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
+    top = counts.where(F.col("n") >= COMMON_DOCUMENTS).orderBy(F.desc("n"), "shingle").limit(COMMON_SHINGLES)
+    return np.sort(top.select("shingle").toPandas().shingle.to_numpy(np.int64).view(np.uint64))
+
+
+def _digests(docs: DataFrame, width: int, num: int, den: int, common: np.ndarray) -> DataFrame:
     """The part digests of one document for each set."""
+    shared = docs.sparkSession.sparkContext.broadcast(common)
+
     def make(key, text):
         s = shingle_set(word_hashes(text), width)
-        if len(s) and set_id(s) == key[1] and (found := part_digests(s, num, den)):
+        if len(s) and set_id(s) == key[1] and (found := part_digests(s, num, den, shared.value)):
             d = np.concatenate(found).view(np.int64)
             yield (key[1], d), 8 * len(d)
 
@@ -256,7 +292,7 @@ def link_documents(docs: DataFrame, width: int = 5, num: int = 80, den: int = 10
     sets = narrow.where(F.col("n") > 0).groupBy("set_id").agg(
         F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"))
 
-    digests = _digests(_joined(rows, sets.select("doc_id", "set_id")).select("doc_id", "set_id", "text"), width, num, den)
+    digests = _digests(_joined(rows, sets.select("doc_id", "set_id")).select("doc_id", "set_id", "text"), width, num, den, _common(rows, width))
     stars = _stars(digests.select("set_id", F.explode("digests").alias("digest")))
     blocks = components(stars)
     members = staged(sets.join(blocks.withColumnRenamed("node", "set_id"), "set_id"), "members")
