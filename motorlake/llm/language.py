@@ -23,9 +23,10 @@ from motorlake.llm.common import ROW, nested, small_side, staged, unnested
 
 LONGEST = 4
 GRAM_BITS = 18
-#: Labelled rows that are learned from, per language at most; of these, landmarks per language.
-SAMPLE_PER_LANGUAGE = 1500
+#: Labelled rows that are learned from, per language at most; of these, landmarks per language and in all.
+SAMPLE_PER_LANGUAGE = 1000
 LANDMARKS_PER_LANGUAGE = 40
+LANDMARKS = 400
 RIDGE = 1e-3
 SAMPLE_BROADCAST = 200_000
 SEGMENT = 1 << 18
@@ -102,13 +103,17 @@ def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, landmarks:
     if not languages:
         return Model([], np.zeros((1 << GRAM_BITS, 0), np.float32))
     sets = [np.frombuffer(p, np.int32) for p in rows.places]
+    landmarks = max(1, min(landmarks, LANDMARKS // len(languages)))
     marks = [sets[i] for i in np.flatnonzero(rows.n.to_numpy() <= landmarks)]
-    known = np.zeros((1 << GRAM_BITS, len(marks)), np.float32)
+    vocabulary = np.unique(np.concatenate(marks))
+    known = np.zeros((len(vocabulary) + 1, len(marks)), np.float32)  # the last row: places in no landmark
     for j, m in enumerate(marks):
-        known[m, j] = 1 / np.sqrt(len(m))
+        known[np.searchsorted(vocabulary, m), j] = 1 / np.sqrt(len(m))
+    row = np.full(1 << GRAM_BITS, len(vocabulary))
+    row[vocabulary] = np.arange(len(vocabulary))
 
     def kernel(some):
-        return np.stack([known[s].sum(0) / np.sqrt(len(s)) for s in some]).astype(np.float64)
+        return np.stack([known[row[s]].sum(0) / np.sqrt(len(s)) for s in some]).astype(np.float64)
 
     values, vectors = np.linalg.eigh(kernel(marks))
     keep = values > 1e-8 * values[-1]
@@ -120,7 +125,7 @@ def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, landmarks:
                       for c in range(len(languages))], 1)
     beta = np.stack([np.linalg.solve((features * share[:, [c]]).T @ features + ridge * np.eye(features.shape[1]),
                                      (features * share[:, [c]]).T @ target[:, c]) for c in range(len(languages))], 1)
-    return Model(languages, (known @ (half @ beta).astype(np.float32)).astype(np.float32))
+    return Model(languages, (known @ (half @ beta).astype(np.float32))[row])
 
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
