@@ -4,10 +4,11 @@ Every text is parsed at rolling-hash triggers: the position of the smallest hash
 window is its trigger, so equal windows have the same trigger at the same place, and phrases are never longer than
 ``REACH``. A window of ``size`` bytes is a suffix of the phrase before its trigger (the dictionary side) followed by
 the text from the trigger on (the parse side). The corpus order of windows is taken in that way: first the parse side
-is sorted, one row per trigger; a suffix of a phrase is combined with it only where the parse side leaves it open, that
-is near the ends of repeats. As only equality up to ``size`` bytes matters, digests stand for the bytes in the order.
+is sorted, one row per trigger with the digest of all its windows' bytes; equal ones repeat as a whole. A suffix of a
+phrase is combined with the parse only where that leaves it open, that is near the ends of repeats, and of equal ones
+only once. As only equality up to ``size`` bytes matters, digests stand for the bytes in the order.
 
-Rows are narrow (four numbers per trigger), equal neighbours in the sorted order are found in one streaming pass, and no
+Rows are narrow (a few numbers per trigger), equal neighbours in the sorted order are found in one streaming pass, and no
 group is ever held. Texts are read again where bytes are needed; nothing but numbers is stored.
 """
 
@@ -52,8 +53,8 @@ class _Digests:
         up, self.down = _powers(len(data) + 1)
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * up[:len(data)])])
 
-    def of(self, starts: np.ndarray, length: int) -> np.ndarray:
-        return mix64((self.sums[starts + length] - self.sums[starts]) * self.down[starts] + np.uint64(length))
+    def of(self, starts: np.ndarray, length: int | np.ndarray) -> np.ndarray:
+        return mix64((self.sums[starts + length] - self.sums[starts]) * self.down[starts] + np.asarray(length, np.uint64))
 
 
 def _smallest(keys: np.ndarray, reach: int) -> np.ndarray:
@@ -70,9 +71,9 @@ def _smallest(keys: np.ndarray, reach: int) -> np.ndarray:
 
 def parse(text, size: int) -> np.ndarray:
     """Triggers of the windows of a text, one row each: place, first and last window start, digest of what every such
-    window holds from the trigger on, digest of the window that starts at the trigger (0 if none fits).
+    window holds from the trigger on, digest of all bytes of these windows.
 
-    The first and the last window start have a row too, with no windows of their own, unless they are triggers.
+    Where a long text is cut into segments, a trigger with windows on both sides of the cut has two rows.
     """
     data = np.frombuffer(text, np.uint8)
     total = len(data) - size + 1
@@ -81,29 +82,15 @@ def parse(text, size: int) -> np.ndarray:
     common, out = size - REACH + 1, []
     for a in range(0, total, SEGMENT):
         count = min(SEGMENT, total - a)
-        part = data[a:a + count + size + REACH]
-        digests = _Digests(part)
+        digests = _Digests(data[a:a + count + size - 1])
         grams = digests.of(np.arange(count + REACH - 1), GRAM)
         keys = (grams & ~_LOW) | (_LOW - np.arange(len(grams), dtype=np.uint64))  # of equal ones the rightmost
         at = (_LOW - (_smallest(keys, REACH) & _LOW)).astype(np.int64)
         runs = sorted_runs(at)
         place, first, last = at[runs[:-1]], runs[:-1], runs[1:] - 1
-        edge = [e - a for e in (0, total - 1) if a <= e < a + count and e - a not in set(place.tolist())]
-        place, first, last = (np.concatenate([v, np.array(w, np.int64)]) for v, w in (
-            (place, edge), (first, [e + 1 for e in edge]), (last, edge)))
-        whole = np.zeros(len(place), np.uint64)
-        fits = place + size <= len(part)
-        fits &= place + a < total
-        whole[fits] = digests.of(place[fits], size) | np.uint64(1)
-        rows = np.stack([place + a, first + a, last + a, digests.of(place, common).view(np.int64), whole.view(np.int64)], 1)
-        out.append(rows)
-    rows = np.concatenate(out)
-    rows = rows[np.lexsort((rows[:, 1], rows[:, 1] > rows[:, 2], rows[:, 0]))]
-    begins = np.concatenate([[True], rows[1:, 0] != rows[:-1, 0]])
-    for i in np.flatnonzero(~begins):  # a trigger whose windows lie on both sides of a cut
-        if rows[i, 1] <= rows[i, 2]:
-            rows[i - 1, 2] = rows[i, 2]
-    return rows[begins]
+        context = digests.of(first, last - first + size)
+        out.append(np.stack([place + a, first + a, last + a, digests.of(place, common).view(np.int64), context.view(np.int64)], 1))
+    return np.concatenate(out)
 
 
 def _identity() -> Column:
@@ -111,7 +98,7 @@ def _identity() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
-_PARSED = "id bigint, place bigint, back int, near int, common bigint, whole bigint"
+_PARSED = "id bigint, first bigint, last bigint, common bigint, context bigint"
 
 
 def _parsed(docs: DataFrame, size: int) -> DataFrame:
@@ -132,19 +119,19 @@ def _parsed(docs: DataFrame, size: int) -> DataFrame:
 
     def pack(ids, parts):
         r = np.concatenate(parts)
-        back, near = (r[:, 0] - r[:, 1]).astype(np.int32), (r[:, 0] - r[:, 2]).astype(np.int32)
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(r[:, 0]), pa.array(back), pa.array(near),
-                                           pa.array(r[:, 3]), pa.array(r[:, 4])], names=["id", "place", "back", "near", "common", "whole"])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), *(pa.array(r[:, k]) for k in (1, 2, 3, 4))],
+                                          names=["id", "first", "last", "common", "context"])
 
     return docs.select(_identity().alias("id"), "text").mapInArrow(run, _PARSED)
 
 
-def _neighbours(rows: DataFrame, outer: str, inner: str, absent: int | None) -> DataFrame:
-    """Rows whose ``outer`` value another row has too, with ``twice``: whether the pair (outer, inner) also occurs again.
+def _neighbours(rows: DataFrame, outer: str, inner: str) -> DataFrame:
+    """Rows whose ``outer`` value another row has too.
 
-    Rows are sorted by both and compared with the row before and the row after; one row is held back between batches.
+    ``twice``: another row has the pair (outer, inner); ``lead``: the row is the first with its pair. Rows are sorted by
+    both and compared with the row before and the row after; one row is held back between batches.
     """
-    schema = StructType([*rows.schema.fields, StructField("twice", BooleanType())])
+    schema = StructType([*rows.schema.fields, StructField("twice", BooleanType()), StructField("lead", BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, before = None, None
@@ -159,25 +146,26 @@ def _neighbours(rows: DataFrame, outer: str, inner: str, absent: int | None) ->
             yield from compare(pa.Table.from_batches([held]), before, None)[0]
 
     def key(t):
-        return (t.column(outer)[t.num_rows - 1].as_py(), t.column(inner)[t.num_rows - 1].as_py()) if t.num_rows else None
+        return t.column(outer)[t.num_rows - 1].as_py(), t.column(inner)[t.num_rows - 1].as_py()
 
     def compare(t, before, after):
         if not t.num_rows:
             return [], before
         o, i = t.column(outer).to_numpy(), t.column(inner).to_numpy()
-        same, both = np.zeros(len(o), bool), np.zeros(len(o), bool)
+        same, both = np.zeros(len(o), bool), np.zeros(len(o), bool)  # as the row before
         same[1:] = o[1:] == o[:-1]
         both[1:] = same[1:] & (i[1:] == i[:-1])
-        same[:-1] |= same[1:]
-        both[:-1] |= both[1:]
-        for n, other in ((0, before), (-1, after)):
-            if other is not None and o[n] == other[0]:
-                same[n] = True
-                both[n] |= i[n] == other[1]
-        if absent is not None:
-            both &= i != absent
-        keep = pa.array(same)
-        found = t.append_column("twice", pa.array(both)).filter(keep)
+        if before is not None:
+            same[0] = o[0] == before[0]
+            both[0] = same[0] and i[0] == before[1]
+        lead = ~both
+        shared, twice = same.copy(), both.copy()
+        shared[:-1] |= same[1:]
+        twice[:-1] |= both[1:]
+        if after is not None and o[-1] == after[0]:
+            shared[-1] = True
+            twice[-1] |= i[-1] == after[1]
+        found = t.append_column("twice", pa.array(twice)).append_column("lead", pa.array(lead)).filter(pa.array(shared))
         return found.to_batches(), (o[-1], i[-1])
 
     ordered = rows.repartition(outer).sortWithinPartitions(outer, inner)
@@ -185,7 +173,7 @@ def _neighbours(rows: DataFrame, outer: str, inner: str, absent: int | None) ->
 
 
 def _by_text(rows: DataFrame, schema: str, make) -> DataFrame:
-    """``make(columns of one text's rows)`` for each text, rows in order of place; a text's numbers are held at once."""
+    """``make(columns of one text's rows)`` for each text, rows in order of ``first``; a text's numbers are held at once."""
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,64 +203,50 @@ def _by_text(rows: DataFrame, schema: str, make) -> DataFrame:
             columns = [np.concatenate([c[k] for _, c in out]) for k in range(len(names) - 1)]
             yield pa.RecordBatch.from_arrays([pa.array(ids), *map(pa.array, columns)], names=names)
 
-    return rows.repartition("id").sortWithinPartitions("id", "place").mapInArrow(run, schema)
+    return rows.repartition("id").sortWithinPartitions("id", "first").mapInArrow(run, schema)
 
 
-def merged(starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal runs that windows at these ascending starts cover together."""
-    if not len(starts):
-        return starts, starts
-    fresh = np.concatenate([[True], starts[1:] > starts[:-1] + size])
-    first = np.flatnonzero(fresh)
-    last = np.concatenate([first[1:], [len(starts)]]) - 1
-    return starts[first], starts[last] + size
-
-
-def _open(size: int):
-    """Marks the triggers with windows that the windows known to repeat don't cover yet."""
-    def make(c):
-        place, first, last = c["place"], c["place"] - c["back"], c["place"] - c["near"]
-        begin, end = merged(np.unique(place[c["twice"]]), size)
-        at = np.searchsorted(begin, first, side="right") - 1
-        inside = (at >= 0) & (last + size <= (end[np.maximum(at, 0)] if len(end) else 0))
-        return c["common"], place, c["back"], c["near"], c["twice"], (first <= last) & ~inside
-
-    return make
+def merged(first: np.ndarray, last: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs that windows starting from ``first`` to ``last`` (ascending by first) cover together."""
+    if not len(first):
+        return first, first
+    reach = np.maximum.accumulate(last) + size
+    fresh = np.flatnonzero(np.concatenate([[True], first[1:] > reach[:-1]]))
+    return first[fresh], reach[np.concatenate([fresh[1:], [len(first)]]) - 1]
 
 
 def _windows(docs: DataFrame, opened: DataFrame, size: int) -> DataFrame:
     """Digest of every window of the opened triggers, read from the texts again."""
-    per_text = opened.groupBy("id").agg(F.collect_list(F.struct("common", "place", "back", "near")).alias("opened"))
+    per_text = opened.groupBy("id").agg(F.collect_list(F.struct("common", "first", "last", "twice")).alias("opened"))
     side = small_side(per_text.withColumnRenamed("id", "_id"), 0 if opened.count() > BROADCAST_NUMBERS else BROADCAST_NUMBERS)
     rows = docs.select(_identity().alias("id"), "text").join(side, F.col("id") == F.col("_id")).drop("_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            triggers, held = b.column("opened"), []
+            triggers, held, many = b.column("opened"), [], 0
             for n, (id_, t) in enumerate(zip(b.column("id").to_pylist(), texts(b.column("text")))):
                 s = triggers[n].values
-                common, place, back, near = (s.field(k).to_numpy() for k in range(4))
-                first, last = place - back, place - near
+                common, first, last = (s.field(k).to_numpy() for k in range(3))
+                known = s.field(3).to_numpy(zero_copy_only=False)
                 order = np.argsort(first, kind="stable")
-                for a in range(0, len(order), 4096):
-                    some = order[a:a + 4096]
-                    for group in np.split(some, np.flatnonzero(np.diff(first[some] // SEGMENT)) + 1):
-                        low, high = first[group].min(), last[group].max() + size
-                        digests = _Digests(np.frombuffer(t[low:high], np.uint8))
-                        many = last[group] - first[group] + 1
-                        starts = np.arange(many.sum()) + np.repeat(first[group] - np.cumsum(many) + many, many)
-                        window = digests.of(starts - low, size).view(np.int64)
-                        held.append((np.full(len(starts), id_), starts, np.repeat(common[group], many), window))
-                if sum(len(h[0]) for h in held) > 100_000:
+                for group in np.split(order, np.flatnonzero(np.diff(first[order] // SEGMENT)) + 1):
+                    low, high = first[group].min(), last[group].max() + size
+                    digests = _Digests(np.frombuffer(t[low:high], np.uint8))
+                    each = last[group] - first[group] + 1
+                    starts = np.arange(each.sum()) + np.repeat(first[group] - np.cumsum(each) + each, each)
+                    window = digests.of(starts - low, size).view(np.int64)
+                    held.append((np.full(len(starts), id_), starts, np.repeat(common[group], each), window, np.repeat(known[group], each)))
+                    many += len(starts)
+                if many > 100_000:
                     yield pack(held)
-                    held = []
+                    held, many = [], 0
             if held:
                 yield pack(held)
 
     def pack(held):
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=["id", "place", "common", "window"])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=["id", "first", "common", "window", "known"])
 
-    return rows.mapInArrow(run, "id bigint, place bigint, common bigint, window bigint")
+    return rows.mapInArrow(run, "id bigint, first bigint, common bigint, window bigint, known boolean")
 
 
 def repeated_spans(docs: DataFrame, size: int = 400, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -282,18 +256,14 @@ def repeated_spans(docs: DataFrame, size: int = 400, key: str = "doc_id", text:
     """
     assert size > REACH + GRAM, "shorter strings may hold no trigger"
     rows = _rows(docs, key, text)
-    order = staged(_neighbours(_parsed(rows, size), "common", "whole", absent=0), "parse-order")
-    marked = staged(_by_text(order.select("id", "common", "place", "back", "near", "twice"),
-                             "id bigint, common bigint, place bigint, back int, near int, twice boolean, open boolean", _open(size)), "open")
-    common = marked.where("open").select("common").distinct()
-    opened = staged(marked.where("back >= near").join(common, "common", "left_semi").select("id", "common", "place", "back", "near").distinct(), "opened")
-    again = _neighbours(_windows(rows, opened, size), "window", "common", absent=None).where("twice")
-    starts = again.select("id", "place").unionByName(marked.where("twice").select("id", "place"))
-
-    def spans(c):
-        return merged(np.unique(c["place"]), size)
-
-    return _by_text(starts, "id bigint, begin bigint, end bigint", spans)
+    order = staged(_neighbours(_parsed(rows, size), "common", "context"), "parse-order")
+    # A trigger whose bytes no other one has in full leaves its windows open; they are compared with those of all other
+    # triggers of the same parse side, of which equal ones speak once.
+    open_ = order.where(~F.col("twice")).select("common").distinct()
+    opened = staged(order.where("lead").join(open_, "common", "left_semi").select("id", "common", "first", "last", "twice"), "opened")
+    again = _neighbours(_windows(rows, opened, size), "window", "common").where(F.col("twice") & ~F.col("known"))
+    starts = again.select("id", "first", F.col("first").alias("last")).unionByName(order.where("twice").select("id", "first", "last"))
+    return _by_text(starts, "id bigint, begin bigint, end bigint", lambda c: merged(c["first"], c["last"], size))
 
 
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
