@@ -29,6 +29,10 @@ LANDMARKS_PER_LANGUAGE = 40
 LANDMARKS = 400
 RIDGE = 1e-3
 SAMPLE_BROADCAST = 200_000
+#: Held-out rows per language that limits are set from, at most; the slack given to what they show; limits without any.
+LIMITS_PER_LANGUAGE = 300
+SLACK = 1.25
+MARGIN, SHARE = 0.45, 0.6
 SEGMENT = 1 << 18
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -52,22 +56,29 @@ def present(text: str) -> np.ndarray:
 
 
 class Model:
-    """Languages and one weight per n-gram place and language."""
+    """Languages, one weight per n-gram place and language, and which places some landmark holds (none given: all)."""
 
-    def __init__(self, languages: list[str], weights: np.ndarray):
+    def __init__(self, languages: list[str], weights: np.ndarray, known: np.ndarray | None = None):
         self.languages, self.weights = languages, weights
+        self.known = np.ones(len(weights), bool) if known is None else known
 
-    def scores(self, texts: list[str]) -> np.ndarray:
-        """One row per text: its kernel with the landmarks times their weights, every text with a letter or not."""
+    def judge(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores (one row per text), the number of n-gram places of each text, and the share of them in a landmark."""
         rows = [present(t) for t in texts]
-        sizes = np.array([len(r) for r in rows])
-        out = np.zeros((len(texts), len(self.languages)))
+        sizes = np.array([len(r) for r in rows], np.int64)
+        out, share = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
         full = np.flatnonzero(sizes)
         if len(full) and len(self.languages):
             starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
-            out[full] = np.add.reduceat(self.weights[np.concatenate([rows[i] for i in full])], starts, axis=0)
+            places = np.concatenate([rows[i] for i in full])
+            out[full] = np.add.reduceat(self.weights[places], starts, axis=0)
             out[full] /= np.sqrt(sizes[full])[:, None]
-        return out
+            share[full] = np.add.reduceat(self.known[places].astype(np.int64), starts) / sizes[full]
+        return out, sizes, share
+
+    def scores(self, texts: list[str]) -> np.ndarray:
+        """One row per text: its kernel with the landmarks times their weights, every text with a letter or not."""
+        return self.judge(texts)[0]
 
 
 def sample(labelled: DataFrame, group: str, most: int) -> DataFrame:
@@ -125,7 +136,7 @@ def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, landmarks:
                       for c in range(len(languages))], 1)
     beta = np.stack([np.linalg.solve((features * share[:, [c]]).T @ features + ridge * np.eye(features.shape[1]),
                                      (features * share[:, [c]]).T @ target[:, c]) for c in range(len(languages))], 1)
-    return Model(languages, (known @ (half @ beta).astype(np.float32))[row])
+    return Model(languages, (known @ (half @ beta).astype(np.float32))[row], row < len(vocabulary))
 
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -135,6 +146,11 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
     or has no letter is ``und`` with score 0, and so is every text if the model knows no language. Ties go to the
     first language by name. Repeated rows and null keys give a row each; other columns are ignored.
     """
+    return _judged(docs, model, key, text).select("doc_id", "lang_pred", "score")
+
+
+def _judged(docs: DataFrame, model: Model, key: str, text: str) -> DataFrame:
+    """``predict`` with ``grams``, the number of n-gram places of the text, and ``share``, that of them in a landmark."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -144,23 +160,59 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
             for at in range(0, len(texts), 500):
                 some = texts.iloc[at:at + 500].tolist()
                 letters = np.array([bool(_LETTER.search(t)) for t in some])
-                s = m.scores(some)
+                s, sizes, share = m.judge(some)
                 known = letters & bool(m.languages)
                 best = s.argmax(1) if m.languages else np.zeros(len(some), int)
                 top = np.where(known, s[np.arange(len(some)), best] if m.languages else 0, -1)
                 parts.append(pd.DataFrame({
                     "lang_pred": [m.languages[b] if k else "und" for b, k in zip(best, known)],
-                    "score": np.clip((top + 1) / 2, 0, 1)}))
+                    "score": np.clip((top + 1) / 2, 0, 1), "grams": sizes, "share": share}))
             yield pd.concat(parts)
 
-    out = F.pandas_udf(score, "lang_pred string, score double")(F.coalesce(F.col(f"`{text}`"), F.lit("")))
-    return docs.select(F.col(f"`{key}`").alias("doc_id"), out.alias("_p")).select("doc_id", "_p.lang_pred", "_p.score")
+    out = F.pandas_udf(score, "lang_pred string, score double, grams bigint, share double")(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    return docs.select(F.col(f"`{key}`").alias("doc_id"), out.alias("_p")).select("doc_id", "_p.*")
 
 
-def keep_identified(docs: DataFrame, model: Model, least: float, text: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose text is not ``und`` and scores at least ``least``."""
+def limits(labelled: DataFrame, model: Model, per_language: int = LIMITS_PER_LANGUAGE) -> tuple[float, float]:
+    """``margin, share`` for ``keep_identified``, from labelled documents that the model was not fitted on.
+
+    Whole texts and runs of 1 to 20 words from their middles are judged, so that short texts are met as they are. Three
+    numbers of each come to the driver. Without such documents the limits are ``MARGIN`` and ``SHARE``.
+    """
+    shared = labelled.sparkSession.sparkContext.broadcast(model)
+
+    def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m = shared.value
+        for b in batches:
+            some = []
+            for t in b.text:
+                words = t.split()
+                some += [t] + [" ".join(words[len(words) // 2:][:n]) for n in (1, 2, 3, 5, 10, 20)]
+            some = [t for t in some if _LETTER.search(t)]
+            for at in range(0, len(some), 500):
+                s, sizes, share = m.judge(some[at:at + 500])
+                yield pd.DataFrame({"score": (s.max(1) + 1) / 2, "grams": sizes, "share": share})
+
+    usable = labelled.where(F.col("lang").isin(model.languages) & F.col("text").rlike(r"\p{L}"))
+    taken = sample(usable.select("doc_id", "text", "lang"), "lang", per_language)
+    rows = taken.mapInPandas(judged, "score double, grams bigint, share double").toPandas()
+    if not len(rows):
+        return MARGIN, SHARE
+    short = np.quantile((0.5 - rows.score) * np.sqrt(rows.grams), 0.995)
+    return float(max(0.0, SLACK * short)), float(np.quantile(rows["share"], 0.01) / SLACK)
+
+
+def keep_identified(docs: DataFrame, model: Model, least: float, text: str = "text", margin: float = 0.0,
+                    share: float = 0.0) -> DataFrame:
+    """The rows, with all their columns, whose text is not ``und`` and in a known language by score and n-grams.
+
+    It has to score at least ``least - margin / sqrt(n)``, where ``n`` is the number of its n-gram places (a short
+    text's score is less sure), and at least ``share`` of them have to be in some landmark: n-grams in none weigh
+    nothing, so a text of them alone scores 0.5.
+    """
     rows = docs.select(nested(docs))
-    found = predict(rows, model, ROW, f"{ROW}`.`{text}").where((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    sure = F.col("score") >= least - margin / F.sqrt(F.greatest(F.col("grams"), F.lit(1)))
+    found = _judged(rows, model, ROW, f"{ROW}`.`{text}").where((F.col("lang_pred") != "und") & sure & (F.col("share") >= share))
     return unnested(found.select(F.col("doc_id").alias(ROW)), docs.columns)
 
 
