@@ -4,8 +4,10 @@ A template is any function from a list of messages to text. Successive turn pref
 output with the one before locates what the turn added, and comparing it with the same turn left empty locates the
 turn's text inside. An output that does not begin with the one before has rewritten history.
 
-Up to ``window`` turns the whole prefix is rendered; beyond that the context slides, so that a conversation of any
-length costs time in proportion to its turns. A task streams its conversations in order and holds one window.
+The whole prefix is rendered for every turn, so that any template is shown its conversation from the first turn; time
+grows with the square of a conversation's length. For a template that renders every turn for itself alone (declared by
+``context_free``) the context slides over the last ``WINDOW`` turns, with the same result in time in proportion to the
+turns. A task streams its conversations in order and holds one conversation, or one window.
 """
 
 from __future__ import annotations
@@ -22,8 +24,16 @@ from pyspark.sql import functions as F
 Message = tuple[str, str]
 Template = Callable[[list[Message]], str]
 
+#: Turns that a context-free template is shown at most.
 WINDOW = 64
 
+
+def context_free(template: Template) -> Template:
+    """Declares that the template's output is the outputs of its turns, one after the other, each by itself."""
+    template.context_free = True
+    return template
+
+
 #: The template's control strings are <s> </s> [INST] [/INST].
 _ESCAPED = re.compile(r"\\|<(?=/?s>)|\[(?=/?INST\])")
 _TURN = re.compile(r"<s>\[INST\](.*?)\[/INST\](.*?)</s>", re.DOTALL)
@@ -38,6 +48,7 @@ def unescape(text: str) -> str:
     return re.sub(r"\\(\\?)", r"\1", text)
 
 
+@context_free
 def inst_template(messages: list[Message]) -> str:
     return "".join(f"<s>[INST]{escape(role)}[/INST]{escape(text)}</s>" for role, text in messages)
 
@@ -65,11 +76,11 @@ def common_prefix(a: str, b: str) -> int:
 
 
 class Renderer:
-    """One conversation, turn by turn."""
+    """One conversation, turn by turn. ``window`` is the most turns rendered at once; None: all of them."""
 
-    def __init__(self, template: Template, restore: Callable[[str], str], window: int):
+    def __init__(self, template: Template, restore: Callable[[str], str], window: int | None):
         self.template, self.restore = template, restore
-        self.context: deque[Message] = deque(maxlen=max(1, window - 1))
+        self.context: deque[Message] = deque(maxlen=None if window is None else max(1, window - 1))
         self.shown = template([])
         self.length = len(self.shown)
 
@@ -82,7 +93,7 @@ class Renderer:
         begin = self.length - (len(before) - kept)
         at = self._locate(after, self.template([*context, (role, "")]), text)
         span = (None, None) if at is None else (begin - kept + at[0], begin - kept + at[1])
-        slides = len(self.context) == self.context.maxlen
+        slides = self.context.maxlen is not None and len(self.context) == self.context.maxlen
         self.context.append((role, text))
         self.shown = self.template(list(self.context)) if slides else after
         self.length = begin + len(after) - kept
@@ -102,7 +113,7 @@ _TURNS = ("conv_id bigint, turn bigint, place bigint, role string, begin bigint,
 
 
 def format_turns(conversations: DataFrame, template: Template = inst_template, restore: Callable[[str], str] = unescape,
-                 learned_role: str = "assistant", window: int = WINDOW) -> DataFrame:
+                 learned_role: str = "assistant", window: int | None = None) -> DataFrame:
     """Every turn's share of its conversation's rendering, in order within a partition.
 
     ``conv_id, turn, place`` (from 0), ``role, begin`` (where the output changes), ``added`` (the output from there
@@ -110,14 +121,22 @@ def format_turns(conversations: DataFrame, template: Template = inst_template, r
     ``learned`` (text under the loss mask), ``rewrites``. Rows go by turn, then role, then text; nulls first. A null
     role or text counts as empty; a null ``conv_id`` is a conversation of its own. Repeated rows are turns of their
     own. No rows give no rows. Other columns are ignored.
+
+    A template is rendered over the whole prefix, unless it is declared ``context_free``; then over the last ``window``
+    turns (``WINDOW`` if not given). A window for any other template is refused.
     """
+    free = getattr(template, "context_free", False)
+    if window is not None and not free:
+        raise ValueError("only a template declared context_free can be rendered in a window")
+    shown = (window or WINDOW) if free else None
+
     def render(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, place, one = object(), 0, None
         for batch in batches:
             out = []
             for conv, turn, role, text in zip(batch.conv_id, batch.turn, batch.role, batch.text):
                 if one is None or conv != now:
-                    now, place, one = conv, 0, Renderer(template, restore, window)
+                    now, place, one = conv, 0, Renderer(template, restore, shown)
                 out.append((None if conv == _NO_ID else conv, turn, place, role, *one.add(role, text)))
                 place += 1
             frame = pd.DataFrame(out, columns=["conv_id", "turn", "place", "role", "begin", "added", "text_begin",

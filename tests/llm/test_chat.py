@@ -1,5 +1,6 @@
 import hashlib
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -63,6 +64,24 @@ def test_template_that_rewrites_history_is_detected(llm):
     assert out == forgetful([(r, t) for _, _, r, t in rows])
 
 
+def test_rewrites_far_back_are_seen(llm):
+    def revising(messages):  # numbered turns; from turn 100 on, turn 0 is shown otherwise
+        first = "A" if len(messages) <= 100 else "B"
+        return "".join(f"<{first if i == 0 else i} {r}:{t}>" for i, (r, t) in enumerate(messages))
+
+    said = [("system" if i == 0 else "user", f"text {i}") for i in range(130)]
+    rows = [(1, i, r, t) for i, (r, t) in enumerate(said)]
+    turns = chat.format_turns(llm.createDataFrame(rows, SCHEMA), revising, lambda t: t).orderBy("place").collect()
+    assert [t.place for t in turns if t.rewrites] == [100]
+    out = ""
+    for t in turns:
+        out = out[:t.begin] + t.added
+        assert out == revising(said[:t.place + 1])
+        assert out[t.text_begin:t.text_end] == f"text {t.place}"
+    with pytest.raises(ValueError):
+        chat.format_turns(llm.createDataFrame(rows, SCHEMA), revising, lambda t: t, window=5)
+
+
 def test_long_conversation_and_no_rows(llm):
     rows = [(1, i, "assistant" if i % 2 else "user", f"t{i}") for i in range(500)]
     r = chat.conversation_digests(chat.format_turns(llm.createDataFrame(rows, SCHEMA), window=5)).first()
