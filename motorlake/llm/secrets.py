@@ -1,6 +1,7 @@
 """Secret scanning: broad candidates, then a random forest that removes false positives. DataFrame functions only.
 
-Every run of 16 or more key characters in a word is a candidate. The forest sees its length, the transitions between
+Every run of 16 or more key characters in a word is a candidate, and so is, at any length and with any characters, what
+is assigned in a word or follows an assignment or a credential word. The forest sees its length, the transitions between
 character classes, how much of it common letter triples cover, whether it lies in a path, and the neighbouring words;
 it never sees the rule that labelled a finding. It is trained from labelled findings and scores every candidate.
 """
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from motorlake.llm.common import staged
 
+#: Key characters in a row that make a candidate by themselves, away from any assignment or credential word.
 SHORTEST = 16
 #: Labelled findings that the forest is trained on, at most (those with the smallest hashes), half of each label.
 TRAINING_FINDINGS = 20_000
@@ -27,6 +29,22 @@ TREES, DEPTH, SEED = 24, 6, 5
 _CANDIDATE = r"(?:^|[^A-Za-z0-9+/_-])([A-Za-z0-9+/_-]{16,}={0,2})"
 #: Words that announce a credential.
 _HINTS = r"(?i)(pass(word|wd)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential)"
+#: An assignment inside a word: all that follows the first sign, and what follows the last one of a quoted or listed part.
+_ASSIGNED = r"^[^=:]*[=:]+>?(.+)$"
+_PART = r"[=:]>?[\"'`]?([^\"'`,;=:]+={0,2})(?=$|[\"'`,;])"
+#: Words that announce a value: a name with its sign, or a credential word without a value of its own.
+_SIGN = r"^[^=:]*[=:]+>?$"
+_CREDENTIAL = r"^[^=:]*" + _HINTS.replace("(?i)", "") + r"[^=:]*$"
+_LINK = r"(?i)^(is|was|are|as|be|to|=+>?|:=?|->)$"
+#: Quotes, brackets and stops around a value.
+_AROUND = r"^[\"'`(\[{<]+|[\"'`)\]}>,;.]+$"
+
+#: The words that may hold a candidate, with their places.
+_MAYBE = """
+    filter(transform(_words, (w, i) -> struct(i AS i, w AS w)), v -> v.w <> '' AND (
+        (length(v.w) >= {n} AND v.w rlike '[A-Za-z0-9+/_-]{{{n}}}') OR v.w rlike '[=:]'
+        OR (v.i > 0 AND get(_words, v.i - 1) rlike '[=:]>?$|{hints}')
+        OR (v.i > 1 AND get(_words, v.i - 2) rlike '{hints}')))""".format(n=SHORTEST, hints=_HINTS)
 
 FEATURES = ["length", "digits", "capitals", "symbols", "transitions", "distinct", "coverage", "path", "hinted", "assigned", "quoted"]
 
@@ -38,18 +56,22 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     several candidates each gives a row. A null or empty text gives none; repeated rows and null keys give their own.
     """
     words = F.split(F.col("_text"), r"\s", -1)
-    numbered = F.expr(
-        "filter(transform(_words, (w, i) -> struct(i AS i, w AS w)), w -> length(w.w) >= %d AND w.w rlike '[A-Za-z0-9+/_-]{%d}')"
-        % (SHORTEST, SHORTEST))
-    rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
-    rows = rows.where(F.col("_text").rlike("[A-Za-z0-9+/_-]{%d}" % SHORTEST))
-    long_ = rows.select("doc_id", words.alias("_words")).select("doc_id", "_words", F.explode(numbered).alias("_w"))
     at = F.col("_w.i")
-    begin = F.expr("aggregate(slice(_words, 1, _w.i), 0L, (s, w) -> s + length(w) + 1)")
     near = lambda i: F.coalesce(F.get("_words", at + i), F.lit(""))
-    found = long_.select("doc_id", begin.alias("begin"), F.col("_w.w").alias("word"),
-                         F.concat_ws(" ", near(-2), near(-1)).alias("before"), near(1).alias("after"))
-    each = F.explode(F.regexp_extract_all("word", F.lit(_CANDIDATE), 1))
+    rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
+    rows = rows.where(F.col("_text").rlike(r"[A-Za-z0-9+/_-]{%d}|[=:]|%s" % (SHORTEST, _HINTS)))
+    every = rows.select("doc_id", words.alias("_words")).select("doc_id", "_words", F.explode(F.expr(_MAYBE)).alias("_w"))
+    begin = F.expr("aggregate(slice(_words, 1, _w.i), 0L, (s, w) -> s + length(w) + 1)")
+    found = every.select("doc_id", begin.alias("begin"), F.col("_w.w").alias("word"),
+                         F.concat_ws(" ", near(-2), near(-1)).alias("before"), near(1).alias("after"),
+                         near(-2).alias("_second"), near(-1).alias("_first"))
+    first, second = F.col("_first"), F.col("_second")
+    told = first.rlike(_SIGN) | first.rlike("(?i)" + _CREDENTIAL) | (first.rlike(_LINK) & second.rlike("(?i)" + _CREDENTIAL))
+    runs = F.regexp_extract_all("word", F.lit(_CANDIDATE), 1)
+    values = F.concat(F.array(F.regexp_extract("word", _ASSIGNED, 1), F.when(told, F.col("word")).otherwise("")),
+                      F.regexp_extract_all("word", F.lit(_PART), 1))
+    values = F.filter(F.transform(values, lambda v: F.regexp_replace(v, _AROUND, "")), lambda v: v.rlike("[A-Za-z0-9]"))
+    each = F.explode(F.concat(runs, F.array_except(values, runs)))
     return found.select("doc_id", "begin", each.alias("candidate"), "word", "before", "after")
 
 

@@ -125,6 +125,26 @@ def test_secrets_candidates_against_brute_force(llm):
     assert got == sorted(want)
 
 
+def test_short_and_punctuated_secrets_are_candidates_and_found(llm):
+    texts = {"password=hunter2secret": "hunter2secret", "pwd: Tr0ub4dor&3xyz!": "Tr0ub4dor&3xyz!", "key=ab12cd34.ef56gh78": "ab12cd34.ef56gh78",
+             "the password is s3cr3tpw ok": "s3cr3tpw", 'a {"user":"bob","password":"hunter2x"} b': "hunter2x",
+             "user=a&passwd=pa55word9": "pa55word9", "auth: 'x9!k2$q'": "x9!k2$q"}
+    df = llm.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {(r.doc_id, r.candidate) for r in secrets.candidates(df).collect()}
+    assert {(i, v) for i, v in enumerate(texts.values())} <= got
+
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("abcdefghjkmnpqrstuvwxyz23456789") for _ in range(n - 1)) + "7"
+    rows, want = [], {}
+    for i in range(200):
+        rows.append((i, f"some {rng.choice(['note', 'author', 'token'])}: {rng.choice(['garden', 'window', 'Monday', 'coffee'])} and more"))
+    for i in range(200, 300):
+        want[i] = word(8 + i % 8)
+        rows.append((i, f"some password={want[i]} and more" if i % 2 else f"some passwd: {want[i]} and more"))
+    found = secrets.scan(llm.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {(r.doc_id, r.candidate) for r in found if r.secret} == set(want.items())
+
+
 def test_secrets_of_odd_rows(odd, none):
     assert secrets.scan(none.select("doc_id", "text")).count() == 0
     assert secrets.scan(odd).count() == 0
