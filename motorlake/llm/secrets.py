@@ -79,14 +79,16 @@ def _share(pattern: str) -> Column:
     return F.length(F.regexp_replace("candidate", pattern, "")) / F.length("candidate")
 
 
-def dictionary(found: DataFrame) -> str:
-    """A pattern of the commonest letter triples of the words around the candidates of the whole corpus.
+def dictionary(docs: DataFrame, text: str = "text") -> str:
+    """A pattern of the commonest letter triples of the words of all whole texts.
 
-    At most ``DICTIONARY_TRIPLES`` short texts come to the driver.
+    Words are counted first, with a map-side step, and their triples weighed by that. At most ``DICTIONARY_TRIPLES``
+    short texts come to the driver.
     """
-    words = found.select(F.explode(F.split(F.lower(F.concat_ws(" ", "before", "after")), r"[^a-z]+")).alias("w")).where(F.length("w") >= 3)
-    triples = words.select(F.explode(F.expr("transform(sequence(1, length(w) - 2), i -> substring(w, i, 3))")).alias("t"))
-    common = triples.groupBy("t").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "t").limit(DICTIONARY_TRIPLES)
+    words = docs.select(F.explode(F.split(F.lower(F.coalesce(F.col(f"`{text}`"), F.lit(""))), r"[^a-z]+")).alias("w"))
+    counted = words.where(F.length("w") >= 3).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    triples = counted.select(F.explode(F.expr("transform(sequence(1, length(w) - 2), i -> substring(w, i, 3))")).alias("t"), "n")
+    common = triples.groupBy("t").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "t").limit(DICTIONARY_TRIPLES)
     return "|".join(sorted(r["t"] for r in common.select("t").collect())) or "(?!)"
 
 
@@ -140,7 +142,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
     with a null probability. A text without candidates gives no row.
     """
     found = staged(candidates(docs, key, text), "candidates")
-    common = dictionary(found)
+    common = dictionary(docs, text)
     model = train(features(label_findings(found) if labelled is None else labelled, common))
     if model is None:
         return found.select("doc_id", "begin", "candidate", F.lit(None).cast("double").alias("probability"), F.lit(True).alias("secret"))

@@ -145,6 +145,13 @@ def test_short_and_punctuated_secrets_are_candidates_and_found(llm):
     assert {(r.doc_id, r.candidate) for r in found if r.secret} == set(want.items())
 
 
+def test_dictionary_counts_all_texts(llm, monkeypatch):
+    monkeypatch.setattr(secrets, "DICTIONARY_TRIPLES", 2)
+    docs = [(i, "alpha alp") for i in range(20)] + [(100, None), (101, "with token=" + "ab12" * 8 + " zebra zebra")]
+    found = llm.createDataFrame(docs, "doc_id bigint, text string")
+    assert secrets.dictionary(found) == "alp|lph"
+
+
 def test_secrets_of_odd_rows(odd, none):
     assert secrets.scan(none.select("doc_id", "text")).count() == 0
     assert secrets.scan(odd).count() == 0
