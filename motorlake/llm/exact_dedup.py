@@ -33,7 +33,8 @@ def _winners(rows: DataFrame) -> DataFrame:
 
 
 def _marked(rows: DataFrame, support: float) -> DataFrame:
-    frequent = rows.stat.freqItems(["digest"], support).select(F.explode("digest_freqItems").alias("digest"))
+    # Written once: evaluated again, the summary may hold other digests, and rows would go to both sides or neither.
+    frequent = staged(rows.stat.freqItems(["digest"], support).select(F.explode("digest_freqItems").alias("digest")), "frequent")
     hot = _winners(rows.join(F.broadcast(frequent), "digest", "left_semi"))
     hot_rows = rows.join(F.broadcast(hot), "digest")
     rest = rows.join(F.broadcast(frequent), "digest", "left_anti")

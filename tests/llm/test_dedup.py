@@ -96,3 +96,11 @@ def test_every_window_has_its_trigger_whatever_the_segments(monkeypatch):
         assert sorted(whole) == list(range(len(raw) - 199)) and all(i <= p < i + repeats.REACH for i, (p, _) in whole.items())
         monkeypatch.setattr(repeats, "SEGMENT", 333)
         assert triggers(raw) == whole
+
+
+def test_frequent_digests_are_found_once(llm):
+    df = llm.createDataFrame([(i, f"t{i % 7}") for i in range(50)], "doc_id bigint, text string")
+    marked = exact_dedup.mark_copies(df, support=0.1)
+    plan = marked._jdf.queryExecution().analyzed().toString()
+    assert "collect_frequent_items" not in plan.lower() and "collectfrequentitems" not in plan.lower()
+    assert marked.count() == 50 and marked.where("kept").count() == 7
