@@ -84,15 +84,15 @@ class Model:
 def sample(labelled: DataFrame, group: str, most: int) -> DataFrame:
     """``text``, the group and ``_n`` (from 1) of at most ``most`` rows per group: those with the smallest hashes.
 
-    Chosen on narrow rows; whole texts of the chosen ones only are fetched.
+    Chosen on narrow rows; whole texts of the chosen ones only are fetched. Rows equal in key, text and group count once.
     """
     digest = F.xxhash64("doc_id", "text")
     order = Window.partitionBy(group).orderBy("_h", "doc_id")
-    narrow = labelled.select("doc_id", group, digest.alias("_h")).withColumn("_n", F.row_number().over(order))
+    narrow = labelled.select("doc_id", group, digest.alias("_h")).distinct().withColumn("_n", F.row_number().over(order))
     chosen = staged(narrow.where(F.col("_n") <= most), "sample")
     side = small_side(chosen.select(F.col("doc_id").alias("_id"), "_h", F.col(group).alias("_g"), "_n"), SAMPLE_BROADCAST)
     same = (F.col("doc_id") == F.col("_id")) & (digest == F.col("_h")) & (F.col(group) == F.col("_g"))
-    return labelled.join(side, same).select("text", group, "_n")
+    return labelled.join(side, same).dropDuplicates(["_id", "_h", "_g"]).select("text", group, "_n")
 
 
 def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, landmarks: int = LANDMARKS_PER_LANGUAGE,

@@ -23,6 +23,7 @@ from motorlake.llm.shingles import texts, word_hashes
 FEATURE_BITS = 18
 #: Labelled rows per domain that the classifier learns from, at most.
 SAMPLE_PER_DOMAIN = 4000
+BUCKETS = 64
 EPOCHS = 10
 STEPS = 60
 TOLERANCE = 1e-4
@@ -60,11 +61,14 @@ def fit(docs: DataFrame, marks: DataFrame, per_domain: int = SAMPLE_PER_DOMAIN,
             raw = [places(t)[0].astype(np.int32).tobytes() for t in texts(b.column("text"))]
             yield pa.RecordBatch.from_pydict({"domain": b.column("domain"), "places": pa.array(raw, pa.binary())})
 
-    order = Window.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id")
-    drawn = marks.where(F.col("domain").isNotNull()).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_domain)
+    drawn, bucket = marks.where(F.col("domain").isNotNull()), F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(BUCKETS))
+    for parts in (["domain", bucket], ["domain"]):  # the smallest of every bucket first, so that no task ranks a whole domain
+        order = Window.partitionBy(*parts).orderBy(F.xxhash64("doc_id"), "doc_id")
+        drawn = drawn.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_domain).drop("_n")
     side = small_side(staged(drawn.select(F.col("doc_id").alias("_id"), "domain"), "drawn"), SAMPLE_BROADCAST)
     whole = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").cast("string").alias("text")).where(F.col("text").isNotNull())
-    taken = whole.join(side, F.col("_key") == F.col("_id"))
+    # A key that many rows share teaches once, with the text of the smallest hash.
+    taken = whole.join(side, F.col("_key") == F.col("_id")).groupBy("_id", "domain").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     rows = taken.select("text", "domain").mapInArrow(features, "domain string, places binary").toPandas()
     rows = rows.sort_values(["domain", "places"])
     domains = sorted(set(rows.domain))

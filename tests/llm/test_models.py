@@ -82,6 +82,17 @@ def test_mixing_meets_targets(llm):
     assert set(counts["count"]) <= {1, 2, 3, 4} and (counts.text.fillna("") == "").sum() == 2
 
 
+def test_repeated_rows_are_learned_from_once(llm):
+    rows = [(i, f"word{i} one two", "xa" if i % 2 else "xb") for i in range(20)]
+    once = llm.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    many = llm.createDataFrame(rows + [rows[3]] * 60, "doc_id bigint, text string, lang string")
+    drawn = lambda df: sorted((r.text, r.lang, r["_n"]) for r in language.sample(df, "lang", 8).collect())
+    assert drawn(many) == drawn(once) and len(drawn(many)) == 16
+    marks = llm.createDataFrame([(i, "good" if i % 2 else "poor") for i in range(20)], "doc_id bigint, domain string")
+    a, b = mixing.fit(once, marks, per_domain=6), mixing.fit(many, marks, per_domain=6)
+    assert np.array_equal(a.weights, b.weights) and np.array_equal(a.bias, b.bias)
+
+
 def test_mixing_without_rows_or_labels(llm, odd, none):
     marks = llm.createDataFrame([], "doc_id bigint, quality int, toxic int")
     rated, domains = mixing.mix(odd, mixing.domain_marks(marks), {"good": 1.0})
