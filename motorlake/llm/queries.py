@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorlake.llm import chat, curves, exact_dedup, language, mixing, ngram_join, packing, repeats, secrets, token_counts
+from motorlake.llm import chat, curves, exact_dedup, language, line_dedup, mixing, ngram_join, packing, repeats, secrets, token_counts
 from motorlake.llm.common import ship
 
 BPE = "byte_bpe_50k.json"
@@ -103,3 +103,19 @@ def op9_prefix_free_repeats(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path(BPE), limit=512)
+
+
+@query("""
+    WITH t AS (SELECT row_number() OVER () AS n, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+         l AS (SELECT n, doc_id, unnest(lines) AS line, unnest(generate_series(1, len(lines))) AS pos FROM t),
+         k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+         c AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT n) >= 10)
+    SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
+    FROM k LEFT JOIN c ON k.key = c.key GROUP BY n
+""")
+def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    left = line_dedup.drop_common_lines(docs, documents=10, shortest=1)
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
