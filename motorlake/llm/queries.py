@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorlake.llm import chat, curves, exact_dedup, language, line_dedup, mixing, ngram_join, packing, repeats, secrets, token_counts
+from motorlake.llm import alignment, chat, curves, exact_dedup, language, line_dedup, mixing, ngram_join, packing, repeats, secrets, token_counts
 from motorlake.llm.common import ship
 
 BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -119,3 +120,8 @@ def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     left = line_dedup.drop_common_lines(docs, documents=10, shortest=1)
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query()
+def op13_merge_path_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(table(spark, folder, "documents"), public_tokenizers.path(BPE), public_tokenizers.path(PIECES))
