@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorlake.llm import alignment, chat, curves, exact_dedup, language, line_dedup, mixing, ngram_join, packing, repeats, secrets, token_counts
+from motorlake.llm import alignment, chat, curves, exact_dedup, language, line_dedup, mixing, ngram_join, packing, repeats, secrets, token_counts, whitening
 from motorlake.llm.common import ship
 
 BPE = "byte_bpe_50k.json"
@@ -122,6 +122,12 @@ def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query()
+def op11_jacobi_davidson_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    white = whitening.whiten(table(spark, folder, "embeddings"), components=8)
+    return white.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
 @query()
 def op13_merge_path_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align(table(spark, folder, "documents"), public_tokenizers.path(BPE), public_tokenizers.path(PIECES))
