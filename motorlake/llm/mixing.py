@@ -2,8 +2,8 @@
 
 A classifier learned from a table of labels gives every document a posterior over domains. Document rates, none below
 zero, are fitted by projected gradient so that the expected tokens of each domain (rate x tokens x posterior, summed)
-match the targets in the sense of least squares. A step needs one number per domain from all documents; each document
-replays the steps so far on its own posterior, so no state is kept or shuffled.
+match the targets in the sense of least squares. A step needs a few sums over all documents; a document's rate follows
+from its own posterior and one number per domain, so no state is kept or shuffled.
 """
 
 from __future__ import annotations
@@ -25,8 +25,9 @@ FEATURE_BITS = 18
 SAMPLE_PER_DOMAIN = 4000
 BUCKETS = 64
 EPOCHS = 10
-STEPS = 60
-TOLERANCE = 1e-4
+STEPS = 100
+#: Steps end when every domain's gradient is below this share of the domain.
+TOLERANCE = 1e-9
 #: Weight of staying near rate 1; it makes the solution unique.
 PULL = 1e-3
 
@@ -118,46 +119,65 @@ def posteriors(docs: DataFrame, model: DomainModel, key: str = "doc_id", text: s
     return rows.mapInArrow(score, "doc_id bigint, n_tokens bigint, posterior array<double>")
 
 
-def _replay(steps: list[np.ndarray], size: float) -> Column:
-    """A document's rate after the steps so far: each is (slope per domain), then the projection onto rates >= 0."""
-    if not steps:
-        return F.lit(1.0)
-    flat = "array(" + ", ".join("array(" + ", ".join(f"{v!r}D" for v in map(float, s)) + ")" for s in steps) + ")"
-    dot = "aggregate(zip_with(posterior, g, (p, s) -> p * s), 0D, (a, b) -> a + b)"
-    return F.expr(f"aggregate({flat}, 1D, (r, g) -> greatest(0D, r - {size!r}D * ({dot} + {PULL!r}D * (r - 1D))))")
+def _rate(pull: np.ndarray) -> Column:
+    """A document's rate, never below zero, for a pull on each domain."""
+    slope = F.lit(0.0)
+    for i, v in enumerate(pull):
+        slope = slope + F.lit(float(v)) * F.col("posterior")[i]
+    return F.greatest(F.lit(0.0), 1 - slope)
 
 
 def rates(members: DataFrame, domains: list[str], targets: dict[str, float], steps: int = STEPS) -> DataFrame:
     """``members`` (with ``n_tokens, posterior``) and ``rate``: nonnegative, matching the target shares in expectation.
 
+    Least squares over the rates: every domain's error in tokens, relative to what there is of it, and ``PULL`` for
+    staying near rate 1. A gradient step is scaled by the inverse Hessian of the rates that are free (above zero), and
+    projected onto rates not below zero. Scaled so, a document's rate after any step is a function of its posterior and
+    one number per domain; a pass over the documents gives the gradient and the Hessian in a few sums. Steps are
+    shortened until the objective falls enough, and end where no domain's error, relative to its share, moves any more.
+
     ``targets`` are shares of the tokens there are; a domain that is not named has target 0, and a share of a domain
     that no label knows goes to no one. Without tokens every rate is 1.
     """
-    want = np.array([targets.get(d, 0.0) for d in domains])
-    weighed = members.where(F.col("n_tokens") > 0)
     k = len(domains)
-    moments = weighed.agg(F.sum("n_tokens").alias("total"), *[
-        F.sum(F.col("n_tokens") * F.col("posterior")[i]).alias(f"s{i}") for i in range(k)], *[
-        F.sum(F.col("n_tokens") * F.col("posterior")[i] * F.col("posterior")[j]).alias(f"m{i}_{j}") for i in range(k) for j in range(i, k)]).first()
-    if not k or not moments["total"]:
+    want = np.array([targets.get(d, 0.0) for d in domains])
+    weighed = members.where(F.col("n_tokens") > 0).select("n_tokens", "posterior")
+
+    def sums(pull: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, float]:
+        """Tokens; tokens of each domain at these rates; their products over the free documents; squared rates."""
+        p, t = [F.col("posterior")[i] for i in range(k)], F.col("n_tokens")
+        rated = weighed.withColumn("_rate", _rate(pull))
+        r, free = F.col("_rate"), F.when(F.col("_rate") > 0, t).otherwise(0)
+        row = rated.agg(F.sum(t), F.sum(t * r * r), *[F.sum(t * r * x) for x in p],
+                        *[F.sum(free * p[i] * p[j]) for i in range(k) for j in range(i, k)]).first()
+        values = [float(v or 0) for v in row]
+        gram = np.zeros((k, k))
+        gram[np.triu_indices(k)] = values[2 + k:]
+        return values[0], np.array(values[2:2 + k]), gram + np.triu(gram, 1).T, values[1]
+
+    pull = np.zeros(k)
+    total, tokens, gram, squares = sums(pull)
+    if not k or not total:
         return members.withColumn("rate", F.lit(1.0))
-    total = float(moments["total"])
-    share = np.array([moments[f"s{i}"] / total for i in range(k)]).clip(1e-12)
-    gram = np.array([[moments[f"m{min(i, j)}_{max(i, j)}"] / total for j in range(k)] for i in range(k)])
-    scale = 1 / share  # every domain's error counts relative to what there is of it
-    size = float(1 / (np.linalg.eigvalsh(np.sqrt(np.outer(scale, scale)) * gram)[-1] + PULL))
-    done: list[np.ndarray] = []
-    before = None
+    share = (tokens / total).clip(1e-12)
+
+    def value(pull: np.ndarray, squares: float) -> float:
+        return squares / total / 2 + want @ pull + PULL / 2 * (share * pull * pull).sum()
+
     for _ in range(steps):
-        rate = _replay(done, size)
-        now = weighed.select("n_tokens", "posterior", rate.alias("r")).agg(*[
-            F.sum(F.col("n_tokens") * F.col("r") * F.col("posterior")[i]) for i in range(k)]).first()
-        error = np.array([float(v) for v in now]) / total - want
-        if before is not None and np.abs(error - before).max() < TOLERANCE * size:
+        slope = want - tokens / total + PULL * share * pull
+        if np.abs(slope / share).max() < TOLERANCE:
             break
-        before = error
-        done.append(error * scale)
-    return members.withColumn("rate", _replay(done, size))
+        step = -np.linalg.solve(gram / total + PULL * np.diag(share), slope)
+        now, length = value(pull, squares), 1.0
+        while True:
+            new = sums(pull + length * step)
+            if value(pull + length * step, new[3]) <= now + 1e-4 * length * (slope @ step) + 1e-15 or length < 1e-6:
+                break
+            length /= 2
+        pull = pull + length * step
+        _, tokens, gram, squares = new
+    return members.withColumn("rate", _rate(pull))
 
 
 def mix(docs: DataFrame, marks: DataFrame, targets: dict[str, float], key: str = "doc_id", text: str = "text") -> tuple[DataFrame, list[str]]:

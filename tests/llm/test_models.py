@@ -71,10 +71,10 @@ def test_mixing_meets_targets(llm):
     assert np.allclose((p * (w * r)[:, None]).sum(0) / w.sum(), [0.8, 0.2, 0.0], atol=0.02)
     # Brute force: the same objective, minimised by long projected gradient in numpy.
     share, x = (p * w[:, None]).sum(0) / w.sum(), np.ones(len(w))
-    for _ in range(4000):
+    for _ in range(60_000):
         e = (p * (w * x)[:, None]).sum(0) / w.sum() - np.array([0.8, 0.2, 0.0])
         x = np.maximum(0, x - 0.3 * (p @ (e / share) + mixing.PULL * (x - 1)))
-    assert np.abs(((x - r) * w).sum()) / w.sum() < 0.02 and np.abs(x - r).max() < 0.15
+    assert np.abs(x - r)[w > 0].max() < 1e-3
 
     again = mixing.resample(d, labelled, targets)
     assert again.columns == d.columns

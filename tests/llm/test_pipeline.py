@@ -4,9 +4,11 @@ import os
 
 import corpus_pipeline
 import duckdb
+import numpy as np
 import pytest
 from conftest import SMALL
 from llm_cases import llm  # noqa: F401
+from motorlake.llm import mixing, queries
 from motorlake.llm.common import staged
 from test_ngram_join import shingles
 from test_tokens import check_packing
@@ -86,7 +88,17 @@ def test_mixing_stage_keeps_the_good_and_drops_the_toxic(stages):
     good = {d for d, q, t in marks if q == 1 and t == 0} & before
     toxic = {d for d, _, t in marks if t == 1} & before
     assert good <= set(after) <= before
-    assert len(toxic & set(after)) <= len(toxic) / 3
+    assert not toxic & set(after)
+
+
+def test_toxic_tokens_left_by_the_targets(llm):
+    """On sf0.01, rates from plain projected steps carried on for thousands of steps leave 0.17 % toxic tokens."""
+    folder = os.path.join(os.path.dirname(SMALL), "sf0.01")
+    docs, labels = (llm.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    rated, domains = mixing.mix(docs, mixing.domain_marks(labels), queries.TARGETS)
+    rows = rated.toPandas()
+    left = (np.stack(rows.posterior) * (rows.n_tokens * rows.rate).to_numpy()[:, None]).sum(0) / rows.n_tokens.sum()
+    assert dict(zip(domains, left)) == pytest.approx({"good": 0.95, "poor": 0.05, "toxic": 0.0017}, abs=5e-4)
 
 
 def test_packing_stage(stages):
