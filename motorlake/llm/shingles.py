@@ -1,7 +1,8 @@
 """Word shingles of whole texts as 64-bit hashes, batch-wise in numpy.
 
-Words are runs of bytes other than ASCII white space, A-Z lower-cased. A word's hash is a polynomial over random byte
-values; long texts are read in segments cut at white space, so memory follows the segment and not the text.
+Words are runs of bytes other than ASCII white space, A-Z lower-cased. A word's hash is the sum of a random value for each
+byte at its place in the word (tabulation hashing: no two words are related by their structure); long texts are read in
+segments cut at white space, so memory follows the segment and not the text.
 """
 
 from __future__ import annotations
@@ -15,25 +16,20 @@ from motorlake.llm.common import mix64
 
 SEGMENT = 1 << 19
 
-_P = np.uint64(0x9E3779B97F4A7C15 | 1)
-_P_INVERSE = np.uint64(pow(int(_P), -1, 1 << 64))
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-_VALUES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
-_VALUES[65:91] = _VALUES[97:123]
-_BLANK = np.zeros(256, bool)
-_BLANK[[9, 10, 11, 12, 13, 32]] = True
+#: One random value per place in a word and byte value; later places are computed. A-Z count as a-z.
+_PLACES = 64
+
 
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+def _values(place: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    return mix64(mix64(place.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) + byte.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = max(n, SEGMENT + 1)
-        for i, base in enumerate((_P, _P_INVERSE)):
-            table = np.full(size, base, np.uint64)
-            table[0] = 1
-            _powers[i] = np.cumprod(table)
-    return _powers[0], _powers[1]
+_LOWER = np.arange(256)
+_LOWER[65:91] += 32
+_TABLE = _values(np.repeat(np.arange(_PLACES), 256), np.tile(_LOWER, _PLACES))
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
 
 
 def _segment_words(data: np.ndarray) -> np.ndarray:
@@ -41,9 +37,16 @@ def _segment_words(data: np.ndarray) -> np.ndarray:
     blank = _BLANK[data]
     edges = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8)))
     starts, ends = edges[::2], edges[1::2]
-    up, down = _power_tables(len(data) + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUES[data] * up[:len(data)])])
-    return mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    lengths = ends - starts
+    inside = data[~blank]
+    stop = np.cumsum(lengths)
+    place = np.arange(len(inside)) - np.repeat(stop - lengths, lengths)
+    values = _TABLE[(np.minimum(place, _PLACES - 1) << 8) | inside]
+    far = np.flatnonzero(place >= _PLACES)
+    if len(far):
+        values[far] = _values(place[far], _LOWER[inside[far]])
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
+    return mix64(sums[stop] - sums[stop - lengths] + lengths.astype(np.uint64))
 
 
 def word_hashes(text: bytes | memoryview) -> np.ndarray:

@@ -98,3 +98,14 @@ def test_components(llm):
             root[y] = x
     got = {(r.node, r.root) for r in components(llm.createDataFrame(pairs, "a bigint, b bigint")).collect()}
     assert got == {(x, find(x)) for x in list(root)}
+
+
+def test_words_of_regular_letters_do_not_meet(llm):
+    """Complementary Thue-Morse words have equal polynomial hashes modulo 2**64, whatever base and values."""
+    for power in (10, 11, 12):
+        word = [bin(i).count("1") % 2 for i in range(1 << power)]
+        a, b = ("".join("ab"[x ^ flip] for x in word) for flip in (0, 1))
+        assert len(set(word_hashes(f"{a} {b} {a.upper()}".encode()).tolist())) == 2
+    rows = [(1, f"x y {a}"), (2, f"x y {b}"), (3, "x y " + a[:-1] + "c")]
+    got = ngram_join.link_documents(llm.createDataFrame(rows, "doc_id bigint, text string"), width=3, num=90, den=100)
+    assert {r.doc_id: (r.component_id, r.n_links) for r in got.collect()} == {i: (i, 0) for i in (1, 2, 3)}
