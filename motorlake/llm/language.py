@@ -11,7 +11,6 @@ N-grams are hashed into ``2**GRAM_BITS`` places, so the table is bounded.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,11 +34,15 @@ SLACK = 1.25
 MARGIN, SHARE = 0.45, 0.6
 SEGMENT = 1 << 18
 
-_LETTER = re.compile(r"[^\W\d_]")
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 _flags = np.zeros(1 << GRAM_BITS, bool)
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is a letter, as ``\\p{L}`` has it: no number sign such as a superscript or a fraction is one."""
+    return any(map(str.isalpha, text))
+
+
 def present(text: str) -> np.ndarray:
     """Places of the n-grams present in the lower-cased whole text, ascending. Long texts go segment by segment."""
     for at in range(0, max(1, len(text)), SEGMENT):
@@ -159,7 +162,7 @@ def _judged(docs: DataFrame, model: Model, key: str, text: str) -> DataFrame:
             parts = []
             for at in range(0, len(texts), 500):
                 some = texts.iloc[at:at + 500].tolist()
-                letters = np.array([bool(_LETTER.search(t)) for t in some])
+                letters = np.array([has_letter(t) for t in some])
                 s, sizes, share = m.judge(some)
                 known = letters & bool(m.languages)
                 best = s.argmax(1) if m.languages else np.zeros(len(some), int)
@@ -188,7 +191,7 @@ def limits(labelled: DataFrame, model: Model, per_language: int = LIMITS_PER_LAN
             for t in b.text:
                 words = t.split()
                 some += [t] + [" ".join(words[len(words) // 2:][:n]) for n in (1, 2, 3, 5, 10, 20)]
-            some = [t for t in some if _LETTER.search(t)]
+            some = [t for t in some if has_letter(t)]
             for at in range(0, len(some), 500):
                 s, sizes, share = m.judge(some[at:at + 500])
                 yield pd.DataFrame({"score": (s.max(1) + 1) / 2, "grams": sizes, "share": share})

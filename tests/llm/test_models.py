@@ -50,6 +50,13 @@ def test_language_of_odd_rows(llm, odd, none):
     assert kept.columns == odd.columns and sorted(kept.select("text").toPandas().text) == sorted(t for _, t in ODD if t and t.strip())
 
 
+def test_signs_are_no_letters(llm):
+    model = language.Model(["xx"], np.ones((1 << language.GRAM_BITS, 1), np.float32))
+    rows = [(i, t) for i, t in enumerate(["²", "½ ①", "Ⅷ", "12 !?", "ª", "漢", "a²", "", None])]
+    got = {r.doc_id: r.lang_pred for r in language.predict(llm.createDataFrame(rows, "doc_id bigint, text string"), model).collect()}
+    assert [got[i] for i, _ in rows] == ["und"] * 4 + ["xx"] * 3 + ["und"] * 2
+
+
 def test_mixing_meets_targets(llm):
     rng = random.Random(1)
     words = {"good": "alpha beta gamma".split(), "poor": "spam cheap click".split(), "toxic": "awful nasty vile".split()}
