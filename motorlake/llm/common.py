@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +69,23 @@ def rows_chosen(docs: DataFrame, chosen: DataFrame, key: str, text: str) -> Data
     return unnested(once, docs.columns)
 
 
+#: Bytes of an Arrow batch where several Python stages follow each other on the same workers.
+BATCH_BYTES = "8m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts reach the Python workers a few megabytes at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system: a worker is used again by tasks that need little of it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 _shipped: set[str] = set()
 
 

@@ -19,12 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motorlake.llm.common import identity, mix64, rows_chosen, small_side, sorted_runs, staged
+from motorlake.llm.common import give_back, identity, mix64, rows_chosen, small_side, sorted_runs, staged
 from motorlake.llm.components import components
 from motorlake.llm.shingles import set_id, shingle_set, texts, word_hashes
 
 #: Shingles that one task holds of one cut of a block.
-BLOCK_SHINGLES = 4_000_000
+BLOCK_SHINGLES = 2_000_000
+#: Shingles (or as many numbers) that a task gathers before it passes them on.
+BATCH_SHINGLES = 500_000
 #: Shingles that the digests leave out, at most (8 bytes each), and the fewest documents that make one common.
 COMMON_SHINGLES = 200_000
 COMMON_DOCUMENTS = 20
@@ -83,11 +85,12 @@ def _per_text(docs: DataFrame, make, schema: str) -> DataFrame:
                 for row, size in make(key, text):
                     out.append(row)
                     held += size
-                if held > 4_000_000:
+                if held > 8 * BATCH_SHINGLES:
                     yield _batch(out)
                     out, held = [], 0
             if out:
                 yield _batch(out)
+        give_back()
 
     def _batch(rows):
         return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names).cast(_arrow(schema))
@@ -119,11 +122,12 @@ def _common(docs: DataFrame, width: int) -> np.ndarray:
             for t in texts(b.column("text")):
                 held.append(shingle_set(word_hashes(t), width))
                 size += len(held[-1])
-                if size > 4_000_000:
+                if size > BATCH_SHINGLES:
                     yield repeated(held)
                     held, size = [], 0
             if held:
                 yield repeated(held)
+        give_back()
 
     def repeated(held):
         values, n = np.unique(np.concatenate(held), return_counts=True)
@@ -257,12 +261,15 @@ def _search(held: DataFrame, num: int, den: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
         for b in batches:
-            for r in zip(*(b.column(c).to_pylist() for c in ("block", "x", "y", "cut", "set_id", "copies", "shingles"))):
-                if r[:3] != now:
-                    yield from close(now, rows)
-                    now, rows = r[:3], []
-                rows.append(r[3:])
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                for r in zip(*(part.column(c).to_pylist() for c in ("block", "x", "y", "cut", "set_id", "copies", "shingles"))):
+                    if r[:3] != now:
+                        yield from close(now, rows)
+                        now, rows = r[:3], []
+                    rows.append(r[3:])
         yield from close(now, rows)
+        give_back()
 
     def close(block, rows):
         once = {r[1]: r for r in rows}  # a repeated row brings its set twice
