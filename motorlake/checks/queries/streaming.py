@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from motorlake.checks import bindings as B
 from motorlake.checks.registry import query
 from motorlake.plans.silver import PAYLOAD
-from motorlake.schemas import FACT_LISTING_DAILY, FACT_PRICE_EVENT, LISTING_CURRENT, PRICE_EVENT
+from motorlake.schemas import FACT_LISTING_DAILY, FACT_PRICE_EVENT, PRICE_EVENT
 from motorlake.session import scratch_path
 from motorlake.streaming import incremental as R
+from motorlake.streaming.store import LakeStore
 
 _CUTS = [dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21)]
 _LATE = dt.datetime(2024, 2, 1)
@@ -20,7 +21,7 @@ _LATE = dt.datetime(2024, 2, 1)
 def _replay(t, rows, ts, run):
     """Write each time slice to the source folder, then run on what arrived."""
     source, checkpoint = scratch_path(t.spark, "arrivals"), scratch_path(t.spark, "progress")
-    store = R.LakeStore(t.spark, scratch_path(t.spark, "store"))
+    store = LakeStore(t.spark, scratch_path(t.spark, "store"))
     bounds = [None, *_CUTS, None]
     result = None
     for start, end in zip(bounds, bounds[1:]):
@@ -35,9 +36,19 @@ def _replay(t, rows, ts, run):
     return store, result
 
 
+def _out_of_order(t, rows):
+    """Each observation arrives with one of the three slices, whatever its time: rows come weeks late."""
+    slices = F.array(*[F.lit(x).cast("timestamp") for x in (dt.datetime(2024, 1, 1), *_CUTS)])
+    return rows.withColumn("arrives", F.get(slices, F.pmod(F.xxhash64("listing_id", "fetched_at"), F.lit(3)).cast("int")))
+
+
+def _mixed(t, rows, run):
+    return _replay(t, _out_of_order(t, rows), "arrives", lambda s, store, c: run(s.drop("arrives"), store, c))[0]
+
+
 def _incremental(t):
     days = B.calendar(t)
-    return _replay(t, B.records(t), "fetched_at", lambda s, store, c: R.run_incremental(s, store, c, days))[0]
+    return _mixed(t, B.records(t), lambda s, store, c: R.run_incremental(s, store, c, days))
 
 
 _FACT = "date_key, listing_id, CAST(price_kzt AS DOUBLE) AS price_kzt, is_active, days_on_site, photo_count"
@@ -45,39 +56,33 @@ _FACT = "date_key, listing_id, CAST(price_kzt AS DOUBLE) AS price_kzt, is_active
 
 @query("R1", f"SELECT {_FACT} FROM facts", "facts")
 def streamed_facts(t):
-    facts = _incremental(t).partitioned("fact_listing_daily", FACT_LISTING_DAILY)
+    facts = _incremental(t).read("fact_listing_daily", FACT_LISTING_DAILY)
     return facts.select("date_key", "listing_id", "price_kzt", "is_active", "days_on_site", "photo_count")
 
 
 @query("R1 M3", "SELECT listing_id, snapshot_date::VARCHAR AS snapshot_date, CAST(price_kzt AS DOUBLE) AS price_kzt, is_active, photo_count FROM snap", "snap")
 def streamed_snapshots(t):
-    """Fed out of order: each observation arrives with one of the three slices, whatever its time."""
-    days, rows = B.calendar(t), B.records(t)
-    slices = F.array(*[F.lit(x).cast("timestamp") for x in (dt.datetime(2024, 1, 1), *_CUTS)])
-    mixed = rows.withColumn("arrives", F.get(slices, F.pmod(F.xxhash64("listing_id", "fetched_at"), F.lit(3)).cast("int")))
-    store, _ = _replay(t, mixed, "arrives", lambda s, store, c: R.run_incremental(s.drop("arrives"), store, c, days))
-    return R.stored_snapshots(store).drop("views")
+    return R.snapshots(_incremental(t)).drop("views")
 
 
-@query("R1 M14", "SELECT event_ts, date_key, listing_id, CAST(old_price_kzt AS DOUBLE) AS old_price_kzt, CAST(new_price_kzt AS DOUBLE) AS new_price_kzt FROM pfacts", "pfacts")
+@query("R1 M2 M14", "SELECT event_ts, date_key, listing_id, CAST(old_price_kzt AS DOUBLE) AS old_price_kzt, CAST(new_price_kzt AS DOUBLE) AS new_price_kzt FROM pfacts", "pfacts")
 def streamed_price_facts(t):
-    return _incremental(t).appended("fact_price_event", FACT_PRICE_EVENT)
+    return _incremental(t).read("fact_price_event", FACT_PRICE_EVENT)
 
 
-@query("R2", "SELECT listing_id, event_ts, CAST(old_price_kzt AS DOUBLE) AS old_price_kzt, CAST(new_price_kzt AS DOUBLE) AS new_price_kzt FROM pevents", "pevents")
+@query("R2 M2", "SELECT listing_id, event_ts, CAST(old_price_kzt AS DOUBLE) AS old_price_kzt, CAST(new_price_kzt AS DOUBLE) AS new_price_kzt FROM pevents", "pevents")
 def streamed_price_events(t):
     rows = B.records(t).select("listing_id", "fetched_at", "http_status", "price_kzt")
-    return _replay(t, rows, "fetched_at", R.run_price_detector)[0].appended("price_events", PRICE_EVENT)
+    return _mixed(t, rows, R.run_price_detector).read("price_events", PRICE_EVENT)
 
 
 _STATE = ["listing_id", "price_kzt", "city", "first_seen_at", "last_seen_at", "is_active"]
 
 
-@query("R3", "SELECT listing_id, CAST(price_kzt AS DOUBLE) AS price_kzt, city, first_seen_at, last_seen_at, is_active FROM cur", "cur")
+@query("R3 M1", "SELECT listing_id, CAST(price_kzt AS DOUBLE) AS price_kzt, city, first_seen_at, last_seen_at, is_active FROM cur", "cur")
 def streamed_current_state(t):
     rows = B.records(t).select("listing_id", "fetched_at", "http_status", *PAYLOAD, "payload_hash")
-    store, _ = _replay(t, rows, "fetched_at", R.run_current_state)
-    return store.version("current", LISTING_CURRENT, len(_CUTS)).select(*_STATE)
+    return R.current(_mixed(t, rows, R.run_current_state)).select(*_STATE)
 
 
 @query("R4", "SELECT listing_id, fetched_at, http_status FROM obs", "obs")

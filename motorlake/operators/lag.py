@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key with more rows than this has its timeline cut into segments.
+from motorlake.session import staged
+
+# The most rows of one key that a window may sort in one task; beyond that, all rows are cut by their order.
 HOT_KEY_ROWS = 10_000_000
-# Only so many of the largest keys are cut, which bounds the broadcast of them to
-# a few MB whatever the data. Of R rows, a key beyond these has under R / 100,000.
-MAX_HOT_KEYS = 100_000
-_SEGMENTS_PER_HOT_UNIT = 8
 
 
 def previous_value(
@@ -18,54 +16,38 @@ def previous_value(
 ) -> DataFrame:
     """Add ``out``: ``value`` of the preceding row of the same key by ``ts``.
 
-    Equals ``lag(value) over (partition by key order by ts)``. A plain window
-    sorts all rows of a key in one task, so the timeline of a hot key is cut
-    into segments by ``ts``; ``lag`` runs per (key, segment), and only the first
-    row of a segment takes the last value of the segment before it, from a
-    pre-aggregated table with one row per segment. Segments are a pure function
-    of the row, so a recomputed task cuts them the same way. Rows are kept whole
-    and equal timestamps order by value.
+    Equals ``lag(value) over (partition by key order by ts, value)``; rows are
+    kept whole. The input is written once. Where no key has more than
+    ``hot_key_rows`` rows, a plain window is enough. Else all rows are cut at
+    quantiles of their order (key, time, value, row): segments are equally large
+    however many rows share a key, a time or a value. ``lag`` runs inside a
+    segment, and only the first row of a key in a segment takes the last value of
+    the segment before it.
     """
-    micros = F.unix_micros(F.col(ts))
-    hot = (
-        df.groupBy(key)
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.min(micros).alias("_from"),
-            F.max(micros).alias("_to"),
-        )
-        .where(F.col("_rows") > hot_key_rows)
-        .orderBy(F.desc("_rows"), key).limit(MAX_HOT_KEYS)
-        .select(
-            key, "_from",
-            (
-                F.floor(
-                    (F.col("_to") - F.col("_from"))
-                    / F.ceil(F.col("_rows") * _SEGMENTS_PER_HOT_UNIT / F.lit(hot_key_rows))
-                ) + 1
-            ).alias("_width"),
-        )
-    )
-    # Cold keys have no width: their whole timeline is segment 0.
-    segment = F.coalesce(F.floor((micros - F.col("_from")) / F.col("_width")), F.lit(0)).cast("bigint")
-    cut = df.join(F.broadcast(hot), key, "left").withColumn("_segment", segment)
+    rows = staged(df.withColumn("_row", F.monotonically_increasing_id()), "timeline")
+    per_key = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    largest, total = per_key.agg(F.max("n"), F.sum("n")).first()
+    if (largest or 0) <= hot_key_rows:
+        order = Window.partitionBy(key).orderBy(ts, value)
+        return rows.withColumn(out, F.lag(value).over(order)).select(*df.columns, out)
+
+    cut = segments(rows, [key, ts, value, "_row"], -(-2 * total // hot_key_rows))
+    inside = Window.partitionBy(key, "_segment").orderBy(ts, value, "_row")
+    local = cut.withColumn("_before", F.lag(value).over(inside)).withColumn("_place", F.row_number().over(inside))
+    ends = cut.groupBy(key, "_segment").agg(F.max(F.struct(ts, value, "_row")).alias("_last"))
+    by_order = Window.partitionBy(key).orderBy("_segment")
+    # A key goes on over the border of a segment at most once per border: fewer rows than segments.
+    carried = ends.withColumn("_carry", F.lag(F.struct(F.col(f"_last.{value}").alias("value"))).over(by_order)).where(
+        F.col("_carry").isNotNull()).select(key, "_segment", "_carry")
+    joined = local.join(F.broadcast(carried), [key, "_segment"], "left")
+    previous = F.when(F.col("_place") == 1, F.col("_carry.value")).otherwise(F.col("_before"))
+    return joined.withColumn(out, previous).select(*df.columns, out)
 
-    in_segment = Window.partitionBy(key, "_segment").orderBy(ts, value)
-    local = (
-        cut.withColumn("_before", F.lag(value).over(in_segment))
-        .withColumn("_place", F.row_number().over(in_segment))
-    )
 
-    # One row per segment of a hot key; without hot keys this is empty and the
-    # join below disappears at run time.
-    by_time = Window.partitionBy(key).orderBy("_segment")
-    carried = (
-        cut.where(F.col("_width").isNotNull())
-        .groupBy(key, "_segment").agg(F.max(F.struct(ts, value)).alias("_last"))
-        .withColumn("_carry", F.lag(F.col(f"_last.{value}")).over(by_time))
-        .where(F.col("_segment") > 0)
-        .select(key, "_segment", "_carry")
-    )
-    joined = local.join(carried, [key, "_segment"], "left")
-    previous = F.when(F.col("_place") == 1, F.col("_carry")).otherwise(F.col("_before"))
-    return joined.withColumn(out, previous).select(*df.columns, out)
+def segments(rows: DataFrame, order: list[str], count: int) -> DataFrame:
+    """The rows with ``_segment``: ``count`` ranges of about equally many rows, by a total order of the rows.
+
+    Written once: sampled again, the borders might fall elsewhere.
+    """
+    placed = rows.repartitionByRange(max(2, count), *order)
+    return staged(placed.withColumn("_segment", F.spark_partition_id()), "segments")

@@ -14,9 +14,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from motorlake.functions import fixed
 from motorlake.functions.values import price_changed
+from motorlake.operators.joins import not_in
 from motorlake.operators.lag import HOT_KEY_ROWS, previous_value
 from motorlake.operators.merge import insert_if_absent, update_join, upsert
 from motorlake.schemas import LISTING_CURRENT, PRICE_EVENT, SNAPSHOT_DAILY, empty
@@ -28,9 +30,11 @@ PAYLOAD = [
     "color", "customs_cleared", "seller_name", "seller_type", "options_text", "photos",
 ]
 # Columns only ever set by the first insert.
-FIRST_ONLY = [
-    "first_seen_at", "currency", "seller_user_id", "seller_months_on_site", "seller_inventory_count", "seller_address",
-]
+FIRST_ONLY = ["currency", "seller_user_id", "seller_months_on_site", "seller_inventory_count", "seller_address"]
+#: Current state as a stream keeps it: with the time each listing was last missing, listings only ever missing included.
+CURRENT_STATE = T.StructType([*LISTING_CURRENT.fields, T.StructField("gone_at", T.TimestampType())])
+#: What price events follow from: one price per listing and fetch time.
+PRICE_POINT = T.StructType([PRICE_EVENT["listing_id"], T.StructField("fetched_at", T.TimestampType()), LISTING_CURRENT["price_kzt"]])
 
 
 @dataclass
@@ -85,26 +89,52 @@ def listing_summary(observations: DataFrame) -> DataFrame:
     )
 
 
+def _current_rows(summary: DataFrame) -> DataFrame:
+    unset = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in LISTING_CURRENT.fields if f.name in FIRST_ONLY[1:]]
+    return summary.selectExpr(
+        "listing_id", *[f"last.{c}" for c in PAYLOAD], "last.payload_hash", "first_seen_at",
+        "last.fetched_at AS last_seen_at", f"'{fixed.CURRENCY}' AS currency", *unset, "gone_at",
+    )
+
+
+_IS_NEWER = "(b.last_seen_at IS NOT NULL AND (t.last_seen_at IS NULL OR b.last_seen_at > t.last_seen_at))"
+_FIRST_SEEN = {"first_seen_at": "least(t.first_seen_at, b.first_seen_at)"}
+
+
 def upsert_current(current: DataFrame, summary: DataFrame) -> DataFrame:
     """Merge listing summaries: newer good records overwrite, a later miss deactivates.
 
     A listing that was only ever missing is not inserted.
     """
-    unset = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in LISTING_CURRENT.fields if f.name in FIRST_ONLY[2:]]
-    batch = summary.selectExpr(
-        "listing_id", *[f"last.{c}" for c in PAYLOAD], "last.payload_hash", "first_seen_at",
-        "last.fetched_at AS last_seen_at", f"'{fixed.CURRENCY}' AS currency", *unset, "gone_at",
-    )
-    is_newer = "(b.last_seen_at IS NOT NULL AND (t.last_seen_at IS NULL OR b.last_seen_at > t.last_seen_at))"
     is_missing = "b.gone_at > greatest(b.last_seen_at, t.last_seen_at)"
     return upsert(
-        current, batch, ["listing_id"],
+        current, _current_rows(summary), ["listing_id"],
+        overwrite=PAYLOAD + ["payload_hash", "last_seen_at"], keep=FIRST_ONLY,
+        computed=_FIRST_SEEN | {"is_active": f"CASE WHEN {is_missing} THEN false WHEN {_IS_NEWER} THEN true ELSE t.is_active END"},
+        apply_when=_IS_NEWER, insert_when="b.last_seen_at IS NOT NULL",
+    )
+
+
+def upsert_current_state(state: DataFrame, summary: DataFrame) -> DataFrame:
+    """``upsert_current`` for batches in any order of time, on a ``CURRENT_STATE``.
+
+    A miss is remembered, also of a listing not seen yet, so whether a listing is
+    active follows from its last good and its last missing fetch alone.
+    """
+    seen, gone = "greatest(b.last_seen_at, t.last_seen_at)", "greatest(b.gone_at, t.gone_at)"
+    return upsert(
+        state, _current_rows(summary), ["listing_id"],
         overwrite=PAYLOAD + ["payload_hash", "last_seen_at"], keep=FIRST_ONLY,
-        computed={"is_active": f"CASE WHEN {is_missing} THEN false WHEN {is_newer} THEN true ELSE t.is_active END"},
-        apply_when=is_newer, insert_when="b.last_seen_at IS NOT NULL",
+        computed=_FIRST_SEEN | {"gone_at": gone, "is_active": f"coalesce({seen} >= {gone}, {seen} IS NOT NULL)"},
+        apply_when=_IS_NEWER,
     )
 
 
+def known_listings(state: DataFrame) -> DataFrame:
+    """The current table of a ``CURRENT_STATE``: listings fetched at least once."""
+    return state.where(F.col("last_seen_at").isNotNull()).select(*LISTING_CURRENT.names)
+
+
 def merge_current(current: DataFrame, observations: DataFrame) -> DataFrame:
     return upsert_current(current, listing_summary(observations))
 
@@ -193,6 +223,34 @@ def batch_price_events(current: DataFrame, observations: DataFrame, hot_key_rows
     return price_changes(known.unionByName(newer.drop("_seen")), hot_key_rows)
 
 
+def price_points(observations: DataFrame) -> DataFrame:
+    """The prices of good fetches, unknown ones included."""
+    return to_table_types(observations.where(is_ok())).select(*PRICE_POINT.names)
+
+
+def revised_price_events(stored: DataFrame, arrived: DataFrame, hot_key_rows: int = HOT_KEY_ROWS) -> tuple[DataFrame, DataFrame]:
+    """What new price points change: (points whose stored event no longer holds, events that hold instead).
+
+    Each new point stands between the stored point before it and the one after
+    it, wherever in time that is: it may make an event of its own, and it takes
+    the place of the predecessor of the point after it, whose old event goes.
+    ``stored`` must hold, of every listing in ``arrived``, all points from the
+    last one before its first new point on (more do no harm). A fetch time holds
+    one point of a listing; points that are stored already change nothing.
+    """
+    fresh = not_in(arrived.distinct(), stored, PRICE_POINT.names)
+    points = stored.select(*PRICE_POINT.names, F.lit(False).alias("is_new")).unionByName(
+        fresh.select(*PRICE_POINT.names, F.lit(True).alias("is_new")))
+    timed = points.select("listing_id", "fetched_at", F.struct("price_kzt", "is_new").alias("point"))
+    chained = previous_value(timed, "listing_id", "fetched_at", "point", "before", hot_key_rows)
+    touched = chained.where(F.col("point.is_new") | F.coalesce(F.col("before.is_new"), F.lit(False)))
+    gone = touched.where(~F.col("point.is_new")).select("listing_id", F.col("fetched_at").alias("event_ts"))
+    events = touched.where(price_changed(F.col("before.price_kzt"), F.col("point.price_kzt"))).select(
+        "listing_id", F.col("fetched_at").alias("event_ts"), F.col("before.price_kzt").alias("old_price_kzt"),
+        F.col("point.price_kzt").alias("new_price_kzt"))
+    return gone, events
+
+
 def append_price_events(events: DataFrame, new: DataFrame) -> DataFrame:
     return insert_if_absent(events, new, ["listing_id", "event_ts"])
 

@@ -1,196 +1,237 @@
 """The hourly incremental run as Structured Streaming.
 
-Each micro-batch merges into tables under ``root``:
+Each micro-batch merges into versioned tables (``LakeStore``) and is switched on
+as a whole by one log entry:
 
-* ``current`` – a full version per batch (``v=<batch>``), made from the version
-  before it, so a failed or repeated batch leaves the older version readable and
-  writes the same rows again;
-* ``snapshots`` and ``fact_listing_daily`` – only the touched day partitions;
-* ``price_events``, ``fact_price_event`` and the dimensions – appended in one
-  ``batch=<n>`` partition, which a repeated batch replaces.
+* ``current`` – listings in buckets of their id's hash; only touched buckets are
+  read and rewritten, and their untouched rows never leave their tasks;
+* ``snapshots``, ``fact_listing_daily``, ``price_events``, ``fact_price_event`` –
+  one part per day; only touched days are rewritten or added to;
+* ``price_points`` – every known price, in the buckets of ``current``, for the
+  neighbours of late ones;
+* the dimensions – appended, a few parts at a time becoming one.
 
 The previous state is read from these tables, never from executor memory, so
-lost executors cost a re-read and no stream state has to fit a task: a listing
-with very many observations in a batch is handled by the segmented ``lag``.
+lost executors cost a re-read and no stream state has to fit a task. Batches may
+come in any order of time: a late observation ends up where it belongs, and price
+events, first-seen times and the facts of older days follow it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from motorlake.functions.dates import date_key
-from motorlake.operators.latest import last_per_key
-from motorlake.operators.merge import new_keys_only, within_partitions
+from motorlake.operators.merge import new_keys_only
 from motorlake.operators.stats import run_counters
 from motorlake.plans import gold as G
 from motorlake.plans import silver as S
 from motorlake.schemas import (
-    FACT_LISTING_DAILY, LAKE, LISTING_CURRENT, LOCATION_COLUMNS, PRICE_EVENT, SELLER_COLUMNS,
-    SNAPSHOT_DAILY, VEHICLE_COLUMNS, empty,
+    FACT_LISTING_DAILY, FACT_PRICE_EVENT, LAKE, LOCATION_COLUMNS, PRICE_EVENT, SELLER_COLUMNS, SNAPSHOT_DAILY, VEHICLE_COLUMNS,
 )
+from motorlake.session import staged
+from motorlake.streaming.store import Commit, LakeStore
 
+#: Buckets of the listing tables. A batch that touches few listings rewrites few of them.
+BUCKETS = 256
+#: Listings of a batch whose ids are broadcast to the state's tasks (8 bytes each); a larger batch is joined by a shuffle.
+BROADCAST_IDS = 2_000_000
 
-def _with_batch(schema: T.StructType) -> T.StructType:
-    return T.StructType(schema.fields + [T.StructField("batch", T.LongType())])
-
-
-class LakeStore:
-    """Tables of the incremental run under one shared folder."""
+#: Snapshots with the times that decide between observations of a day.
+_SNAPSHOT_STATE = T.StructType(
+    [*SNAPSHOT_DAILY.fields, T.StructField("seen_at", T.TimestampType()), T.StructField("gone_at", T.TimestampType())])
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
 
-    def _path(self, table: str) -> str:
-        return f"{self.root}/{table}"
+def listing_bucket() -> Column:
+    return F.pmod(F.xxhash64("listing_id"), F.lit(BUCKETS)).cast("int")
 
-    def _files(self, table: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(table))
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _read(self, table: str, schema: T.StructType) -> DataFrame:
-        path, files = self._files(table)
-        if not files.exists(path):
-            return empty(self.spark, schema)
-        return self.spark.read.schema(schema).parquet(self._path(table)).select(*schema.names)
+def _distinct(rows: DataFrame, column: Column) -> list:
+    """Distinct days or buckets of a batch: a few hundred at most."""
+    return [r[0] for r in rows.select(column.alias("v")).distinct().collect()]
 
-    def appended(self, table: str, schema: T.StructType, before: int | None = None) -> DataFrame:
-        """Rows of an append-only table, of the batches before ``before``."""
-        rows = self._read(table, _with_batch(schema))
-        return (rows if before is None else rows.where(F.col("batch") < before)).select(*schema.names)
 
-    def appended_in(self, table: str, schema: T.StructType, batch: int) -> DataFrame:
-        """Rows one batch appended."""
-        return self._read(table, _with_batch(schema)).where(F.col("batch") == batch).select(*schema.names)
+def _ids(rows: DataFrame) -> DataFrame:
+    ids = rows.select("listing_id").distinct()
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
-    def append(self, table: str, rows: DataFrame, batch: int, *partition: str) -> None:
-        """Add a batch, below the given partition columns if any; a repeated batch replaces itself."""
-        (
-            rows.withColumn("batch", F.lit(batch).cast("bigint")).write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").partitionBy(*partition, "batch").parquet(self._path(table))
-        )
 
-    def version(self, table: str, schema: T.StructType, batch: int) -> DataFrame:
-        """A versioned table as of ``batch``; empty before the first batch."""
-        return self._read(f"{table}/v={batch}", schema)
+def merge_buckets(commit: Commit, table: str, schema: T.StructType, batch: DataFrame,
+                  merge: Callable[[DataFrame, DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Merge a batch, one row per listing, into a table in listing buckets.
 
-    def write_version(self, table: str, rows: DataFrame, batch: int) -> None:
-        """Write version ``batch``; the one before stays, older ones go."""
-        rows.write.mode("overwrite").parquet(self._path(f"{table}/v={batch}"))
-        path, files = self._files(f"{table}/v={batch - 2}")
-        files.delete(path, True)
+    Stored rows of other listings pass from the old files of a touched bucket to
+    its new ones inside a task; only the batch's own listings are shuffled.
+    Returns the stored and the new rows of the batch's listings.
+    """
+    buckets = _distinct(batch, listing_bucket())
+    state, ids = commit.read(table, schema, buckets), _ids(batch)
+    met = staged(state.join(ids, "listing_id", "left_semi"), f"{table}-met")
+    new = staged(merge(met, batch), f"{table}-new")
+    rest = state.join(ids, "listing_id", "left_anti")
+    spread = new.withColumn("_bucket", listing_bucket()).repartition("_bucket").drop("_bucket")
+    commit.replace(table, rest.unionByName(spread), listing_bucket(), buckets)
+    return met, new
+
+
+def merge_price_points(commit: Commit, arrived: DataFrame, last: DataFrame) -> tuple[DataFrame, list, list]:
+    """Price events after new price points of good fetches.
+
+    ``last`` holds the last stored point of the listings that arrived. A listing
+    whose points are all newer needs no other; for late points the listing's
+    stored timeline is read from its bucket. Returns the events that hold now, the
+    days whose events were made anew, and the days that were only added to.
+    """
+    seen = last.select("listing_id", F.col("fetched_at").alias("_seen"))
+    late = arrived.join(seen, "listing_id").where(F.col("fetched_at") <= F.col("_seen")).select("listing_id").distinct()
+    late = staged(late, "late")
+    stored = last.select(*S.PRICE_POINT.names)
+    buckets = _distinct(late, listing_bucket())
+    if buckets:
+        ids = _ids(late)
+        timeline = commit.read("price_points", S.PRICE_POINT, buckets).join(ids, "listing_id", "left_semi")
+        stored = stored.join(ids, "listing_id", "left_anti").unionByName(timeline)
+    stored = staged(stored, "stored-points")
+    gone, events = S.revised_price_events(stored, arrived)
+    gone, events = (staged(gone, "gone"), staged(events, "events")) if buckets else (gone.limit(0), staged(events, "events"))
+    commit.append("price_points", new_keys_only(stored, arrived.distinct(), S.PRICE_POINT.names), listing_bucket())
+
+    day = F.to_date("event_ts")
+    anew = _distinct(gone, day) if buckets else []
+    if anew:
+        held = commit.read("price_events", PRICE_EVENT, anew).join(gone, ["listing_id", "event_ts"], "left_anti")
+        commit.replace("price_events", held.unionByName(events.where(day.isin(anew))), day, anew)
+    added = events.where(~day.isin(anew)) if anew else events
+    commit.append("price_events", added, day)
+    return added, anew, _distinct(added, day)
+
+
+def stored_snapshots(rows: DataFrame) -> DataFrame:
+    """The daily snapshots: days on which a listing was fetched."""
+    return rows.where(F.col("seen_at").isNotNull()).select(*SNAPSHOT_DAILY.names)
 
-    def partitioned(self, table: str, schema: T.StructType) -> DataFrame:
-        return self._read(table, schema)
 
-    def replace_partitions(self, table: str, rows: DataFrame, column: str) -> None:
-        (
-            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(column).parquet(self._path(table))
-        )
+def snapshots(store: LakeStore | Commit, days: list | None = None) -> DataFrame:
+    rows = store.read("snapshots", _SNAPSHOT_STATE) if days is None else store.read("snapshots", _SNAPSHOT_STATE, days)
+    return stored_snapshots(rows)
 
 
-#: Snapshots with the times that decide between observations of a day.
-_SNAPSHOT_STATE = T.StructType(
-    [*SNAPSHOT_DAILY.fields, T.StructField("seen_at", T.TimestampType()), T.StructField("gone_at", T.TimestampType())])
+def current(store: LakeStore | Commit) -> DataFrame:
+    return S.known_listings(store.read("current", S.CURRENT_STATE))
 
 
-def stored_snapshots(store: LakeStore) -> DataFrame:
-    """The daily snapshots: days on which a listing was fetched."""
-    return store.partitioned("snapshots", _SNAPSHOT_STATE).where(F.col("seen_at").isNotNull()).select(*SNAPSHOT_DAILY.names)
+def _moved(met: DataFrame, new: DataFrame) -> DataFrame:
+    """Listings whose older facts a batch changes: seen earlier than known, or with keys for the first time."""
+    keyed = F.col("city").isNotNull() & F.col("make").isNotNull() & F.col("model").isNotNull()
+    before = S.known_listings(met).select("listing_id", F.col("first_seen_at").alias("_first"), keyed.alias("_keyed"))
+    after = S.known_listings(new).select("listing_id", "first_seen_at", keyed.alias("now_keyed"))
+    both = after.join(before, "listing_id")
+    return both.where((F.col("first_seen_at") < F.col("_first")) | (F.col("now_keyed") & ~F.col("_keyed"))).select("listing_id")
 
 
-def merge_silver(store: LakeStore, observations: DataFrame, batch: int) -> None:
-    """Current state, snapshots and price events of one micro-batch."""
+def merge_silver(commit: Commit, observations: DataFrame) -> list:
+    """Current state, snapshots and price events of one micro-batch; returns the snapshot days whose facts change."""
     valid, rejected = S.split_valid(observations)
-    store.append("rejected", rejected, batch)
-    before = store.version("current", LISTING_CURRENT, batch - 1)
-    store.append("price_events", S.batch_price_events(before, valid), batch)
-    store.write_version("current", S.merge_current(before, valid), batch)
-
-    days = S.day_summary(valid)
-    touched = within_partitions(store.partitioned("snapshots", _SNAPSHOT_STATE), days, "snapshot_date")
-    store.replace_partitions("snapshots", S.upsert_snapshot_state(touched, days), "snapshot_date")
-
-
-def merge_gold(store: LakeStore, calendar: DataFrame, batch: int, days: DataFrame | None = None) -> None:
+    commit.append("rejected", rejected)
+    valid = staged(valid, "arrived")
+
+    summary = staged(S.listing_summary(valid), "listings")
+    met, new = merge_buckets(commit, "current", S.CURRENT_STATE, summary, S.upsert_current_state)
+    last = S.known_listings(met).select("listing_id", F.col("last_seen_at").alias("fetched_at"), "price_kzt")
+    added, anew, _ = merge_price_points(commit, S.price_points(valid), last)
+    if anew:
+        events = commit.read("price_events", PRICE_EVENT, anew)
+        commit.replace("fact_price_event", G.price_event_facts(events), F.to_date("event_ts"), anew)
+    commit.append("fact_price_event", G.price_event_facts(added), F.to_date("event_ts"))
+
+    days = staged(S.day_summary(valid), "days")
+    touched = _distinct(days, F.col("snapshot_date"))
+    merged = S.upsert_snapshot_state(commit.read("snapshots", _SNAPSHOT_STATE, touched), days)
+    commit.replace("snapshots", merged, F.col("snapshot_date"), touched)
+
+    moved = staged(_moved(met, new), "moved")
+    if not moved.isEmpty():
+        older = snapshots(commit).join(_ids(moved), "listing_id", "left_semi")
+        touched = sorted({*touched, *_distinct(older, F.col("snapshot_date"))})
+    return touched
+
+
+def merge_gold(commit: Commit, calendar: DataFrame, days: list | None = None) -> None:
     """Dimensions and facts after a silver batch.
 
     ``days`` limits the fact merge to the given snapshot days; without it all
     days are merged, as a full refresh does.
     """
     schemas = LAKE["gold"]
-    current = store.version("current", LISTING_CURRENT, batch)
+    listings = current(commit)
     sources = {
-        "dim_location": (G.location_rows(current), LOCATION_COLUMNS, "location_key"),
-        "dim_vehicle": (G.vehicle_rows(current), VEHICLE_COLUMNS, "vehicle_key"),
-        "dim_seller": (G.seller_rows(current), SELLER_COLUMNS, "seller_key"),
+        "dim_location": (G.location_rows(listings), LOCATION_COLUMNS, "location_key"),
+        "dim_vehicle": (G.vehicle_rows(listings), VEHICLE_COLUMNS, "vehicle_key"),
+        "dim_seller": (G.seller_rows(listings), SELLER_COLUMNS, "seller_key"),
     }
     for name, (rows, keys, key) in sources.items():
-        known = store.appended(name, schemas[name], before=batch)
-        store.append(name, G.new_dimension_rows(known, rows, keys, key), batch)
-    known_days = store.appended("dim_date", schemas["dim_date"], before=batch)
-    store.append("dim_date", new_keys_only(known_days, calendar, ["d"]), batch)
-
-    dims = {name: store.appended(name, schemas[name]) for name in [*sources, "dim_date"]}
-    keys = G.listing_keys(current, dims["dim_location"], dims["dim_vehicle"], dims["dim_seller"])
-    snapshots = stored_snapshots(store)
-    stored = store.partitioned("fact_listing_daily", FACT_LISTING_DAILY)
-    if days is not None:
-        snapshots = within_partitions(snapshots, days, "snapshot_date")
-        stored = within_partitions(stored, days.select(date_key(F.col("snapshot_date")).alias("date_key")), "date_key")
-    facts = G.resolve_star(snapshots, keys, dims["dim_date"])
-    store.replace_partitions("fact_listing_daily", G.upsert_facts(stored, facts), "date_key")
-    store.append("fact_price_event", G.price_event_facts(store.appended_in("price_events", PRICE_EVENT, batch)), batch)
+        new = G.new_dimension_rows(commit.read(name, schemas[name]), rows, keys, key)
+        commit.append(name, new.select(*schemas[name].names))
+    commit.append("dim_date", new_keys_only(commit.read("dim_date", schemas["dim_date"]), calendar, ["d"]))
+
+    dims = {name: commit.read(name, schemas[name]) for name in [*sources, "dim_date"]}
+    keys = G.listing_keys(listings, dims["dim_location"], dims["dim_vehicle"], dims["dim_seller"])
+    held = snapshots(commit, days)
+    day_keys = None if days is None else [d.year * 10000 + d.month * 100 + d.day for d in days]
+    stored = commit.read("fact_listing_daily", FACT_LISTING_DAILY, day_keys)
+    facts = G.resolve_star(held, keys, dims["dim_date"])
+    commit.replace("fact_listing_daily", G.upsert_facts(stored, facts), F.col("date_key"), day_keys or [])
 
 
 def observation_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def _run(stream: DataFrame, checkpoint: str, handle, mode: str = "append") -> None:
-    """Process all available input, then stop."""
-    query = (
-        stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-        .foreachBatch(handle).trigger(availableNow=True).start()
-    )
+def _run(stream: DataFrame, store: LakeStore, checkpoint: str, handle: Callable[[Commit, DataFrame], None]) -> None:
+    """Process all available input, then stop. A batch that the log has already is skipped."""
+    def commit_batch(rows: DataFrame, batch: int) -> None:
+        commit = store.begin(checkpoint, batch)
+        if commit is not None:
+            handle(commit, rows)
+            commit.close()
+
+    query = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(commit_batch).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
 def run_incremental(stream: DataFrame, store: LakeStore, checkpoint: str, calendar: DataFrame) -> None:
     """Bronze observations to silver and gold, batch by batch."""
-    def handle(rows: DataFrame, batch: int) -> None:
-        merge_silver(store, rows, batch)
-        days = rows.select(F.to_date("fetched_at").alias("snapshot_date")).distinct()
-        merge_gold(store, calendar, batch, days)
-
-    _run(stream, checkpoint, handle)
+    _run(stream, store, checkpoint, lambda commit, rows: merge_gold(commit, calendar, merge_silver(commit, rows)))
 
 
 def run_current_state(stream: DataFrame, store: LakeStore, checkpoint: str) -> None:
     """Only the current-state table."""
-    def handle(rows: DataFrame, batch: int) -> None:
-        before = store.version("current", LISTING_CURRENT, batch - 1)
-        store.write_version("current", S.merge_current(before, S.split_valid(rows)[0]), batch)
+    def handle(commit: Commit, rows: DataFrame) -> None:
+        summary = staged(S.listing_summary(S.split_valid(rows)[0]), "listings")
+        merge_buckets(commit, "current", S.CURRENT_STATE, summary, S.upsert_current_state)
 
-    _run(stream, checkpoint, handle)
+    _run(stream, store, checkpoint, handle)
 
 
-_LAST_PRICE = T.StructType([f for f in LISTING_CURRENT.fields if f.name in ("listing_id", "price_kzt", "last_seen_at")])
+def run_price_detector(stream: DataFrame, store: LakeStore, checkpoint: str) -> None:
+    """Price events with the last known price point per listing as the state."""
+    def handle(commit: Commit, rows: DataFrame) -> None:
+        arrived = staged(S.price_points(S.split_valid(rows)[0]), "arrived")
+        newest = arrived.groupBy("listing_id").agg(F.max(F.struct("fetched_at", "price_kzt")).alias("p"))
+        newest = staged(newest.select("listing_id", "p.fetched_at", "p.price_kzt"), "newest")
 
+        def later(state: DataFrame, batch: DataFrame) -> DataFrame:
+            both = state.unionByName(batch).groupBy("listing_id").agg(F.max(F.struct("fetched_at", "price_kzt")).alias("p"))
+            return both.select("listing_id", "p.fetched_at", "p.price_kzt")
 
-def run_price_detector(stream: DataFrame, store: LakeStore, checkpoint: str) -> None:
-    """Price events with the last known price per listing as the state."""
-    def handle(rows: DataFrame, batch: int) -> None:
-        good = S.split_valid(rows)[0].where(S.is_ok())
-        before = store.version("last_price", _LAST_PRICE, batch - 1)
-        store.append("price_events", S.batch_price_events(before, good), batch)
-        seen = S.to_table_types(good).select("listing_id", "price_kzt", F.col("fetched_at").alias("last_seen_at"))
-        latest = last_per_key(before.unionByName(seen), ["listing_id"], ["last_seen_at"])
-        store.write_version("last_price", latest, batch)
+        met, _ = merge_buckets(commit, "last_price", S.PRICE_POINT, newest, later)
+        merge_price_points(commit, arrived, met)
 
-    _run(stream, checkpoint, handle)
+    _run(stream, store, checkpoint, handle)
 
 
 _OBSERVATION = ["listing_id", "fetched_at"]
@@ -201,28 +242,30 @@ def run_ingest(stream: DataFrame, store: LakeStore, checkpoint: str) -> DataFram
 
     A batch is compared with the stored rows of the days it touches; no state is kept in memory.
     """
-    day = T.StructField("fetch_date", T.DateType())
-    schema = T.StructType([*stream.schema.fields, day])
+    day = F.to_date("fetched_at")
 
-    def handle(rows: DataFrame, batch: int) -> None:
-        new = rows.dropDuplicates(_OBSERVATION).withColumn("fetch_date", F.to_date("fetched_at"))
-        held = within_partitions(store.appended("bronze", schema, before=batch), new, "fetch_date")
-        fresh = new_keys_only(held.select(*_OBSERVATION), new, _OBSERVATION)
-        store.append("bronze", fresh, batch, "fetch_date")
+    def handle(commit: Commit, rows: DataFrame) -> None:
+        new = staged(rows.dropDuplicates(_OBSERVATION), "arrived")
+        held = commit.read("bronze", stream.schema, _distinct(new, day))
+        commit.append("bronze", new_keys_only(held.select(*_OBSERVATION), new, _OBSERVATION), day)
 
-    _run(stream, checkpoint, handle)
-    return store.appended("bronze", schema).drop("fetch_date")
+    _run(stream, store, checkpoint, handle)
+    return store.read("bronze", stream.schema)
 
 
 def run_hourly_counters(stream: DataFrame, store: LakeStore, checkpoint: str) -> DataFrame:
     """Run counters per hour of event time, kept up to date as batches arrive.
 
-    Counts add up: each batch appends its own counts, late outcomes included, and reading sums them.
+    Counts add up: each batch appends its own counts, late outcomes included, and
+    reading sums them. Of a day with many parts the sums become one part, in the
+    same commit, so nothing is lost or counted twice whatever fails.
     """
     def counters(rows: DataFrame) -> DataFrame:
         return run_counters(rows.withColumn("hour", F.date_trunc("hour", "at")), "hour")
 
+    def summed(parts: DataFrame) -> DataFrame:
+        return parts.groupBy("hour").agg(*[F.sum(c).cast(parts.schema[c].dataType).alias(c) for c in parts.columns if c != "hour"])
+
     schema = counters(stream.sparkSession.createDataFrame([], stream.schema)).schema
-    _run(stream, checkpoint, lambda rows, batch: store.append("hourly_counters", counters(rows), batch))
-    parts = store.appended("hourly_counters", schema)
-    return parts.groupBy("hour").agg(*[F.sum(c).alias(c) for c in parts.columns if c != "hour"])
+    _run(stream, store, checkpoint, lambda commit, rows: commit.append("hourly_counters", counters(rows), F.to_date("hour"), summed))
+    return summed(store.read("hourly_counters", schema))

@@ -13,7 +13,6 @@ from motorlake.sinks import files as W
 from motorlake.sinks.publish import get_sink, publish, register_sink
 from motorlake.sources import pages as P
 from motorlake.sources import tables as T
-from motorlake.streaming import incremental as R
 
 
 def plan(df) -> str:
@@ -101,31 +100,6 @@ def test_page_objects_from_dated_keys(spark, tmp_path):
     assert (r.listing_id, r.html, r.fetched_at.replace(tzinfo=None).minute) == (42, "<h1>x</h1>\n", 4)
 
 
-def test_repeated_stream_batch_changes_nothing(spark, lake):
-    t, _, _ = lake
-    store = R.LakeStore(spark, scratch_path(spark, "store"))
-    whole = B.records(t)
-    first, second = whole.where(B.before_split()), whole.where(~B.before_split())
-    days = B.calendar(t)
-
-    def step(rows_, n):
-        R.merge_silver(store, rows_, n)
-        R.merge_gold(store, days, n)
-
-    def state():
-        return (
-            rows(store.partitioned("fact_listing_daily", LAKE["gold"]["fact_listing_daily"])),
-            rows(store.appended("fact_price_event", LAKE["gold"]["fact_price_event"])),
-            rows(store.appended("dim_vehicle", LAKE["gold"]["dim_vehicle"])),
-        )
-
-    step(first, 0)
-    step(second, 1)
-    once = state()
-    step(second, 1)
-    assert state() == once and all(once)
-
-
 def test_new_surrogate_keys_leave_old_ones(lake):
     t, _, _ = lake
     old = B.dimensions(t, B.silver_at_split(t).current).dim_seller
