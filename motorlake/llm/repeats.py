@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
 from motorlake.llm.common import mix64, small_side, sorted_runs, staged
-from motorlake.llm.shingles import _P, _P_INVERSE, texts
+from motorlake.llm.shingles import texts
 
 REACH = 128
 GRAM = 16
@@ -31,6 +31,8 @@ SEGMENT = 1 << 19
 #: Numbers per text that may be broadcast in all; beyond, an ordinary join.
 BROADCAST_NUMBERS = 2_000_000
 
+_P = np.uint64(0x9E3779B97F4A7C15 | 1)
+_P_INVERSE = np.uint64(pow(int(_P), -1, 1 << 64))
 _BYTES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x8CB92BA72F3D8DD7))
 _LOW = np.uint64((1 << 24) - 1)
 _tables: list[np.ndarray] = []
