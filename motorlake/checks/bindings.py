@@ -214,12 +214,12 @@ def gold(t: Tables) -> GoldLake:
 
 
 def wide_snapshots(t: Tables) -> DataFrame:
-    """Snapshots from ``lineitem``: much larger, not unique per day, some outside the calendar."""
+    """Snapshots from ``lineitem``: much larger, not unique per day, on days far outside the calendar around today."""
     return t.lineitem.select(
-        F.col("l_partkey").alias("listing_id"), F.date_add(F.lit(dt.date(2022, 12, 1)), F.datediff("l_shipdate", F.lit(dt.date(1992, 1, 1))) % 900).alias("snapshot_date"),
+        F.col("l_partkey").alias("listing_id"), F.to_date("l_shipdate").alias("snapshot_date"),
         F.col("l_extendedprice").cast("decimal(14,2)").alias("price_kzt"),
         (F.col("l_linestatus") == "O").alias("is_active"),
-        F.lit(None).cast("bigint").alias("views"), F.col("l_linenumber").alias("photo_count"),
+        F.col("l_quantity").cast("bigint").alias("views"), F.col("l_linenumber").alias("photo_count"),
     )
 
 
@@ -305,6 +305,9 @@ def view_payloads(t: Tables) -> DataFrame:
         F.lit('{"status": "empty"}'),
         F.lit("<html>busy</html>"),
         F.concat(F.lit('{"data": {"'), user, F.lit('": '), whole, F.lit('}} {"data": 1}')),
+        F.concat(F.lit('{"data": {"'), user, F.lit('": '), whole, F.lit("}}] x")),
+        F.concat(F.lit('{"data": {"'), user, F.lit('": '), whole, F.lit("}}]")),
+        F.concat(F.lit('{"data": {"'), user, F.lit('": '), whole, F.lit("}}][")),
     ]
     n = F.pmod(F.col("event_id"), F.lit(len(shapes)))
     body = F.when(n == 0, shapes[0])
@@ -320,7 +323,8 @@ def outcomes(t: Tables) -> DataFrame:
     """Events as fetch outcomes, one run per day."""
     kind = F.col("kind")
     outcome = (
-        F.when(kind == "error", "failed").when(kind == "signup", "blocked").when(kind == "view", "duplicate").otherwise("parsed")
+        F.when(kind == "error", "failed").when(kind == "signup", "blocked")
+        .when((kind == "view") & (F.col("event_id") % 3 == 0), "discovered").when(kind == "view", "duplicate").otherwise("parsed")
     )
     return observations(t).select(
         F.to_date("fetched_at").alias("run"), "listing_id", F.col("fetched_at").alias("at"), outcome.alias("outcome"),

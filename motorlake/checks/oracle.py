@@ -158,14 +158,14 @@ for _name, _key, _cols, _where in [
       WHERE NOT EXISTS (SELECT 1 FROM {_name}_a o WHERE {_same})""")
 
 
-def star(snap: str, cur: str, suffix: str) -> str:
+def star(snap: str, cur: str, suffix: str, cal: str = "cal") -> str:
     vehicle = " AND ".join(f"dv.{c} IS NOT DISTINCT FROM s.{c}" for c in VEHICLE[2:])
     seller = " AND ".join(f"ds.{c} IS NOT DISTINCT FROM s.{c}" for c in SELLER)
     return f"""
       SELECT dd.date_key, s.listing_id, dl.location_key, dv.vehicle_key, ds.seller_key, n.price_kzt, n.is_active,
              CAST(dd.d - CAST(s.first_seen_at AS DATE) AS INTEGER) AS days_on_site, n.views, n.photo_count
       FROM {snap} n JOIN {cur} s ON s.listing_id = n.listing_id
-      JOIN cal dd ON dd.d = n.snapshot_date
+      JOIN {cal} dd ON dd.d = n.snapshot_date
       JOIN loc{suffix} dl ON dl.city = s.city AND dl.region IS NOT DISTINCT FROM s.region
       JOIN veh{suffix} dv ON dv.make = s.make AND dv.model = s.model AND {vehicle}
       JOIN sel{suffix} ds ON {seller}"""
@@ -197,11 +197,12 @@ view("fetched", "", """
 # What each payload shape means; the JSON itself is not parsed here.
 view("vcounts", "", """
   SELECT event_id, user_id AS listing_id, CAST(event_id + CASE WHEN event_id % 7 = 0 THEN 3000000000 ELSE 0 END AS BIGINT) AS views
-  FROM events WHERE event_id % 12 IN (0, 1, 2, 3, 4, 5)""")
+  FROM events WHERE event_id % 15 IN (0, 1, 2, 3, 4, 5)""")
 
 view("outs", "obs", """
   SELECT CAST(fetched_at AS DATE) AS run, listing_id, fetched_at AS "at",
-         CASE kind WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'blocked' WHEN 'view' THEN 'duplicate' ELSE 'parsed' END AS outcome,
+         CASE kind WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'blocked'
+                   WHEN 'view' THEN CASE WHEN event_id % 3 = 0 THEN 'discovered' ELSE 'duplicate' END ELSE 'parsed' END AS outcome,
          CASE WHEN kind IN ('click', 'purchase') THEN 200 WHEN kind = 'error' THEN 404 END AS http_status,
          CASE WHEN kind = 'error' THEN 'HTTP 404 for event ' || event_id END AS error
   FROM obs""")
@@ -224,7 +225,11 @@ view("runs", "obs", """
   FROM (SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY fetched_at DESC) AS rn FROM obs) q WHERE rn = 1""")
 
 view("wide", "", """
-  SELECT l_partkey AS listing_id, DATE '2022-12-01' + CAST((CAST(l_shipdate AS DATE) - DATE '1992-01-01') % 900 AS INTEGER) AS snapshot_date,
+  SELECT l_partkey AS listing_id, CAST(l_shipdate AS DATE) AS snapshot_date,
          CAST(l_extendedprice AS DECIMAL(14,2)) AS price_kzt, l_linestatus = 'O' AS is_active,
-         CAST(NULL AS BIGINT) AS views, l_linenumber AS photo_count
+         CAST(l_quantity AS BIGINT) AS views, l_linenumber AS photo_count
   FROM lineitem""")
+
+# The calendar, grown by the days of those snapshots.
+view("calw", "cal wide", """
+  SELECT date_key, d FROM cal UNION SELECT CAST(strftime(snapshot_date, '%Y%m%d') AS INTEGER), snapshot_date FROM wide""")

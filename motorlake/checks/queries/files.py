@@ -34,10 +34,31 @@ def bronze_page_metadata(t):
 @query("K1", "SELECT listing_id, fetched_at, sha256(html) AS sha256, http_status, CAST(fetched_at AS DATE)::VARCHAR AS fetch_date FROM fetched", "fetched")
 def bronze_append(t):
     path = scratch_path(t.spark, "bronze")
-    P.append_pages(B.fetched_pages(t), path)
+    pages = B.fetched_pages(t)
+    P.append_pages(pages.where("listing_id % 2 = 0"), path)
+    P.append_pages(pages, path)  # half of them are there already
     return P.read_pages(t.spark, path).select("listing_id", "fetched_at", "sha256", "http_status", "fetch_date")
 
 
+@query("K1 Q4", """
+  SELECT listing_id, fetched_at, sha256(html) AS sha256, 'stored' AS reason FROM fetched WHERE listing_id % 2 = 0
+  UNION ALL SELECT listing_id, fetched_at, sha256(html), 'repeated' FROM fetched WHERE listing_id % 6 = 3""", "fetched")
+def bronze_duplicates(t):
+    """Pages of a second append that the table has already, or that come twice in it."""
+    path = scratch_path(t.spark, "bronze")
+    pages = B.fetched_pages(t)
+    P.append_pages(pages.where("listing_id % 2 = 0"), path)
+    return P.append_pages(pages.unionByName(pages.where("listing_id % 6 = 3")), path)
+
+
+@query("P13 K1", "SELECT listing_id, fetched_at, sha256(html) AS sha256 FROM fetched WHERE listing_id = (SELECT max(page_id) // 2 FROM pages)", "fetched")
+def stored_page_lookup(t):
+    path = scratch_path(t.spark, "bronze")
+    P.append_pages(B.fetched_pages(t), path)
+    wanted = t.pages.agg(F.max("page_id")).first()[0] // 2
+    return P.stored_page(t.spark, path, wanted).select("listing_id", "fetched_at", "sha256")
+
+
 @query("S2 K3", "SELECT date_key, listing_id, location_key, CAST(price_kzt AS DOUBLE) AS price_kzt FROM facts WHERE date_key = 20240115", "facts")
 def fact_scan_by_date_key(t):
     path = scratch_path(t.spark, "facts")

@@ -11,7 +11,8 @@ from motorlake.functions import dates as D
 from motorlake.functions import values as V
 from motorlake.functions.html import is_photo_url
 from motorlake.functions.text import absolute_url, export_object_key, page_object_key
-from motorlake.sources.views_payload import payload_shape, read_entries, view_counts
+from motorlake.sources import views_payload
+from motorlake.sources.views_payload import read_entries, view_counts
 
 
 @query("D1", "SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_key FROM orders")
@@ -89,7 +90,7 @@ def object_keys(t):
 
 
 @query("S4 T6", """
-  SELECT event_id, CASE WHEN event_id % 12 = 6 THEN 'x' ELSE '' END || user_id AS id_text FROM events WHERE event_id % 12 < 8""")
+  SELECT event_id, CASE WHEN event_id % 15 = 6 THEN 'x' ELSE '' END || user_id AS id_text FROM events WHERE event_id % 15 < 8""")
 def payload_entries(t):
     return read_entries(B.view_payloads(t), carry=["event_id"]).select("event_id", "id_text")
 
@@ -100,10 +101,10 @@ def payload_view_counts(t):
 
 
 @query("T7", """
-  SELECT CASE WHEN event_id % 12 < 8 THEN 'ok' WHEN event_id % 12 = 8 THEN 'not_an_object' WHEN event_id % 12 = 9 THEN 'empty' ELSE 'unreadable' END AS shape,
+  SELECT CASE WHEN event_id % 15 < 8 THEN 'ok' WHEN event_id % 15 = 8 THEN 'not_an_object' WHEN event_id % 15 = 9 THEN 'empty' ELSE 'unreadable' END AS shape,
          count(*) AS n FROM events GROUP BY 1""")
 def payload_shapes(t):
-    return B.view_payloads(t).groupBy(payload_shape(F.col("body")).alias("shape")).agg(F.count(F.lit(1)).alias("n"))
+    return views_payload.payload_shapes(B.view_payloads(t)).groupBy("shape").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("T1", """

@@ -8,11 +8,13 @@ from motorlake.checks import bindings as B
 from motorlake.checks.oracle import AS_OF, LOCATION, SELLER, VEHICLE, star
 from motorlake.checks.registry import query
 from motorlake.functions.dates import date_key
-from motorlake.operators.joins import keys_match
+from motorlake.operators.joins import keys_match, lookup_key
 from motorlake.operators.latest import first_in_order
 from motorlake.plans import gold as G
+from motorlake.plans.silver import Silver
 from motorlake.plans.verify import top_makes
 from motorlake.sources.calendar import calendar_around
+from motorlake.session import staged
 from motorlake.sources.tables import row_counts
 
 _FACT = "date_key, listing_id, location_key, vehicle_key, seller_key, CAST(price_kzt AS DOUBLE) AS price_kzt, is_active, days_on_site, views, photo_count"
@@ -105,14 +107,14 @@ def snapshots_with_calendar(t):
 def location_key_lookup(t):
     current = _current(t)
     dim = B.dimensions(t, current).dim_location
-    return current.alias("s").join(dim.alias("d"), keys_match("s", "d", ["city"], ["region"])).select("listing_id", "location_key")
+    return lookup_key(current.where("city IS NOT NULL"), dim, LOCATION, "location_key").select("listing_id", "location_key")
 
 
 @query("J4 P9", "SELECT s.listing_id, v.vehicle_key FROM cur s JOIN veh v ON " + " AND ".join(f"v.{c} IS NOT DISTINCT FROM s.{c}" for c in VEHICLE), "cur veh")
 def vehicle_key_lookup(t):
     current = _current(t)
     dim = B.dimensions(t, current).dim_vehicle
-    return current.alias("s").join(dim.alias("d"), keys_match("s", "d", VEHICLE[:2], VEHICLE[2:])).select("listing_id", "vehicle_key")
+    return lookup_key(current, dim, VEHICLE, "vehicle_key").select("listing_id", "vehicle_key")
 
 
 @query("J5 P9", "SELECT s.listing_id, v.seller_key FROM cur s JOIN sel v ON " + " AND ".join(f"v.{c} IS NOT DISTINCT FROM s.{c}" for c in SELLER), "cur sel")
@@ -140,15 +142,26 @@ def first_snapshot_per_day(t):
 
 
 @query("J11 W1", f"""
-  SELECT DISTINCT ON (date_key, listing_id) {_FACT} FROM ({star("wide", "cur", "")}) q
+  SELECT DISTINCT ON (date_key, listing_id) {_FACT} FROM ({star("wide", "cur", "", "calw")}) q
   ORDER BY date_key, listing_id, q.price_kzt DESC NULLS LAST, photo_count DESC NULLS LAST, is_active DESC""",
-  "wide cur cal loc veh sel")
+  "calw cur loc veh sel")
 def star_resolve_unkeyed_snapshots(t):
-    """Snapshots with several rows a day, some of them outside the calendar."""
-    current = _current(t)
+    """Snapshots with several rows a day, on days far outside the calendar, which grows by them."""
+    current, wide = _current(t), B.wide_snapshots(t)
     dims = B.dimensions(t, current)
+    days = G.grow_calendar(dims.dim_date, G.snapshot_days(wide))
     keys = G.listing_keys(current, dims.dim_location, dims.dim_vehicle, dims.dim_seller)
-    return G.resolve_star(B.wide_snapshots(t), keys, dims.dim_date, distinct_on=True)
+    return G.resolve_star(wide, keys, days, distinct_on=True)
+
+
+@query("J11", """
+  SELECT CASE WHEN s.listing_id IS NULL THEN 'unknown listing' WHEN s.city IS NULL THEN 'no city'
+              WHEN s.make IS NULL OR s.model IS NULL THEN 'no make or model' ELSE 'day outside the calendar' END AS reason, count(*) AS n
+  FROM wide w LEFT JOIN cur s ON s.listing_id = w.listing_id
+  WHERE s.listing_id IS NULL OR s.city IS NULL OR s.make IS NULL OR s.model IS NULL OR w.snapshot_date NOT IN (SELECT d FROM cal) GROUP BY 1""", "wide cur cal")
+def wide_snapshots_without_facts(t):
+    """What the star joins leave out under the plain calendar, by reason."""
+    return G.dropped_snapshots(B.wide_snapshots(t), _current(t), B.calendar(t))
 
 
 @query("M13", f"SELECT {_FACT} FROM facts_b", "facts_b")
@@ -169,8 +182,10 @@ def price_fact_insert(t):
 def gold_full_refresh(t):
     """A second full build on its own result changes nothing."""
     sv, days = B.silver(t), B.calendar(t)
-    once = B.build(G.empty_gold(t.spark), sv, days)
-    return B.build(once, sv, days).fact_listing_daily
+    silver = Silver(sv.current, staged(sv.snapshots, "snapshots"), staged(sv.price_events, "events"))
+    once = G.build_gold(G.empty_gold(t.spark), silver, days)
+    stored = G.Gold(**{name: staged(df, name) for name, df in once.tables().items()})
+    return G.build_gold(stored, silver, days).fact_listing_daily
 
 
 @query("P10", "SELECT date_key, listing_id, vehicle_key, location_key, seller_key, CAST(price_kzt AS DOUBLE) AS price_kzt, days_on_site, views, photo_count, CAST(NULL AS INTEGER) AS y_sold_30d_proxy FROM facts", "facts")

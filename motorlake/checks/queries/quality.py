@@ -12,6 +12,7 @@ from motorlake.operators.joins import orphans
 from motorlake.plans import gold as G
 from motorlake.plans import silver as S
 from motorlake.plans import verify as V
+from motorlake.sources.pages import page_metadata
 
 # -- damaged copies, twice -------------------------------------------------------
 
@@ -114,10 +115,14 @@ def quality_unique(t):
 @query("Q4 K1", " UNION ALL ".join([
     _unique_row("fact_listing_daily", ["date_key", "listing_id"]), _unique_row("fact_price_event", ["listing_id", "event_ts"]),
     _unique_row("listing_snapshot_daily", ["listing_id", "snapshot_date"]),
+    _row("unique_listing_id_fetched_at", "raw_listing_html", "(SELECT 1 FROM pages WHERE page_id % 10 = 4) g"),
 ]), _ALL)
 def quality_primary_keys(t):
-    tables = _damaged(t)
-    return V.primary_key_results({n: tables[n] for n in ("fact_listing_daily", "fact_price_event", "listing_snapshot_daily")})
+    """Raw pages too: every tenth of them is there twice."""
+    tables, pages = _damaged(t), B.fetched_pages(t)
+    raw = page_metadata(pages.unionByName(pages.where("listing_id % 10 = 4")), "raw-html")
+    names = ("fact_listing_daily", "fact_price_event", "listing_snapshot_daily")
+    return V.primary_key_results({n: tables[n] for n in names} | {"raw_listing_html": raw})
 
 
 @query("Q5", " UNION ALL ".join([_unique_row("dim_location", LOCATION), _unique_row("dim_vehicle", VEHICLE), _unique_row("dim_seller", SELLER)]), _ALL)

@@ -119,11 +119,15 @@ def stored_state_lookup(t):
 
 
 @query("D8", """
-  SELECT event_id, coalesce(CAST(value AS DECIMAL(14,2)) <> CAST(value * 2 AS DECIMAL(14,2)), FALSE) AS changed,
-         coalesce(CAST(value AS DECIMAL(14,2)) <> CAST(value + 0.001 AS DECIMAL(14,2)), FALSE) AS changed_by_rounding FROM events""")
+  SELECT event_id, coalesce(CAST(value AS DECIMAL(14,2)) <> CAST(CASE WHEN event_id % 2 = 0 THEN value * 2 ELSE value END AS DECIMAL(14,2)), FALSE) AS changed,
+         event_id % 3 = 2 AND value IS NOT NULL AS changed_by_rounding FROM events""")
 def price_comparison(t):
-    v = F.col("value")
-    return t.events.select("event_id", price_changed(v, v * 2).alias("changed"), price_changed(v, v + 0.001).alias("changed_by_rounding"))
+    """Prices that double every other time; cents that rounding changes every third time."""
+    v, cents = F.col("value"), F.floor(F.col("value") * 100)
+    moved = (cents * 10 + 1 + F.col("event_id") % 3 * 3) / 1000  # .1, .4 or .7 of a cent more
+    return t.events.select(
+        "event_id", price_changed(v, F.when(F.col("event_id") % 2 == 0, v * 2).otherwise(v)).alias("changed"),
+        price_changed(cents / 100, moved).alias("changed_by_rounding"))
 
 
 @query("A10", "SELECT listing_id, min(fetched_at) AS first_seen_at, max(fetched_at) AS last_seen_at FROM records WHERE http_status < 400 GROUP BY 1", "records")

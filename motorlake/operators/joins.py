@@ -18,6 +18,25 @@ def keys_match(left: str, right: str, plain: list[str], null_safe: list[str] = (
     return F.expr(" AND ".join(parts))
 
 
+def key_digest64(columns: list[str]) -> Column:
+    """64 bits of the columns together; a null differs from any value, and its place counts."""
+    return F.xxhash64(*[x for c in columns for x in (F.col(c), F.col(c).isNull())])
+
+
+def lookup_key(rows: DataFrame, dimension: DataFrame, columns: list[str], key: str) -> DataFrame:
+    """``rows`` with the ``key`` of the dimension row that has equal ``columns``, nulls being equal values.
+
+    The join is on one digest of the columns, however many there are. The columns
+    themselves are compared where digests meet, as a sum over all of them that no
+    rule takes for a join key, so a digest shared by chance joins nothing.
+    """
+    left = rows.withColumn("_digest", key_digest64(columns)).alias("s")
+    right = dimension.select(key, *columns, key_digest64(columns).alias("_digest")).alias("d")
+    equal = sum((F.col(f"s.{c}").eqNullSafe(F.col(f"d.{c}")).cast("int") for c in columns[1:]), F.col(f"s.{columns[0]}").eqNullSafe(F.col(f"d.{columns[0]}")).cast("int"))
+    met = left.join(right, (F.col("s._digest") == F.col("d._digest")) & (equal == len(columns)))
+    return met.select(*[F.col(f"s.{c}").alias(c) for c in rows.columns], F.col(f"d.{key}").alias(key))
+
+
 def not_in(rows: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key is not present yet (nulls count as equal values)."""
     known = existing.select(*keys).alias("known")

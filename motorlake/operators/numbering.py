@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from motorlake.session import staged
+
 # Three hex digits: 4,096 buckets of equal size, whatever the keys look like.
 _BUCKET_DIGITS = 3
 
@@ -21,11 +23,12 @@ def dense_index(df: DataFrame, keys: list[str], out: str, base: DataFrame | None
     Rows are ranked inside a digest bucket, in parallel, and shifted by the row
     count of the buckets before it. Everything is a function of the row's own
     key and the bucket counts, so a recomputed task assigns the same numbers.
-    ``base`` is a one-row frame with the highest number in use.
+    ``base`` is a one-row frame with the highest number in use. The rows are
+    computed once and written, since the counts and the ranks both need them.
     """
-    tagged = df.withColumn("_digest", key_digest(keys)).withColumn(
+    tagged = staged(df.withColumn("_digest", key_digest(keys)).withColumn(
         "_bucket", F.substring("_digest", 1, _BUCKET_DIGITS)
-    )
+    ), "numbering")
     counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     if base is not None:
         # The empty name sorts before every bucket, so it shifts all of them.

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from motorlake.functions import html as H
 from motorlake.functions.text import listing_url
 from motorlake.functions.values import digits_id
+from motorlake.session import staged
 
 
 def ids_per_page(pages: DataFrame, ids: Column | None = None) -> DataFrame:
@@ -21,7 +22,11 @@ def ids_per_page(pages: DataFrame, ids: Column | None = None) -> DataFrame:
 
 
 def before_first_empty(pages: DataFrame) -> DataFrame:
-    """Pages before the first empty or blocked one: discovery stops there."""
+    """Pages before the first empty or blocked one: discovery stops there.
+
+    The page summaries are written once; the stop and the rows are read from them.
+    """
+    pages = staged(pages, "page-summaries")
     ends = (F.col("n_ids") == 0) | F.col("blocked")
     stop = pages.where(ends).agg(F.min("page_no").alias("stop"))
     end = F.coalesce(stop.scalar(), F.lit(2**63 - 1))

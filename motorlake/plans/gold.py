@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorlake.functions.dates import date_key, days_on_site
-from motorlake.operators.joins import broadcast_calendar, keys_match, not_in
+from motorlake.functions.dates import calendar_parts, date_key, days_on_site
+from motorlake.operators.joins import broadcast_calendar, lookup_key, not_in
 from motorlake.operators.latest import first_in_order
 from motorlake.operators.merge import insert_if_absent, upsert
 from motorlake.operators.numbering import assign_surrogate_keys
@@ -63,27 +63,49 @@ def grow_calendar(dim_date: DataFrame, days: DataFrame) -> DataFrame:
     return insert_if_absent(dim_date, days, ["d"])
 
 
+def snapshot_days(snapshots: DataFrame) -> DataFrame:
+    """Calendar rows of the days that snapshots fall on."""
+    days = snapshots.select(F.col("snapshot_date").alias("d")).where(F.col("d").isNotNull()).distinct()
+    return days.select(date_key(F.col("d")).alias("date_key"), "d", *[c.alias(n) for n, c in calendar_parts(F.col("d")).items()])
+
+
+def _resolvable() -> Column:
+    return F.col("city").isNotNull() & F.col("make").isNotNull() & F.col("model").isNotNull()
+
+
 def listing_keys(current: DataFrame, location: DataFrame, vehicle: DataFrame, seller: DataFrame) -> DataFrame:
     """Dimension keys per listing.
 
-    The wide null-safe joins run on one row per listing, not on one row per
-    listing and day. A listing without city, make or model has no keys.
+    The lookups run on one row per listing, not on one row per listing and day,
+    each on a digest of the business key. A listing without city, make or model
+    has no keys.
     """
     attributes = dict.fromkeys(LOCATION_COLUMNS + VEHICLE_COLUMNS + SELLER_COLUMNS)
-    return (
-        current.select("listing_id", "first_seen_at", *attributes).alias("s")
-        .join(location.alias("l"), keys_match("s", "l", ["city"], ["region"]))
-        .join(vehicle.alias("v"), keys_match("s", "v", VEHICLE_COLUMNS[:2], VEHICLE_COLUMNS[2:]))
-        .join(seller.alias("d"), keys_match("s", "d", [], SELLER_COLUMNS))
-        .select("s.listing_id", "s.first_seen_at", "l.location_key", "v.vehicle_key", "d.seller_key")
+    rows = current.where(_resolvable()).select("listing_id", "first_seen_at", *attributes)
+    rows = lookup_key(rows, location, LOCATION_COLUMNS, "location_key")
+    rows = lookup_key(rows, vehicle, VEHICLE_COLUMNS, "vehicle_key")
+    rows = lookup_key(rows, seller, SELLER_COLUMNS, "seller_key")
+    return rows.select("listing_id", "first_seen_at", "location_key", "vehicle_key", "seller_key")
+
+
+def dropped_snapshots(snapshots: DataFrame, current: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """(reason, n) of the snapshots that ``resolve_star`` leaves out."""
+    days = broadcast_calendar(dim_date.select(F.col("d").alias("snapshot_date"), F.lit(True).alias("_day")))
+    listed = current.select("listing_id", F.lit(True).alias("_listed"), F.col("city").isNull().alias("_no_city"), (~_resolvable()).alias("_no_keys"))
+    reason = (
+        F.when(F.col("_listed").isNull(), "unknown listing").when(F.col("_no_city"), "no city")
+        .when(F.col("_no_keys"), "no make or model").when(F.col("_day").isNull(), "day outside the calendar")
     )
+    joined = snapshots.join(days, "snapshot_date", "left").join(listed, "listing_id", "left").select(reason.alias("reason"))
+    return joined.where(F.col("reason").isNotNull()).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 def resolve_star(snapshots: DataFrame, keys: DataFrame, dim_date: DataFrame, distinct_on: bool = False) -> DataFrame:
     """Fact rows of the snapshots: calendar and dimension keys resolved.
 
-    ``keys`` comes from ``listing_keys``. Snapshot days outside the calendar
-    drop out. The keyed snapshot table cannot hold two rows for a listing and
+    ``keys`` comes from ``listing_keys``. A calendar grown by ``snapshot_days``
+    has every day; days outside of it drop out, as ``dropped_snapshots`` counts.
+    The keyed snapshot table cannot hold two rows for a listing and
     day; ``distinct_on`` keeps one where the input is not keyed, at the price of
     one more shuffle.
     """
@@ -151,5 +173,9 @@ def grow_facts(gold: Gold, silver: Silver) -> Gold:
 
 
 def build_gold(gold: Gold, silver: Silver, days: DataFrame) -> Gold:
-    """Dimensions, then facts. Running it again on the same input changes nothing."""
-    return grow_facts(grow_dimensions(gold, silver.current, days), silver)
+    """Dimensions, then facts. Running it again on the same input changes nothing.
+
+    The calendar holds ``days`` and the days of all snapshots.
+    """
+    grown = grow_calendar(days, snapshot_days(silver.snapshots))
+    return grow_facts(grow_dimensions(gold, silver.current, grown), silver)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 _SQL_SETTINGS = {
@@ -75,6 +76,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to a path."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return False
+    return True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, never reused path under the shared folder."""
     return f"{shared_root(spark)}/motorlake/{name}-{uuid.uuid4().hex[:12]}"

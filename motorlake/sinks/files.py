@@ -39,11 +39,17 @@ def counted_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
 
 
 def write_table(df: DataFrame, path: str, table: str) -> int:
-    """Replace a published table; facts are partitioned by date key."""
+    """Replace a published table; facts are partitioned by date key.
+
+    Rows are brought together by their day before writing: a day is one file, or
+    as many as its size asks for, and not one from every task.
+    """
     def write(rows: DataFrame) -> None:
-        writer = rows.write.mode("overwrite")
         partition = PARTITION_COLUMN.get(table)
-        (writer.partitionBy(partition) if partition else writer).parquet(path)
+        if partition:
+            rows.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(path)
+        else:
+            rows.write.mode("overwrite").parquet(path)
 
     return counted_write(df, write)
 

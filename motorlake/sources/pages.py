@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motorlake.functions.text import capture, page_object_key, sha256_hex
+from motorlake.session import staged, table_exists
+
+#: Listings that the Bloom filter of a file is laid out for (about 1 MB; files hold whole pages, so few reach it).
+BLOOM_LISTINGS = 100_000
 
 
 def page_metadata(pages: DataFrame, bucket: str) -> DataFrame:
@@ -17,24 +21,51 @@ def page_metadata(pages: DataFrame, bucket: str) -> DataFrame:
     )
 
 
-def append_pages(pages: DataFrame, path: str) -> None:
-    """Append pages to the bronze table, one partition per fetch day.
+_PAGE_KEY = ["listing_id", "fetched_at"]
+
+
+def append_pages(pages: DataFrame, path: str) -> DataFrame:
+    """Append pages to the bronze table, one partition per fetch day; returns the refused ones.
 
-    A plain insert: duplicate (listing_id, fetched_at) pairs are reported by the
-    uniqueness check. Rows are spread over tasks as they come, so a day or a
-    listing with very many pages is written by many tasks.
+    A (listing_id, fetched_at) that the table holds already, or that the batch
+    holds before, is not written again: ``listing_id, fetched_at, sha256, reason``
+    ('stored' or 'repeated') of such pages come back. Only the key columns of the
+    days that the batch touches are read for it. Files carry Bloom filters on the
+    listing, so looking a page up opens few of them.
     """
+    spark = pages.sparkSession
+    batch = pages.withColumn("sha256", sha256_hex(F.col("html"))).withColumn("fetch_date", F.to_date("fetched_at"))
+    batch = staged(batch.withColumn("_row", F.monotonically_increasing_id()), "pages")
+    days = [r["fetch_date"] for r in batch.select("fetch_date").distinct().collect()]  # a few hundred a year
+    keys = batch.select(*_PAGE_KEY, "fetch_date", "sha256", "_row")
+    first = keys.groupBy(*_PAGE_KEY).agg(F.min("_row").alias("_first"))
+    marked = keys.join(first, _PAGE_KEY).withColumn("reason", F.when(F.col("_row") != F.col("_first"), "repeated"))
+    if table_exists(spark, path):
+        held = read_pages(spark, path).where(F.col("fetch_date").isin(days)).select(*_PAGE_KEY).distinct().withColumn("_held", F.lit(True))
+        marked = marked.join(held, _PAGE_KEY, "left").withColumn("reason", F.when(F.col("_held"), "stored").otherwise(F.col("reason")))
+    refused = staged(marked.where(F.col("reason").isNotNull()).select(*_PAGE_KEY, "sha256", "reason", "_row"), "refused")
+    fresh = batch.join(refused.select("_row"), "_row", "left_anti").drop("_row")
     (
-        pages.withColumn("sha256", sha256_hex(F.col("html")))
-        .withColumn("fetch_date", F.to_date("fetched_at"))
-        .write.partitionBy("fetch_date").mode("append").parquet(path)
+        fresh.write.partitionBy("fetch_date").mode("append")
+        .option("parquet.bloom.filter.enabled#listing_id", "true")
+        .option("parquet.bloom.filter.expected.ndv#listing_id", BLOOM_LISTINGS).parquet(path)
     )
+    return refused.drop("_row")
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def stored_page(spark: SparkSession, path: str, listing_id: int, fetched_at=None) -> DataFrame:
+    """The stored pages of a listing, or the one of a fetch time: its day's partition only."""
+    found = read_pages(spark, path).where(F.col("listing_id") == listing_id)
+    if fetched_at is None:
+        return found
+    at = F.lit(fetched_at).cast("timestamp")
+    return found.where((F.col("fetch_date") == F.to_date(at)) & (F.col("fetched_at") == at))
+
+
 def write_page_objects(pages: DataFrame, path: str) -> None:
     """One gzipped text file per page, keyed ``YYYY/MM/DD/{id}_{HHMMSS}``.
 

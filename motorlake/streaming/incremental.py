@@ -176,11 +176,12 @@ def merge_gold(commit: Commit, calendar: DataFrame, days: list | None = None) ->
     for name, (rows, keys, key) in sources.items():
         new = G.new_dimension_rows(commit.read(name, schemas[name]), rows, keys, key)
         commit.append(name, new.select(*schemas[name].names))
-    commit.append("dim_date", new_keys_only(commit.read("dim_date", schemas["dim_date"]), calendar, ["d"]))
+    held = snapshots(commit, days)
+    grown = G.grow_calendar(calendar, G.snapshot_days(held))
+    commit.append("dim_date", new_keys_only(commit.read("dim_date", schemas["dim_date"]), grown, ["d"]))
 
     dims = {name: commit.read(name, schemas[name]) for name in [*sources, "dim_date"]}
     keys = G.listing_keys(listings, dims["dim_location"], dims["dim_vehicle"], dims["dim_seller"])
-    held = snapshots(commit, days)
     day_keys = None if days is None else [d.year * 10000 + d.month * 100 + d.day for d in days]
     stored = commit.read("fact_listing_daily", FACT_LISTING_DAILY, day_keys)
     facts = G.resolve_star(held, keys, dims["dim_date"])

@@ -146,3 +146,48 @@ def test_failed_table_fails_the_run_at_its_end():
     raise_failed([("dim_date", 3, "loaded", None)])
     with pytest.raises(RuntimeError, match="dim_seller: boom"):
         raise_failed([("dim_date", 3, "loaded", None), ("dim_seller", None, "failed", "boom")])
+
+
+def test_repeated_pages_are_refused(spark):
+    path, at = scratch_path(spark, "bronze"), dt.datetime(2024, 1, 5, 8)
+    page = lambda i, hours, html: (i, at + dt.timedelta(hours=hours), html, 200)
+    make = lambda *pages: spark.createDataFrame(list(pages), "listing_id long, fetched_at timestamp, html string, http_status int")
+    assert P.append_pages(make(page(1, 0, "a"), page(2, 0, "b"), page(2, 0, "b2")), path).select("listing_id", "reason").collect() == [(2, "repeated")]
+    again = P.append_pages(make(page(1, 0, "new text"), page(1, 20, "c"), page(3, 0, "d"), page(3, 0, "d")), path)
+    assert rows(again.select("listing_id", "reason")) == [(1, "stored"), (3, "repeated")]
+    assert rows(P.read_pages(spark, path).select("listing_id", "html").where("listing_id <> 2")) == [(1, "a"), (1, "c"), (3, "d")]
+    assert rows(P.stored_page(spark, path, 1, at).select("html")) == [("a",)] and P.stored_page(spark, path, 1).count() == 2
+    text = plan(P.stored_page(spark, path, 1, at))
+    assert "PartitionFilters: [isnotnull(fetch_date" in text and "EqualTo(listing_id,1)" in text
+
+
+def test_days_get_few_files(spark, lake):
+    import glob
+    path = scratch_path(spark, "facts")
+    facts = lake[2].fact_listing_daily.repartition(8)
+    W.write_table(facts, path, "fact_listing_daily")
+    days = glob.glob(f"{path.removeprefix('file:')}/date_key=*")
+    assert len(days) > 20 and all(len(glob.glob(f"{d}/*.parquet")) == 1 for d in days)
+
+
+def test_star_lookup_joins_on_one_key_and_checks_the_columns(spark):
+    from motorlake.operators import joins
+    columns = ["a", "b", "c"]
+    schema = "a string, b string, c int"
+    values = [("x", None, 1), (None, "x", 1), ("x", "y", None), (None, None, None), ("", "x", 1)]
+    dim = spark.createDataFrame([(*v, i) for i, v in enumerate(values)], schema + ", k int")
+    sent = spark.createDataFrame([(*v, f"r{i}") for i, v in enumerate([*values, ("x", "y", 1)])], schema + ", name string")
+    found = joins.lookup_key(sent, dim, columns, "k")
+    assert rows(found.select("name", "k")) == [(f"r{i}", i) for i in range(5)]
+    assert plan(found).split("Join")[1].count("=") < 10 and "Cartesian" not in plan(found)
+
+
+def test_calendar_grows_to_the_snapshots(spark, lake):
+    t, silver, gold = lake
+    early = silver.snapshots.limit(5).withColumn("snapshot_date", F.lit(dt.date(2001, 2, 3)))
+    days = G.grow_calendar(gold.dim_date, G.snapshot_days(early))
+    assert days.where("date_key = 20010203 AND day_of_week = 6 AND quarter = 1").count() == 1
+    dropped = lambda d: {r.reason: r.n for r in G.dropped_snapshots(early, silver.current, d).collect()}
+    with_, without = dropped(days), dropped(gold.dim_date)
+    assert "day outside the calendar" not in with_
+    assert sum(without.values()) == 5 and without.get("day outside the calendar", 0) == 5 - sum(with_.values())

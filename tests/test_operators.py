@@ -13,7 +13,7 @@ from motorlake.operators.stats import recent_errors, run_counters
 from motorlake.plans import discover as D
 from motorlake.plans import frontier
 from motorlake.sources.calendar import calendar_around, index_page_range
-from motorlake.sources.views_payload import payload_shape, view_counts
+from motorlake.sources.views_payload import payload_shapes, read_entries, view_counts
 from motorlake.functions.text import redact_secrets
 from motorlake.schemas import QUEUE
 
@@ -77,7 +77,18 @@ def test_payload_values(spark):
     )
     df = spark.createDataFrame([(body,), ('{"data": [1]}',), ('{"data": null}',), ("{}",), ("oops",)], "body string")
     assert rows(view_counts(df)) == sorted([(1, 7), (2, 7), (3, 12), (4, 3), (5, 0), (6, 4), (7, 8), (11, 1)], key=repr)
-    assert [r[0] for r in df.select(payload_shape(F.col("body"))).collect()] == ["ok", "not_an_object", "not_an_object", "empty", "unreadable"]
+    assert [r.shape for r in payload_shapes(df).collect()] == ["ok", "not_an_object", "not_an_object", "empty", "unreadable"]
+
+
+def test_payload_is_one_whole_value(spark):
+    good = '{"data":{"1":5}}'
+    tails = ["", " \n", "] x", "]", "][", ", 1", ", 1]", ' {"data": 1}', "}", ',"x"]', " x", "\\", '"']
+    df = spark.createDataFrame([(i, good + t) for i, t in enumerate(tails)] + [(90, good[:-1]), (91, '["a'), (92, ""), (93, None), (94, good + good)], "n int, body string")
+    shapes = {r.n: r.shape for r in payload_shapes(df).collect()}
+    assert {n for n, s in shapes.items() if s != "unreadable"} == {0, 1} and len(shapes) == len(tails) + 5
+    assert rows(read_entries(df, carry=["n"]).select("n", "id_text")) == [(0, "1"), (1, "1")]
+    plan = view_counts(df, carry=["n"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parse_json") + plan.lower().count("parsejson") == 1
 
 
 def test_discovery_stops(spark):
