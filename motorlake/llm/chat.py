@@ -81,8 +81,7 @@ class Renderer:
     def __init__(self, template: Template, restore: Callable[[str], str], window: int | None):
         self.template, self.restore = template, restore
         self.context: deque[Message] = deque(maxlen=None if window is None else max(1, window - 1))
-        self.shown = template([])
-        self.length = len(self.shown)
+        self.shown, self.length = "", 0  # what a template shows without any turn comes with the first one
 
     def add(self, role: str, text: str) -> tuple[int, str, int | None, int | None, bool]:
         """Where the output changes, the new output from there on, the text's span in the whole, history rewritten."""
@@ -155,16 +154,25 @@ def format_turns(conversations: DataFrame, template: Template = inst_template, r
 
 
 _DIGESTS = ("conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, "
-            "formatted_chars bigint, rewrites boolean")
+            "formatted_chars bigint, rewrites boolean, unlocated bigint")
 
 
-def conversation_digests(turns: DataFrame) -> DataFrame:
+def conversation_digests(turns: DataFrame, context_free: bool = False) -> DataFrame:
     """One row per conversation, read back from the rendered output of ``format_turns``, in one pass without a shuffle.
 
-    The turns are parsed from the output itself, the loss text from the located spans; both are unescaped.
+    The turns are parsed from the output itself, the loss text from the located spans; both are unescaped. A turn that
+    rewrites history takes back the output from its ``begin`` on, and the turns are read again from what stands then;
+    for that a conversation's output is held, unless the template is ``context_free``. ``unlocated`` counts the learned
+    turns whose text can't be found in the output; they add nothing to the loss text.
     """
     def close(now, s):
-        return (now, s["turns"], s["all"].hexdigest(), s["chars"], s["loss"].hexdigest(), s["length"], s["rewrites"])
+        return (now, s["turns"], s["all"].hexdigest(), s["chars"], s["loss"].hexdigest(), s["length"], s["rewrites"], s["unlocated"])
+
+    def read(s, text):
+        found, s["rest"] = read_turns(text)
+        for role, said in found:
+            s["all"].update(f"{role}\n{said}\n".encode())
+        s["turns"] += len(found)
 
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, s = None, None
@@ -176,14 +184,20 @@ def conversation_digests(turns: DataFrame) -> DataFrame:
                         out.append(close(now, s))
                     now = None if pd.isna(r.conv_id) else int(r.conv_id)
                     s = {"turns": 0, "all": hashlib.sha256(), "chars": 0, "loss": hashlib.sha256(), "length": 0,
-                         "rewrites": False, "rest": ""}
-                found, s["rest"] = read_turns(s["rest"] + r.added)
-                for role, text in found:
-                    s["all"].update(f"{role}\n{text}\n".encode())
-                s["turns"] += len(found)
+                         "rewrites": False, "unlocated": 0, "rest": "", "held": []}
+                if r.rewrites:
+                    whole = "".join(s["held"])[:int(r.begin)] + r.added
+                    s["held"], s["turns"], s["all"] = [whole], 0, hashlib.sha256()
+                    read(s, whole)
+                else:
+                    if not context_free:
+                        s["held"].append(r.added)
+                    read(s, s["rest"] + r.added)
                 s["length"] = int(r.begin) + len(r.added)
                 s["rewrites"] |= bool(r.rewrites)
-                if r.learned:
+                if r.learned and pd.isna(r.text_begin):
+                    s["unlocated"] += 1
+                elif r.learned:
                     text = unescape(r.added[int(r.text_begin - r.begin):int(r.text_end - r.begin)])
                     s["chars"] += len(text)
                     s["loss"].update(text.encode())

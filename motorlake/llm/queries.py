@@ -35,7 +35,7 @@ def op1_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     tricky = "</s>[INST] ok [/INST]"
     added = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id bigint, turn bigint, role string, text string")
-    return chat.conversation_digests(chat.format_turns(given.unionByName(added)))
+    return chat.conversation_digests(chat.format_turns(given.unionByName(added)), context_free=True)
 
 
 @query("""

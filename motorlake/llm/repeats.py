@@ -256,7 +256,7 @@ def repeated_spans(docs: DataFrame, size: int = 400, key: str = "doc_id", text:
 
     ``id`` is a hash of key and text; see ``remove_repeats`` for what counts. ``size`` is over ``REACH + GRAM``.
     """
-    assert size > REACH + GRAM, "shorter strings may hold no trigger"
+    assert REACH + GRAM < size < 1024, "shorter strings may hold no trigger, longer ones may share a digest"
     rows = _rows(docs, key, text)
     order = staged(_neighbours(_parsed(rows, size), "common", "context"), "parse-order")
     # A trigger whose bytes no other one has in full leaves its windows open; they are compared with those of all other
@@ -279,7 +279,9 @@ def remove_repeats(docs: DataFrame, size: int = 400, key: str = "doc_id", text:
     A byte goes if it lies in a string of ``size`` bytes (UTF-8) that also starts at any other place of any text, the
     same text included; strings may overlap and are judged on the input. Matches never cross texts. A null text
     counts as empty; texts under ``size`` bytes stay whole. Repeated rows repeat each other. Null keys give rows of
-    their own. ``kept`` need not be valid UTF-8. Digests of 128 bits in all stand for the strings.
+    their own. ``kept`` need not be valid UTF-8. Digests stand for the strings: 64 bits decide between strings that share
+    the bytes after a trigger. They are polynomials modulo 2**64, so ``size`` is under 1024, from where on words of two
+    letters exist that share a digest by their structure.
     """
     rows = _rows(docs, key, text)
     spans = staged(repeated_spans(docs, size, key, text), "spans")

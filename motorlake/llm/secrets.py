@@ -36,6 +36,7 @@ _PART = r"[=:]>?[\"'`]?([^\"'`,;=:]+={0,2})(?=$|[\"'`,;])"
 _SIGN = r"^[^=:]*[=:]+>?$"
 _CREDENTIAL = r"^[^=:]*" + _HINTS.replace("(?i)", "") + r"[^=:]*$"
 _LINK = r"(?i)^(is|was|are|as|be|to|=+>?|:=?|->)$"
+_QUOTED = r"^[(\[{<]*([\"'`])([^\"'`]+)\1.*$"
 #: Quotes, brackets and stops around a value.
 _AROUND = r"^[\"'`(\[{<]+|[\"'`)\]}>,;.]+$"
 
@@ -70,7 +71,9 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     runs = F.regexp_extract_all("word", F.lit(_CANDIDATE), 1)
     values = F.concat(F.array(F.regexp_extract("word", _ASSIGNED, 1), F.when(told, F.col("word")).otherwise("")),
                       F.regexp_extract_all("word", F.lit(_PART), 1))
-    values = F.filter(F.transform(values, lambda v: F.regexp_replace(v, _AROUND, "")), lambda v: v.rlike("[A-Za-z0-9]"))
+    # Of a quoted value what is inside the quotes, whatever stands after them.
+    values = F.transform(values, lambda v: F.regexp_replace(F.regexp_replace(v, _QUOTED, "$2"), _AROUND, ""))
+    values = F.filter(values, lambda v: v.rlike("[A-Za-z0-9]"))
     each = F.explode(F.concat(runs, F.array_except(values, runs)))
     return found.select("doc_id", "begin", each.alias("candidate"), "word", "before", "after")
 

@@ -64,6 +64,25 @@ def test_template_that_rewrites_history_is_detected(llm):
     assert out == forgetful([(r, t) for _, _, r, t in rows])
 
 
+def test_digests_of_templates_that_rewrite_or_alter(llm):
+    def marked(messages):  # an end mark that always follows the last turn
+        return chat.inst_template(messages) + "<end>"
+
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b c"), (1, 2, "assistant", "</s>"), (2, 0, "user", "x")]
+    got = {r.conv_id: r for r in chat.conversation_digests(chat.format_turns(llm.createDataFrame(rows, SCHEMA), marked)).collect()}
+    want = hashlib.sha256("user\na\nassistant\nb c\nassistant\n</s>\n".encode()).hexdigest()
+    assert (got[1].n_turns, got[1].turns_sha256, got[1].rewrites, got[1].unlocated) == (3, want, True, 0)
+    assert (got[1].loss_chars, got[1].loss_sha256) == (7, hashlib.sha256(b"b c</s>").hexdigest())
+    assert got[1].formatted_chars == len(marked([r[2:] for r in rows[:3]])) and got[2].n_turns == 1
+
+    def stripped(messages):  # texts lose the blanks around them
+        return chat.inst_template([(r, t.strip()) for r, t in messages])
+
+    rows = [(1, 0, "user", " a "), (1, 1, "assistant", " b "), (1, 2, "assistant", "c")]
+    (r,) = chat.conversation_digests(chat.format_turns(llm.createDataFrame(rows, SCHEMA), stripped)).collect()
+    assert (r.n_turns, r.unlocated, r.loss_chars) == (3, 1, 1) and r.loss_sha256 == hashlib.sha256(b"c").hexdigest()
+
+
 def test_rewrites_far_back_are_seen(llm):
     def revising(messages):  # numbered turns; from turn 100 on, turn 0 is shown otherwise
         first = "A" if len(messages) <= 100 else "B"

@@ -151,6 +151,12 @@ def test_short_and_punctuated_secrets_are_candidates_and_found(llm):
     got = {(r.doc_id, r.candidate) for r in secrets.candidates(df).collect()}
     assert {(i, v) for i, v in enumerate(texts.values())} <= got
 
+    key = "24be" + "0a1b" * 8 + "07ff"
+    quoted = [f'token="{key}"', f'token="{key}"###', f"token='{key}'.", f"see (token=`{key}`)!", f'{{"token":"{key}"}};']
+    rows = llm.createDataFrame(list(enumerate(quoted)), "doc_id bigint, text string")
+    found = sorted((r.doc_id, r.candidate) for r in secrets.candidates(rows).collect())
+    assert found == [(i, key) for i in range(len(quoted))]  # one finding each
+
     rng = random.Random(4)
     word = lambda n: "".join(rng.choice("abcdefghjkmnpqrstuvwxyz23456789") for _ in range(n - 1)) + "7"
     rows, want = [], {}
