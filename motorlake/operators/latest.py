@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from motorlake.session import staged
+
 
 def last_per_key(
     df: DataFrame, keys: list[str], order: list[str], where: Column | None = None
@@ -42,12 +44,13 @@ def first_and_last_seen(df: DataFrame, key: str, ts: str) -> DataFrame:
 
 
 def require_unique(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Fail when a merge source holds a key twice; otherwise the rows as they are."""
-    others = [c for c in df.columns if c not in keys]
-    count = F.count(F.lit(1)).alias("_n")
-    row = F.any_value(F.struct(*others)).alias("_row") if others else F.lit(None).alias("_row")
-    checked = F.when(F.col("_n") == 1, F.col("_row")).otherwise(
-        F.raise_error(F.concat(F.lit("duplicate merge key: "), F.to_json(F.struct(*keys))))
-    )
-    grouped = df.groupBy(*keys).agg(count, row).withColumn("_row", checked)
-    return grouped.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*df.columns)
+    """Fail when a merge source holds a key twice; otherwise the rows as they are.
+
+    The source is written once. Keys are counted by a hash aggregate of their own
+    columns; the rows themselves are not shuffled or sorted for it.
+    """
+    rows = staged(df, "merge-source")
+    twice = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).limit(1).collect()
+    if twice:
+        raise ValueError(f"duplicate merge key: {', '.join(f'{k}={twice[0][k]}' for k in keys)}")
+    return rows

@@ -105,7 +105,7 @@ def test_batch_rewrites_its_own_buckets_only(spark, store, monkeypatch):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_prices_in_any_order_make_the_same_events(spark, store, seed):
     rng = random.Random(seed)
     points = [(k, ts("2024-01-01 00:00") + dt.timedelta(hours=rng.randrange(2000)), rng.choice([None, 1, 2, 3])) for k in (1, 1, 1, 2, 3) for _ in range(14)]
