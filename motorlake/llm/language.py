@@ -28,6 +28,7 @@ LANDMARKS_PER_LANGUAGE = 40
 LANDMARKS = 400
 RIDGE = 1e-3
 SAMPLE_BROADCAST = 200_000
+BUCKETS = 64
 #: Held-out rows per language that limits are set from, at most; the slack given to what they show; limits without any.
 LIMITS_PER_LANGUAGE = 300
 SLACK = 1.25
@@ -90,9 +91,11 @@ def sample(labelled: DataFrame, group: str, most: int) -> DataFrame:
     Chosen on narrow rows; whole texts of the chosen ones only are fetched. Rows equal in key, text and group count once.
     """
     digest = F.xxhash64("doc_id", "text")
-    order = Window.partitionBy(group).orderBy("_h", "doc_id")
-    narrow = labelled.select("doc_id", group, digest.alias("_h")).distinct().withColumn("_n", F.row_number().over(order))
-    chosen = staged(narrow.where(F.col("_n") <= most), "sample")
+    drawn = labelled.select("doc_id", group, digest.alias("_h")).distinct()
+    for parts in ([group, F.pmod("_h", F.lit(BUCKETS))], [group]):  # of every bucket first, so that no task ranks a whole group
+        order = Window.partitionBy(*parts).orderBy("_h", "doc_id")
+        drawn = drawn.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= most)
+    chosen = staged(drawn, "sample")
     side = small_side(chosen.select(F.col("doc_id").alias("_id"), "_h", F.col(group).alias("_g"), "_n"), SAMPLE_BROADCAST)
     same = (F.col("doc_id") == F.col("_id")) & (digest == F.col("_h")) & (F.col(group) == F.col("_g"))
     return labelled.join(side, same).dropDuplicates(["_id", "_h", "_g"]).select("text", group, "_n")
