@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from motorlake.functions import fixed
 from motorlake.functions.text import listing_url
 from motorlake.plans import gold as G
 from motorlake.plans import silver as S
@@ -275,13 +276,13 @@ def listing_pages(t: Tables) -> DataFrame:
         F.lit("<html><head><title>t</title><style>p{}</style></head><body><!-- <h1>no</h1> --><h1>"),
         c("p_brand"), F.lit("  <b>"), c("model"), F.lit("</b> "), c("trim"), F.lit(" "), c("car_year").cast("string"),
         F.lit(" г.</h1><div>"), grouped(c("price")), F.lit(" ₸</div><dl>"),
-        _pair("Город", c("city")), _pair("Область", c("region")), _pair("Кузов", c("body_type")),
-        _pair("Пробег", F.concat(grouped(c("mileage_km")), F.lit(" км"))),
-        _pair("Объем двигателя, л", F.concat(c("engine_volume_l").cast("string"), F.coalesce(F.concat(F.lit(" ("), c("engine_type"), F.lit(")")), F.lit("")))),
-        _pair("Коробка передач", c("transmission")), _pair("Руль", c("steering")),
-        _pair("Растаможен в Казахстане", F.when(c("customs_cleared"), "Да").when(~c("customs_cleared"), "Нет")),
-        F.lit("</dl>"), F.coalesce(F.concat(F.lit("<p>Проверенный продавец</p><p>"), c("seller_name"), F.lit("</p>")), F.lit("")),
-        F.lit("<h2>Опции и характеристики</h2><li>ABS brakes</li><li>"), c("p_brand"), F.lit(" &amp; "), c("model"),
+        _pair(fixed.LABEL_CITY, c("city")), _pair(fixed.LABEL_AREA, c("region")), _pair(fixed.LABEL_BODY, c("body_type")),
+        _pair(fixed.LABEL_MILEAGE, F.concat(grouped(c("mileage_km")), F.lit(" км"))),
+        _pair(fixed.LABEL_ENGINE, F.concat(c("engine_volume_l").cast("string"), F.coalesce(F.concat(F.lit(" ("), c("engine_type"), F.lit(")")), F.lit("")))),
+        _pair(fixed.LABEL_GEARBOX, c("transmission")), _pair(fixed.LABEL_STEERING, c("steering")),
+        _pair(fixed.LABEL_CUSTOMS, F.when(c("customs_cleared"), fixed.YES).when(~c("customs_cleared"), fixed.NO)),
+        F.lit("</dl>"), F.coalesce(F.concat(F.lit(f"<p>{fixed.LABEL_SELLER}</p><p>"), c("seller_name"), F.lit("</p>")), F.lit("")),
+        F.lit(f"<h2>{fixed.LABEL_OPTIONS}</h2><li>ABS brakes</li><li>"), c("p_brand"), F.lit(" &amp; "), c("model"),
         F.lit("</li><li>PHOTOS</li><li>not an option</li>"),
         photo, F.lit('<img data-src="https://img.example/1.jpg" src="data:x">'), photo, F.lit("</body></html>"),
     )

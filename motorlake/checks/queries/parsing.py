@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from motorlake.checks import bindings as B
 from motorlake.checks.oracle import BASE, WS
 from motorlake.checks.registry import query
+from motorlake.functions import fixed
 from motorlake.functions import html as H
 from motorlake.functions.text import clean, sha256_hex
 from motorlake.plans.parse import parse_pages, with_fingerprint
@@ -188,20 +189,16 @@ _BLOCK_HTML = """CASE page_id % 12 WHEN 0 THEN '<html>Captcha ' || page_id || '<
   WHEN 4 THEN 'Unusual traffic detected' || html WHEN 5 THEN 'Access denied, robot' || html WHEN 6 THEN 'Verify you are human' || html
   WHEN 7 THEN 'Captcha or challenge' || html WHEN 8 THEN replace(html, '<title>', '<title>Blocked: ') WHEN 9 THEN 'CF-RAY checking' || html
   WHEN 10 THEN 'cloudflare' || chr(10) || 'ray id' || html ELSE html END"""
-_RULES = [
-    ("cloudflare.*ray.*id", "Cloudflare protection page"), ("checking.*browser.*before.*accessing", "Cloudflare challenge"),
-    ("please.*complete.*security.*check", "Security check required"), ("unusual.*traffic.*detected", "Unusual traffic detected"),
-    ("access.*denied.*robot", "Access denied - robot"), ("verify.*you.*are.*human", "Human verification required"),
-    ("captcha.*challenge", "CAPTCHA challenge page"),
-]
+def _any(words: list[str]) -> str:
+    return "|".join(words)
 
 
 @query("F17", f"""
   SELECT page_id, CASE
-    WHEN length(h) < 5000 AND regexp_matches(h, 'captcha|cloudflare|challenge|verify') THEN 'Suspiciously short response with blocking keywords'
-    {" ".join(f"WHEN regexp_matches(h, '{p}') THEN '{r}'" for p, r in _RULES)}
-    WHEN regexp_matches(s, 'captcha|challenge|verify|blocked|access denied') THEN 'Blocking page title: ' || s[:50]
-    WHEN h LIKE '%cf-ray%' AND length(h) < 20000 AND regexp_matches(h, 'challenge|checking') THEN 'Cloudflare challenge page' END AS reason
+    WHEN length(h) < {fixed.SHORT_PAGE_CHARS} AND regexp_matches(h, '{_any(fixed.SHORT_PAGE_WORDS)}') THEN '{fixed.SHORT_PAGE_REASON}'
+    {" ".join(f"WHEN regexp_matches(h, '{p}') THEN '{r}'" for p, r in fixed.BLOCK_PATTERNS)}
+    WHEN regexp_matches(s, '{_any(fixed.BLOCK_TITLE_WORDS)}') THEN '{fixed.BLOCK_TITLE_REASON}' || s[:{fixed.BLOCK_TITLE_CHARS}]
+    WHEN h LIKE '%cf-ray%' AND length(h) < {fixed.CF_RAY_CHARS} AND regexp_matches(h, '{_any(fixed.CF_RAY_WORDS)}') THEN '{fixed.CF_RAY_REASON}' END AS reason
   FROM (SELECT page_id, h, regexp_extract(h, '<title[^>]*>([^<]+)</title>', 1) AS s FROM (SELECT page_id, lower({_BLOCK_HTML}) AS h FROM pages) a) q""")
 def block_reasons(t):
     html = F.expr(_BLOCK_HTML.replace("chr(10)", "char(10)"))
@@ -236,15 +233,12 @@ def cleaned_documents(t):
     return t.documents.select("doc_id", F.md5(text).alias("digest"), F.length(text).cast("bigint").alias("n"))
 
 
-_SECRET_KEYS = "password|secret|key|token"
-_ENV_KEYS = "POSTGRES_PASSWORD|WAREHOUSE_PASSWORD|AIRFLOW_PASSWORD|MINIO_SECRET_KEY|SUPABASE_DB_URL|PGADMIN_PASSWORD"
-
-
 def _redact(text: str) -> str:
-    out = f"regexp_replace({text}, '://([^:]+):([^@]+)@', '://\\1:***@', 'gi')"
-    for keys in (_SECRET_KEYS, _ENV_KEYS):
-        value = f"""[^"''{WS[1:-1]}]+"""
-        out = f"""regexp_replace({out}, '({keys})["'']?{WS}*[:=]{WS}*["'']?({value})', '\\1="***"', 'gi')"""
+    """The fixed redactions as SQL, with white space as the text functions see it."""
+    out = text
+    for pattern, replacement in fixed.REDACTIONS:
+        spaced = pattern.replace('''[^"'\\s]+''', f'''[^"'{WS[1:-1]}]+''').replace("\\s", WS).replace("'", "''")
+        out = f"regexp_replace({out}, '{spaced}', '{replacement.replace('$', chr(92))}', 'gi')"
     return out
 
 

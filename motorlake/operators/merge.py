@@ -80,12 +80,3 @@ def update_join(target: DataFrame, updates: DataFrame, keys: list[str], columns:
 def delete_keys(target: DataFrame, keys: DataFrame) -> DataFrame:
     """Remove the rows whose key is listed."""
     return target.join(keys, keys.columns, "left_anti")
-
-
-def within_partitions(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
-    """Target rows in the partitions a batch touches (pruned at run time).
-
-    The distinct values are calendar days or date keys: a few hundred a year,
-    and a broadcast of them prunes the partitions of the scan.
-    """
-    return target.join(F.broadcast(batch.select(column).distinct()), column, "left_semi")

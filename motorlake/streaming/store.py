@@ -48,7 +48,7 @@ class LakeStore:
         era = log.agg(F.max("era")).first()[0]
         newest = log.where(F.col("era") == era).groupBy("table", "part").agg(F.max_by("folders", "seq").alias("folders"), F.max("seq").alias("seq"))
         entries = newest.collect()
-        return max(e["seq"] for e in entries), {(e["table"], e["part"]): e["folders"] for e in entries}
+        return max((e["seq"] for e in entries), default=-1), {(e["table"], e["part"]): e["folders"] for e in entries}
 
     def begin(self, stream: str, batch: int) -> Commit | None:
         """A commit for a stream's batch; None if the log has it already."""
