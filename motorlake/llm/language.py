@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from motorlake.llm.common import ROW, nested, small_side, staged, unnested
+from motorlake.llm.common import ROW, give_back, nested, small_side, staged, unnested
 
 LONGEST = 4
 GRAM_BITS = 18
@@ -142,7 +142,10 @@ def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, landmarks:
                       for c in range(len(languages))], 1)
     beta = np.stack([np.linalg.solve((features * share[:, [c]]).T @ features + ridge * np.eye(features.shape[1]),
                                      (features * share[:, [c]]).T @ target[:, c]) for c in range(len(languages))], 1)
-    return Model(languages, (known @ (half @ beta).astype(np.float32))[row], row < len(vocabulary))
+    weights = (known @ (half @ beta).astype(np.float32))[row]
+    del known, rows, sets, marks
+    give_back()
+    return Model(languages, weights, row < len(vocabulary))
 
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from motorlake.llm.common import CHOSEN_ROWS, ROW, identity, nested, small_side, staged, unnested
+from motorlake.llm.common import CHOSEN_ROWS, ROW, give_back, identity, nested, small_side, staged, unnested
 from motorlake.llm.language import SAMPLE_BROADCAST
 from motorlake.llm.shingles import texts, word_hashes
 
@@ -93,6 +93,8 @@ def fit(docs: DataFrame, marks: DataFrame, per_domain: int = SAMPLE_PER_DOMAIN,
                     weights[found] -= 0.5 * step / np.sqrt(total[found])
     elif domains:
         bias[:] = 0
+    del rows
+    give_back()
     return DomainModel(domains, weights.astype(np.float32), bias)
 
 
