@@ -36,8 +36,6 @@ from motorlake.schemas import (
 from motorlake.session import staged
 from motorlake.streaming.store import Commit, LakeStore
 
-#: Buckets of the listing tables. A batch that touches few listings rewrites few of them.
-BUCKETS = 256
 #: Listings of a batch whose ids are broadcast to the state's tasks (8 bytes each); a larger batch is joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -46,8 +44,8 @@ _SNAPSHOT_STATE = T.StructType(
     [*SNAPSHOT_DAILY.fields, T.StructField("seen_at", T.TimestampType()), T.StructField("gone_at", T.TimestampType())])
 
 
-def listing_bucket() -> Column:
-    return F.pmod(F.xxhash64("listing_id"), F.lit(BUCKETS)).cast("int")
+def listing_bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("listing_id"), F.lit(buckets)).cast("int")
 
 
 def _distinct(rows: DataFrame, column: Column) -> list:
@@ -68,13 +66,14 @@ def merge_buckets(commit: Commit, table: str, schema: T.StructType, batch: DataF
     its new ones inside a task; only the batch's own listings are shuffled.
     Returns the stored and the new rows of the batch's listings.
     """
-    buckets = _distinct(batch, listing_bucket())
+    bucket = listing_bucket(commit.buckets)
+    buckets = _distinct(batch, bucket)
     state, ids = commit.read(table, schema, buckets), _ids(batch)
     met = staged(state.join(ids, "listing_id", "left_semi"), f"{table}-met")
     new = staged(merge(met, batch), f"{table}-new")
     rest = state.join(ids, "listing_id", "left_anti")
-    spread = new.withColumn("_bucket", listing_bucket()).repartition("_bucket").drop("_bucket")
-    commit.replace(table, rest.unionByName(spread), listing_bucket(), buckets)
+    spread = new.withColumn("_bucket", bucket).repartition("_bucket").drop("_bucket")
+    commit.replace(table, rest.unionByName(spread), bucket, buckets)
     return met, new
 
 
@@ -90,7 +89,8 @@ def merge_price_points(commit: Commit, arrived: DataFrame, last: DataFrame) -> t
     late = arrived.join(seen, "listing_id").where(F.col("fetched_at") <= F.col("_seen")).select("listing_id").distinct()
     late = staged(late, "late")
     stored = last.select(*S.PRICE_POINT.names)
-    buckets = _distinct(late, listing_bucket())
+    bucket = listing_bucket(commit.buckets)
+    buckets = _distinct(late, bucket)
     if buckets:
         ids = _ids(late)
         timeline = commit.read("price_points", S.PRICE_POINT, buckets).join(ids, "listing_id", "left_semi")
@@ -98,7 +98,7 @@ def merge_price_points(commit: Commit, arrived: DataFrame, last: DataFrame) -> t
     stored = staged(stored, "stored-points")
     gone, events = S.revised_price_events(stored, arrived)
     gone, events = (staged(gone, "gone"), staged(events, "events")) if buckets else (gone.limit(0), staged(events, "events"))
-    commit.append("price_points", new_keys_only(stored, arrived.distinct(), S.PRICE_POINT.names), listing_bucket())
+    commit.append("price_points", new_keys_only(stored, arrived.distinct(), S.PRICE_POINT.names), bucket)
 
     day = F.to_date("event_ts")
     anew = _distinct(gone, day) if buckets else []

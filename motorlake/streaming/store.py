@@ -25,6 +25,8 @@ from motorlake.schemas import empty
 MOST_FOLDERS = 16
 #: Entries after which the log repeats the whole state, so that a reader needs the newest era only.
 ERA = 64
+#: Buckets of the listing tables. A batch that touches few listings rewrites few of them.
+BUCKETS = 256
 _LOG = T.StructType([
     T.StructField("seq", T.LongType()), T.StructField("table", T.StringType()), T.StructField("part", T.StringType()),
     T.StructField("folders", T.ArrayType(T.StringType())),
@@ -34,8 +36,10 @@ Parts = dict[tuple[str, str], list[str]]
 
 
 class LakeStore:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+    """``buckets`` is how many parts a table by listing has; it stays what it was when the store was begun."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        self.spark, self.root, self.buckets = spark, root, buckets
 
     def _committed(self) -> tuple[int, Parts]:
         """Number of the newest entry, and the folders of every part. A part is a day or a bucket, so this stays small."""
@@ -71,7 +75,7 @@ class Commit:
     """What one batch sees and writes; nothing of it is visible to others before ``close``."""
 
     def __init__(self, store: LakeStore, seq: int, parts: Parts, stream: str, batch: int):
-        self.spark, self.root = store.spark, store.root
+        self.spark, self.root, self.buckets = store.spark, store.root, store.buckets
         self.seq, self.stream, self.batch = seq, stream, batch
         self._parts, self._changed = parts, {}
 
