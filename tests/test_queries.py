@@ -42,3 +42,11 @@ def test_entry_and_registry(spark):
     df = entry.entry(spark)
     assert df.columns == ["make", "n"] and df.count() == 5
     assert set(QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_other_queries_go_on_without_the_optional_part():
+    import subprocess
+    code = ("import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as e; "
+            "names = set(e.queries()); assert set(e.oracle_sql()) <= names and not any(n.startswith('op1') for n in names); print(len(names))")
+    done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=100)
+    assert done.returncode == 0 and int(done.stdout) == len(QUERIES), done.stderr
