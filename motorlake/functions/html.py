@@ -70,7 +70,7 @@ def mileage_in(text: Column) -> Column:
     their exponential backtracking on long digit runs.
     """
     run = F.regexp_extract(text, rf"(?iU)(\d(?:[\d\s\x1c-\x1f]*\d)?){SPACE}*(?:км|km)", 1)
-    return _whole_number(run, "int")
+    return _whole_number(run, "bigint")
 
 
 def mileage(text: Column, lines: Column) -> Column:

@@ -46,7 +46,7 @@ def parse_pages(pages: DataFrame, base_url: str, carry: list[str] = ()) -> DataF
         "generation": after(fixed.LABEL_GENERATION),
         "trim": H.title_trim(F.col("tokens")),
         "car_year": H.title_year(F.col("title")),
-        "mileage_km": H.mileage(F.col("text"), lines),
+        "mileage_km": H.mileage(F.col("text"), lines).try_cast("int"),
         "body_type": after(fixed.LABEL_BODY),
         "engine_volume_l": H.engine_volume(F.col("engine")),
         "engine_type": H.engine_type(F.col("engine")),

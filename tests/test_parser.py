@@ -1,3 +1,6 @@
+from pyspark.sql import functions as F
+
+from motorlake.functions import html as H
 from motorlake.plans.parse import parse_pages, with_fingerprint
 from motorlake.schemas import PAGE, PARSED
 
@@ -82,6 +85,14 @@ def test_long_digit_run_is_cheap(spark):
     assert r["mileage_km"] is None
 
 
+def test_mileage_beyond_32_bits(spark):
+    text = "Пробег: 4000000 000 км\nПробег\n5 км"
+    lines = F.split(F.lit(text), "\n")
+    assert spark.range(1).select(H.mileage(F.lit(text), lines)).first()[0] == 4_000_000_000
+    (r,) = parse(spark, "<p>4000000 000 км</p><p>Пробег</p><p>5 км</p>")
+    assert r["mileage_km"] is None  # the column has 32 bits; the label speaks only where the text has no number
+
+
 def test_fingerprint_is_key_sorted_json(spark):
     import hashlib
     import json
