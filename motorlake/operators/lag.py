@@ -9,6 +9,8 @@ from motorlake.session import staged
 
 # The most rows of one key that a window may sort in one task; beyond that, all rows are cut by their order.
 HOT_KEY_ROWS = 10_000_000
+# Rows a segment may have before there are more segments than shuffle partitions: each is a task and a file.
+SEGMENT_ROWS = 1_000_000
 
 
 def previous_value(
@@ -20,7 +22,9 @@ def previous_value(
     kept whole. The input is written once. Where no key has more than
     ``hot_key_rows`` rows, a plain window is enough. Else all rows are cut at
     quantiles of their order (key, time, value, row): segments are equally large
-    however many rows share a key, a time or a value. ``lag`` runs inside a
+    however many rows share a key, a time or a value. There are as many as keep
+    them under ``hot_key_rows`` rows, but beyond one per shuffle partition only as
+    many as keep them under ``SEGMENT_ROWS``. ``lag`` runs inside a
     segment, and only the first row of a key in a segment takes the last value of
     the segment before it.
     """
@@ -31,7 +35,7 @@ def previous_value(
         order = Window.partitionBy(key).orderBy(ts, value)
         return rows.withColumn(out, F.lag(value).over(order)).select(*df.columns, out)
 
-    cut = segments(rows, [key, ts, value, "_row"], -(-2 * total // hot_key_rows))
+    cut = segments(rows, [key, ts, value, "_row"], segment_count(df, total, hot_key_rows))
     inside = Window.partitionBy(key, "_segment").orderBy(ts, value, "_row")
     local = cut.withColumn("_before", F.lag(value).over(inside)).withColumn("_place", F.row_number().over(inside))
     ends = cut.groupBy(key, "_segment").agg(F.max(F.struct(ts, value, "_row")).alias("_last"))
@@ -44,6 +48,12 @@ def previous_value(
     return joined.withColumn(out, previous).select(*df.columns, out)
 
 
+def segment_count(df: DataFrame, total: int, most: int) -> int:
+    """Segments of at most about ``most`` rows, unless that makes more than tasks are worth."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(-(-2 * total // most), max(tasks, -(-2 * total // SEGMENT_ROWS)))
+
+
 def segments(rows: DataFrame, order: list[str], count: int) -> DataFrame:
     """The rows with ``_segment``: ``count`` ranges of about equally many rows, by a total order of the rows.
 

@@ -5,7 +5,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows, ts
-from motorlake.operators.lag import previous_value
+from motorlake.operators import lag
+from motorlake.operators.lag import previous_value, segments
 from motorlake.plans import silver as S
 from motorlake.plans.silver import PAYLOAD
 from motorlake.schemas import LISTING_CURRENT
@@ -100,3 +101,14 @@ def test_segmented_lag_equals_plain_lag(spark, hot):
     got = previous_value(df, "k", "at", "v", "before", hot_key_rows=hot)
     want = df.withColumn("before", F.lag("v").over(Window.partitionBy("k").orderBy("at")))
     assert rows(got) == rows(want)
+
+
+def test_tiny_segments_do_not_become_a_task_each(spark, monkeypatch):
+    cuts = []
+    monkeypatch.setattr(lag, "segments", lambda rows, order, count: cuts.append(count) or segments(rows, order, count))
+    df = spark.range(5_000).selectExpr("id % 3 AS k", "timestamp_seconds(id) AS at", "id AS v")
+    got = previous_value(df, "k", "at", "v", "before", hot_key_rows=1)
+    want = df.withColumn("before", F.lag("v").over(Window.partitionBy("k").orderBy("at")))
+    assert rows(got) == rows(want)
+    assert cuts == [int(spark.conf.get("spark.sql.shuffle.partitions"))]
+    assert lag.segment_count(df, 36_000_000, 10) == 72 and lag.segment_count(df, 36_000_000, lag.HOT_KEY_ROWS) == 8
