@@ -2,9 +2,9 @@
 
 The kernel of two texts is the number of character n-grams (of every length from 1 to ``LONGEST``) present in both,
 over the root of the product of their own numbers: a blended-spectrum presence kernel. Nyström landmarks turn it into
-``m`` features; one ridge regression per language, one versus the rest, is fitted on them. Since a text's score is
-linear in its kernel row, landmarks and weights multiply into one weight per n-gram and language, and a batch is scored
-as one product of its presence matrix with that table.
+``m`` features; one ridge regression per language, one versus the rest, is fitted on them, on all labelled rows by sums
+of their products. Since a text's score is linear in its kernel row, landmarks and weights multiply into one weight per
+n-gram and language, and a batch is scored as one product of its presence matrix with that table.
 
 N-grams are hashed into ``2**GRAM_BITS`` places, so the table is bounded.
 """
@@ -22,15 +22,17 @@ from motorlake.llm.common import ROW, give_back, nested, small_side, staged, unn
 
 LONGEST = 4
 GRAM_BITS = 18
-#: Labelled rows that are learned from, per language at most; of these, landmarks per language and in all.
-SAMPLE_PER_LANGUAGE = 1000
+#: Landmarks per language and in all.
 LANDMARKS_PER_LANGUAGE = 40
 LANDMARKS = 400
 RIDGE = 1e-3
 SAMPLE_BROADCAST = 200_000
 BUCKETS = 64
-#: Held-out rows per language that limits are set from, at most; the slack given to what they show; limits without any.
-LIMITS_PER_LANGUAGE = 300
+#: Matrix rows in a block of summed products; bytes of products that a task holds before it passes them on.
+BLOCK = 16
+HELD_BYTES = 1 << 25
+#: Bins per unit that held-out rows are counted in; the slack given to what they show; limits without any.
+BINS = 1024
 SLACK = 1.25
 MARGIN, SHARE = 0.45, 0.6
 SEGMENT = 1 << 18
@@ -101,12 +103,83 @@ def sample(labelled: DataFrame, group: str, most: int) -> DataFrame:
     return labelled.join(side, same).dropDuplicates(["_id", "_h", "_g"]).select("text", group, "_n")
 
 
-def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, landmarks: int = LANDMARKS_PER_LANGUAGE,
-        ridge: float = RIDGE) -> Model:
+class Landmarks:
+    """The n-gram places of some texts: a row per place in any of them, a byte per text."""
+
+    def __init__(self, marks: list[np.ndarray]):
+        self.many = len(marks)
+        vocabulary = np.unique(np.concatenate(marks))
+        table = np.zeros((len(vocabulary) + 1, -(-self.many // 8) * 8), np.uint8)  # the last row: places in no landmark
+        for j, m in enumerate(marks):
+            table[np.searchsorted(vocabulary, m), j] = 1
+        self.row = np.full(1 << GRAM_BITS, len(vocabulary), np.int32)
+        self.row[vocabulary] = np.arange(len(vocabulary))
+        self.known = self.row < len(vocabulary)
+        self.lanes = table.view(np.uint64)
+        self.roots = np.sqrt([len(m) for m in marks])
+
+    def kernel(self, sets: list[np.ndarray]) -> np.ndarray:
+        """One row per set of places (none empty), one column per landmark."""
+        out = np.zeros((len(sets), self.many))
+        for i, s in enumerate(sets):
+            for at in range(0, len(s), 255):  # so many ones fit a byte: eight landmarks are counted by one addition
+                out[i] += self.lanes[self.row[s[at:at + 255]]].sum(0, dtype=np.uint64).view(np.uint8)[:self.many]
+            out[i] /= np.sqrt(len(s))
+        return out / self.roots
+
+    def weights(self, of_landmarks: np.ndarray) -> np.ndarray:
+        """A weight per place and language from one per landmark and language."""
+        scaled = (of_landmarks / self.roots[:, None]).astype(np.float32)
+        table = self.lanes.view(np.uint8)[:, :self.many]
+        parts = [table[at:at + 8192].astype(np.float32) @ scaled for at in range(0, len(table), 8192)]
+        return np.concatenate(parts)[self.row]
+
+
+def _products(usable: DataFrame, marks: list[np.ndarray]) -> dict[str, np.ndarray]:
+    """By language: the products, summed over all its rows, of their kernel rows with a one at the end.
+
+    The last column has the sums of the kernel rows and, at its end, their number. Tasks add up products of their rows
+    and pass on blocks of ``BLOCK`` matrix rows, which are added by language and block.
+    """
+    shared, size = usable.sparkSession.sparkContext.broadcast(marks), len(marks) + 1
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        landmarks, held = Landmarks(shared.value), {}
+        for b in batches:
+            for lang, texts in b.groupby("lang").text:
+                for at in range(0, len(texts), 500):
+                    rows = landmarks.kernel([present(t) for t in texts.iloc[at:at + 500]])
+                    rows = np.column_stack([rows, np.ones(len(rows))])
+                    held[lang] = held.get(lang, 0) + rows.T @ rows
+                if len(held) * size * size * 8 > HELD_BYTES:
+                    yield blocks(held)
+                    held = {}
+        if held:
+            yield blocks(held)
+
+    def blocks(held: dict[str, np.ndarray]) -> pd.DataFrame:
+        return pd.DataFrame([(lang, at, m[at:at + BLOCK].tobytes()) for lang, m in held.items() for at in range(0, size, BLOCK)],
+                            columns=["lang", "at", "block"])
+
+    def total(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
+        block = sum(np.frombuffer(x) for x in b.block)
+        return pd.DataFrame({"lang": [key[0]], "at": [key[1]], "block": [block.tobytes()]})
+
+    kinds = "lang string, at int, block binary"
+    added = usable.select("lang", "text").mapInPandas(add, kinds).groupBy("lang", "at").applyInPandas(total, kinds)
+    found: dict[str, np.ndarray] = {}
+    for r in added.collect():
+        block = np.frombuffer(r["block"]).reshape(-1, size)
+        found.setdefault(r["lang"], np.zeros((size, size)))[r["at"]:r["at"] + len(block)] = block
+    return found
+
+
+def fit(labelled: DataFrame, landmarks: int = LANDMARKS_PER_LANGUAGE, ridge: float = RIDGE) -> Model:
     """A model from ``doc_id, text, lang``; rows without a language or a letter teach nothing.
 
-    The n-gram places of the sample (``per_language`` rows of each language) come to the driver as integers; the
-    landmarks are its first rows. Without labelled rows the model knows no language.
+    The landmarks are the rows with the smallest hashes of each language; they only span the space of the machines.
+    These are fitted on every row: each adds its kernel row's products to those of its language, and only the summed
+    products come to the driver. Without labelled rows the model knows no language.
     """
     def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -114,38 +187,29 @@ def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, landmarks:
             yield pd.DataFrame({"lang": b.lang, "n": b["_n"], "places": found})
 
     usable = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    taken = sample(usable.select("doc_id", "text", "lang"), "lang", per_language)
+    taken = sample(usable.select("doc_id", "text", "lang"), "lang", landmarks)
     rows = taken.mapInPandas(places, "lang string, n int, places binary").orderBy("lang", "n").toPandas()
     languages = sorted(set(rows.lang))
     if not languages:
         return Model([], np.zeros((1 << GRAM_BITS, 0), np.float32))
-    sets = [np.frombuffer(p, np.int32) for p in rows.places]
-    landmarks = max(1, min(landmarks, LANDMARKS // len(languages)))
-    marks = [sets[i] for i in np.flatnonzero(rows.n.to_numpy() <= landmarks)]
-    vocabulary = np.unique(np.concatenate(marks))
-    known = np.zeros((len(vocabulary) + 1, len(marks)), np.float32)  # the last row: places in no landmark
-    for j, m in enumerate(marks):
-        known[np.searchsorted(vocabulary, m), j] = 1 / np.sqrt(len(m))
-    row = np.full(1 << GRAM_BITS, len(vocabulary))
-    row[vocabulary] = np.arange(len(vocabulary))
-
-    def kernel(some):
-        return np.stack([known[row[s]].sum(0) / np.sqrt(len(s)) for s in some]).astype(np.float64)
-
-    values, vectors = np.linalg.eigh(kernel(marks))
+    rows = rows[rows.n <= max(1, min(landmarks, LANDMARKS // len(languages)))]
+    marks = [np.frombuffer(p, np.int32) for p in rows.places]
+    chosen, products = Landmarks(marks), _products(usable, marks)
+    values, vectors = np.linalg.eigh(chosen.kernel(marks))
     keep = values > 1e-8 * values[-1]
-    half = vectors[:, keep] / np.sqrt(values[keep])
-    features = kernel(sets) @ half
-    target = np.where(rows.lang.to_numpy()[:, None] == np.array(languages)[None, :], 1.0, -1.0)
-    # Every language weighs the same, and so do its rest and itself.
-    share = np.stack([np.where(target[:, c] > 0, 0.5 / (target[:, c] > 0).sum(), 0.5 / max(1, (target[:, c] < 0).sum()))
-                      for c in range(len(languages))], 1)
-    beta = np.stack([np.linalg.solve((features * share[:, [c]]).T @ features + ridge * np.eye(features.shape[1]),
-                                     (features * share[:, [c]]).T @ target[:, c]) for c in range(len(languages))], 1)
-    weights = (known @ (half @ beta).astype(np.float32))[row]
-    del known, rows, sets, marks
+    half = np.zeros((len(marks) + 1, int(keep.sum()) + 1))  # from a kernel row and its one to features and their one
+    half[:-1, :-1], half[-1, -1] = vectors[:, keep] / np.sqrt(values[keep]), 1
+    products = {lang: half.T @ m @ half for lang, m in products.items()}
+    everything = sum(products.values())
+    beta = []
+    for lang in languages:  # every language weighs the same, and so do its rest and itself
+        own, rest = products[lang], everything - products[lang]
+        own, rest = 0.5 / own[-1, -1] * own, 0.5 / max(1, rest[-1, -1]) * rest
+        beta.append(np.linalg.solve((own + rest)[:-1, :-1] + ridge * np.eye(int(keep.sum())), (own - rest)[:-1, -1]))
+    weights = chosen.weights(half[:-1, :-1] @ np.stack(beta, 1))
+    del products, everything, rows, marks
     give_back()
-    return Model(languages, weights, row < len(vocabulary))
+    return Model(languages, weights, chosen.known)
 
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -182,33 +246,45 @@ def _judged(docs: DataFrame, model: Model, key: str, text: str) -> DataFrame:
     return docs.select(F.col(f"`{key}`").alias("doc_id"), out.alias("_p")).select("doc_id", "_p.*")
 
 
-def limits(labelled: DataFrame, model: Model, per_language: int = LIMITS_PER_LANGUAGE) -> tuple[float, float]:
-    """``margin, share`` for ``keep_identified``, from labelled documents that the model was not fitted on.
+def limits(labelled: DataFrame, model: Model) -> tuple[float, float]:
+    """``margin, share`` for ``keep_identified``, from all labelled documents that the model was not fitted on.
 
-    Whole texts and runs of 1 to 20 words from their middles are judged, so that short texts are met as they are. Three
-    numbers of each come to the driver. Without such documents the limits are ``MARGIN`` and ``SHARE``.
+    Whole texts and runs of 1 to 20 words from their middles are judged, so that short texts are met as they are.
+    Their counts in bins of ``1 / BINS`` come to the driver; every language weighs the same. Without such documents
+    the limits are ``MARGIN`` and ``SHARE``.
     """
     shared = labelled.sparkSession.sparkContext.broadcast(model)
 
     def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
         for b in batches:
-            some = []
-            for t in b.text:
-                words = t.split()
-                some += [t] + [" ".join(words[len(words) // 2:][:n]) for n in (1, 2, 3, 5, 10, 20)]
-            some = [t for t in some if has_letter(t)]
-            for at in range(0, len(some), 500):
-                s, sizes, share = m.judge(some[at:at + 500])
-                yield pd.DataFrame({"score": (s.max(1) + 1) / 2, "grams": sizes, "share": share})
+            for lang, texts in b.groupby("lang").text:
+                for at in range(0, len(texts), 100):
+                    some = []
+                    for t in texts.iloc[at:at + 100]:
+                        words = t.split()
+                        some += [t] + [" ".join(words[len(words) // 2:][:n]) for n in (1, 2, 3, 5, 10, 20)]
+                    some = [t for t in some if has_letter(t)]
+                    if not some:
+                        continue
+                    s, sizes, share = m.judge(some)
+                    short = np.maximum(0, (0.5 - (s.max(1) + 1) / 2) * np.sqrt(sizes))
+                    for kind, bins in (("short", np.ceil(short * BINS)), ("share", np.floor(share * BINS))):
+                        found, counts = np.unique(bins.astype(np.int64), return_counts=True)
+                        yield pd.DataFrame({"lang": lang, "kind": kind, "bin": found, "n": counts})
 
     usable = labelled.where(F.col("lang").isin(model.languages) & F.col("text").rlike(r"\p{L}"))
-    taken = sample(usable.select("doc_id", "text", "lang"), "lang", per_language)
-    rows = taken.mapInPandas(judged, "score double, grams bigint, share double").toPandas()
+    counted = usable.select("lang", "text").mapInPandas(judged, "lang string, kind string, bin bigint, n bigint")
+    rows = counted.groupBy("lang", "kind", "bin").agg(F.sum("n").alias("n")).orderBy("kind", "bin", "lang").toPandas()
     if not len(rows):
         return MARGIN, SHARE
-    short = np.quantile((0.5 - rows.score) * np.sqrt(rows.grams), 0.995)
-    return float(max(0.0, SLACK * short)), float(np.quantile(rows["share"], 0.01) / SLACK)
+
+    def quantile(kind: str, part: float) -> float:
+        some = rows[rows.kind == kind]
+        weight = (some.n / some.groupby("lang").n.transform("sum")).cumsum().to_numpy()
+        return some.bin.to_numpy()[np.searchsorted(weight, part * weight[-1])] / BINS
+
+    return float(SLACK * quantile("short", 0.995)), float(quantile("share", 0.01) / SLACK)
 
 
 def keep_identified(docs: DataFrame, model: Model, least: float, text: str = "text", margin: float = 0.0,

@@ -42,6 +42,44 @@ def test_language_held_out_accuracy_and_brute_force(llm, spoken):
     assert np.allclose(model.scores(texts)[:, 0], want, atol=1e-5)
 
 
+def test_language_learns_from_every_row(llm):
+    """Machines and limits as from plain numpy over all rows, more of them than any sample had."""
+    rng = random.Random(2)
+    langs = ["xa"] * 1300 + ["xb"] * 1100 + ["xc"] * 5
+    rows = [(i, speak(rng, lang, rng.randint(2, 6)), lang) for i, lang in enumerate(langs)]
+    df = llm.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(7)
+    model = language.fit(df)
+    marks = [np.unique(language.present(r.text)) for r in language.sample(df, "lang", language.LANDMARKS_PER_LANGUAGE).orderBy("lang", "_n").collect()]
+    flags = np.zeros((2, len(rows), 1 << language.GRAM_BITS), np.float32)
+    for side, sets in zip(flags, (marks, [language.present(t) for _, t, _ in rows])):
+        for i, s in enumerate(sets):
+            side[i, s] = 1 / np.sqrt(len(s))
+    marked, every = flags[0, :len(marks)], flags[1]
+    values, vectors = np.linalg.eigh((marked @ marked.T).astype(float))
+    half = vectors[:, values > 1e-8 * values[-1]] / np.sqrt(values[values > 1e-8 * values[-1]])
+    x, names = (every @ marked.T) @ half, np.array(langs)
+    for c, lang in enumerate(["xa", "xb", "xc"]):
+        share = np.where(names == lang, 0.5 / (names == lang).sum(), 0.5 / (names != lang).sum())
+        beta = np.linalg.solve((x * share[:, None]).T @ x + language.RIDGE * np.eye(x.shape[1]), (x * share[:, None]).T @ np.where(names == lang, 1.0, -1.0))
+        assert np.allclose(model.weights[:, c], marked.T @ (half @ beta), atol=1e-4)
+
+    margin, share = language.limits(df.where("lang <> 'xc'"), model)
+    judged = {}
+    for _, t, lang in rows:
+        words = t.split()
+        for part in [t] + [" ".join(words[len(words) // 2:][:n]) for n in (1, 2, 3, 5, 10, 20)]:
+            s, sizes, known = model.judge([part])
+            judged.setdefault(lang, []).append((max(0, -s.max() / 2) * np.sqrt(sizes[0]), known[0]))
+    pairs = [(v, 1 / len(judged[lang])) for lang in ("xa", "xb") for v in judged[lang]]
+
+    def quantile(k, part):
+        order = sorted((v[k], w) for v, w in pairs)
+        return order[np.searchsorted(np.cumsum([w for _, w in order]), part * 2)][0]
+
+    assert abs(margin / language.SLACK - quantile(0, 0.995)) < 0.002
+    assert abs(share * language.SLACK - quantile(1, 0.01)) < 0.002
+
+
 def test_language_of_odd_rows(llm, odd, none):
     assert language.learn_and_predict(none).count() == 0
     unlabelled = language.learn_and_predict(odd.selectExpr("*", "cast(null AS string) AS lang")).collect()
