@@ -228,22 +228,30 @@ def price_points(observations: DataFrame) -> DataFrame:
     return to_table_types(observations.where(is_ok())).select(*PRICE_POINT.names)
 
 
-def revised_price_events(stored: DataFrame, arrived: DataFrame, hot_key_rows: int = HOT_KEY_ROWS) -> tuple[DataFrame, DataFrame]:
-    """What new price points change: (points whose stored event no longer holds, events that hold instead).
+def fresh_points(stored: DataFrame, arrived: DataFrame) -> DataFrame:
+    """The price points that are not stored yet, each once."""
+    return not_in(arrived.distinct(), stored, PRICE_POINT.names).select(*PRICE_POINT.names)
+
+
+def touched_points(stored: DataFrame, fresh: DataFrame, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """The price points whose event new points change, with the point before them: the new ones and those right after one.
 
     Each new point stands between the stored point before it and the one after
     it, wherever in time that is: it may make an event of its own, and it takes
     the place of the predecessor of the point after it, whose old event goes.
-    ``stored`` must hold, of every listing in ``arrived``, all points from the
+    ``stored`` must hold, of every listing in ``fresh``, all points from the
     last one before its first new point on (more do no harm). A fetch time holds
-    one point of a listing; points that are stored already change nothing.
+    one point of a listing.
     """
-    fresh = not_in(arrived.distinct(), stored, PRICE_POINT.names)
     points = stored.select(*PRICE_POINT.names, F.lit(False).alias("is_new")).unionByName(
         fresh.select(*PRICE_POINT.names, F.lit(True).alias("is_new")))
     timed = points.select("listing_id", "fetched_at", F.struct("price_kzt", "is_new").alias("point"))
     chained = previous_value(timed, "listing_id", "fetched_at", "point", "before", hot_key_rows)
-    touched = chained.where(F.col("point.is_new") | F.coalesce(F.col("before.is_new"), F.lit(False)))
+    return chained.where(F.col("point.is_new") | F.coalesce(F.col("before.is_new"), F.lit(False)))
+
+
+def revised_price_events(touched: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What touched points change: (points whose stored event no longer holds, events that hold instead)."""
     gone = touched.where(~F.col("point.is_new")).select("listing_id", F.col("fetched_at").alias("event_ts"))
     events = touched.where(price_changed(F.col("before.price_kzt"), F.col("point.price_kzt"))).select(
         "listing_id", F.col("fetched_at").alias("event_ts"), F.col("before.price_kzt").alias("old_price_kzt"),

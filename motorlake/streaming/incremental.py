@@ -96,9 +96,9 @@ def merge_price_points(commit: Commit, arrived: DataFrame, last: DataFrame) -> t
         timeline = commit.read("price_points", S.PRICE_POINT, buckets).join(ids, "listing_id", "left_semi")
         stored = stored.join(ids, "listing_id", "left_anti").unionByName(timeline)
     stored = staged(stored, "stored-points")
-    gone, events = S.revised_price_events(stored, arrived)
-    gone, events = (staged(gone, "gone"), staged(events, "events")) if buckets else (gone.limit(0), staged(events, "events"))
-    commit.append("price_points", new_keys_only(stored, arrived.distinct(), S.PRICE_POINT.names), bucket)
+    fresh = staged(S.fresh_points(stored, arrived), "fresh-points")
+    gone, events = S.revised_price_events(staged(S.touched_points(stored, fresh), "touched-points"))
+    commit.append("price_points", fresh, bucket)
 
     day = F.to_date("event_ts")
     anew = _distinct(gone, day) if buckets else []
@@ -133,12 +133,21 @@ def _moved(met: DataFrame, new: DataFrame) -> DataFrame:
     return both.where((F.col("first_seen_at") < F.col("_first")) | (F.col("now_keyed") & ~F.col("_keyed"))).select("listing_id")
 
 
+def keep_valid(commit: Commit, observations: DataFrame) -> DataFrame:
+    """The usable rows of a micro-batch; the others go to ``rejected``.
+
+    A micro-batch is read whole whatever is asked of it, so it is read once; of
+    the copy a question reads its own columns.
+    """
+    valid, rejected = S.split_valid(staged(observations, "arrived"))
+    if not rejected.isEmpty():
+        commit.append("rejected", rejected)
+    return valid
+
+
 def merge_silver(commit: Commit, observations: DataFrame) -> list:
     """Current state, snapshots and price events of one micro-batch; returns the snapshot days whose facts change."""
-    valid, rejected = S.split_valid(observations)
-    commit.append("rejected", rejected)
-    valid = staged(valid, "arrived")
-
+    valid = keep_valid(commit, observations)
     summary = staged(S.listing_summary(valid), "listings")
     met, new = merge_buckets(commit, "current", S.CURRENT_STATE, summary, S.upsert_current_state)
     last = S.known_listings(met).select("listing_id", F.col("last_seen_at").alias("fetched_at"), "price_kzt")

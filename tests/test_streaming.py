@@ -10,7 +10,7 @@ from motorlake.checks import bindings as B
 from motorlake.operators.lag import previous_value, segments
 from motorlake.plans import silver as S
 from motorlake.schemas import FACT_LISTING_DAILY, FACT_PRICE_EVENT, LAKE, PRICE_EVENT
-from motorlake.session import scratch_path
+from motorlake.session import scratch_path, staged
 from motorlake.streaming import incremental as R
 from motorlake.streaming.store import ERA, MOST_FOLDERS, LakeStore
 from pyspark.sql.types import LongType, StructField, StructType
@@ -128,6 +128,29 @@ def test_prices_in_any_order_make_the_same_events(spark, store, seed):
     assert rows(store.read("price_points", S.PRICE_POINT)) == rows(whole)
 
 
+def test_a_batch_is_read_once_and_its_unusable_rows_kept(spark, store):
+    whole = B.records(B.Tables(spark, SMALL)).limit(60).withColumn("listing_id", F.when(F.col("fetched_at").cast("long") % 2 == 0, F.col("listing_id")))
+    whole, read = staged(whole, "batch"), spark.sparkContext.accumulator(0)
+    usable, broken = S.split_valid(whole)
+    assert usable.count() and broken.count()
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    commit = store.begin("s", 0)
+    R.merge_silver(commit, whole.mapInArrow(counted, whole.schema))
+    commit.close()
+    assert read.value == 60
+    assert rows(store.read("rejected", whole.schema)) == rows(broken)
+    assert rows(R.current(store)) == rows(S.from_history(spark, whole).current)
+    commit = store.begin("s", 1)
+    R.merge_silver(commit, usable)  # nothing to reject: nothing is written for it
+    commit.close()
+    assert rows(store.read("rejected", whole.schema)) == rows(broken) and len(store.folders("rejected")["all"]) == 1
+
+
 def test_failed_and_repeated_stream_batch(spark, store, monkeypatch):
     t = B.Tables(spark, SMALL)
     whole, days = B.records(t).cache(), B.calendar(t)
