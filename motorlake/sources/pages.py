@@ -70,14 +70,21 @@ def write_page_objects(pages: DataFrame, path: str) -> None:
     """One gzipped text file per page, keyed ``YYYY/MM/DD/{id}_{HHMMSS}``.
 
     The partition columns carry the key, the text writer compresses the page.
+    Creating an object costs far more than moving its page, so pages are dealt
+    to all tasks first, and each task puts its objects in place itself
+    (committer version 2) instead of leaving all of them to the driver at the
+    end. An object's name follows from its key and task, so a repeated task
+    writes over its own; a failed run may leave objects, as any object store does.
     """
+    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        pages.select(
+        pages.repartition(tasks, "listing_id", "fetched_at").select(
             F.date_format("fetched_at", "yyyy-MM-dd").alias("day"),
             F.concat(F.col("listing_id").cast("string"), F.date_format("fetched_at", "_HHmmss")).alias("object"),
             F.col("html").alias("value"),
         )
-        .write.partitionBy("day", "object").mode("append").option("compression", "gzip").text(path)
+        .write.partitionBy("day", "object").mode("append").option("compression", "gzip")
+        .option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(path)
     )
 
 

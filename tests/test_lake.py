@@ -191,3 +191,12 @@ def test_calendar_grows_to_the_snapshots(spark, lake):
     with_, without = dropped(days), dropped(gold.dim_date)
     assert "day outside the calendar" not in with_
     assert sum(without.values()) == 5 and without.get("day outside the calendar", 0) == 5 - sum(with_.values())
+
+
+def test_page_objects_are_written_by_all_tasks(spark):
+    path = scratch_path(spark, "objects")
+    pages = spark.range(40).coalesce(1).selectExpr("id AS listing_id", "timestamp_seconds(1706572800 + id) AS fetched_at", "concat('<p>', id, '\n') AS html")
+    P.write_page_objects(pages, path)
+    names = [r[0] for r in spark.read.text(path, recursiveFileLookup=True).select("_metadata.file_name").distinct().collect()]
+    assert len({n.split("-")[1] for n in names}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert rows(P.read_page_objects(spark, path)) == rows(pages)
