@@ -30,6 +30,8 @@ BATCH_SHINGLES = 500_000
 #: Shingles that the digests leave out, at most (8 bytes each), and the fewest documents that make one common.
 COMMON_SHINGLES = 200_000
 COMMON_DOCUMENTS = 20
+#: Sets that a task remembers, so as not to send the digests of a set again (about 100 bytes each).
+SEEN_SETS = 200_000
 #: A list of documents to be searched for may be broadcast up to this many rows (about 40 bytes each).
 BROADCAST_ROWS = 500_000
 
@@ -139,14 +141,20 @@ def _common(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def _digests(docs: DataFrame, width: int, num: int, den: int, common: np.ndarray) -> DataFrame:
-    """The part digests of one document for each set."""
+    """The part digests of every set, once for each task that meets it: texts are read where they are, not shuffled."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
+    seen: set[int] = set()  # each task has its own
 
     def make(key, text):
         s = shingle_set(word_hashes(text), width)
-        if len(s) and set_id(s) == key[1] and (found := part_digests(s, num, den, shared.value)):
+        if not len(s) or (own := set_id(s)) in seen:
+            return
+        if len(seen) >= SEEN_SETS:
+            seen.clear()
+        seen.add(own)
+        if found := part_digests(s, num, den, shared.value):
             d = np.concatenate(found).view(np.int64)
-            yield (key[1], d), 8 * len(d)
+            yield (own, d), 8 * len(d)
 
     return _per_text(docs, make, "set_id bigint, digests array<bigint>")
 
@@ -299,7 +307,7 @@ def link_documents(docs: DataFrame, width: int = 5, num: int = 80, den: int = 10
     sets = narrow.where(F.col("n") > 0).groupBy("set_id").agg(
         F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"))
 
-    digests = _digests(_joined(rows, sets.select("doc_id", "set_id")).select("doc_id", "set_id", "text"), width, num, den, _common(rows, width))
+    digests = _digests(rows, width, num, den, _common(rows, width))
     stars = _stars(digests.select("set_id", F.explode("digests").alias("digest")))
     blocks = components(stars)
     members = staged(sets.join(blocks.withColumnRenamed("node", "set_id"), "set_id"), "members")

@@ -109,3 +109,21 @@ def test_words_of_regular_letters_do_not_meet(llm):
     rows = [(1, f"x y {a}"), (2, f"x y {b}"), (3, "x y " + a[:-1] + "c")]
     got = ngram_join.link_documents(llm.createDataFrame(rows, "doc_id bigint, text string"), width=3, num=90, den=100)
     assert {r.doc_id: (r.component_id, r.n_links) for r in got.collect()} == {i: (i, 0) for i in (1, 2, 3)}
+
+
+def test_links_of_more_documents_than_are_broadcast(llm, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(ngram_join, "SEEN_SETS", 5)
+    rows = corpus(7) + [(1000 + i, "one text in many copies of itself") for i in range(30)]
+    df = llm.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = sorted(map(tuple, ngram_join.link_documents(df, 3, 80, 100).collect()), key=repr)
+    assert got == brute(rows, 3, 80, 100)
+
+
+def test_texts_are_not_shuffled_for_their_digests(llm, monkeypatch):
+    read = []
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(ngram_join, "_stars", lambda digests, f=ngram_join._stars: read.append(digests) or f(digests))
+    ngram_join.link_documents(llm.range(9).selectExpr("id AS doc_id", "concat('a b c d e ', id % 3) AS text")).count()
+    text = read[0]._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in text and "Exchange" not in text and "Join" not in text

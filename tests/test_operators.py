@@ -138,3 +138,20 @@ def test_redaction(spark):
     df = spark.createDataFrame([("postgresql://me:s3cret@h/db TOKEN: 'abc' x",), ("",), (None,)], "m string")
     got = [r[0] for r in df.select(redact_secrets(F.col("m"))).collect()]
     assert got == ['postgresql://me:***@h/db TOKEN="***"\' x', "", None]
+
+
+def test_a_staged_table_leaves_no_shuffle_files(spark):
+    import time
+
+    from motorlake.session import staged
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {n for n in disk.getAllFiles().mkString("\n").split() if "/shuffle_" in n}
+    before, setting = held(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    kept = spark.range(1000).repartition(3, "id")
+    table = staged(kept.groupBy("id").count(), "counts")
+    until = time.time() + 5
+    while held() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not held() - before and table.count() == kept.count() == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
