@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from motorlake.functions.text import capture, page_object_key, sha256_hex
 from motorlake.session import staged, table_exists
+from motorlake.sources.objects import is_folder, local_folder, read_objects, write_objects
 
 #: Listings that the Bloom filter of a file is laid out for (about 1 MB; files hold whole pages, so few reach it).
 BLOOM_LISTINGS = 100_000
@@ -69,21 +70,25 @@ def stored_page(spark: SparkSession, path: str, listing_id: int, fetched_at=None
 def write_page_objects(pages: DataFrame, path: str) -> None:
     """One gzipped text file per page, keyed ``YYYY/MM/DD/{id}_{HHMMSS}``.
 
-    The partition columns carry the key, the text writer compresses the page.
-    Creating an object costs far more than moving its page, so pages are dealt
-    to all tasks first, and each task puts its objects in place itself
-    (committer version 2) instead of leaving all of them to the driver at the
-    end. An object's name follows from its key and task, so a repeated task
-    writes over its own; a failed run may leave objects, as any object store does.
+    The partition columns carry the key, and pages are dealt to all tasks first.
+    Creating an object costs far more than moving its page: in a folder that
+    tasks can open as files they write them so; in any other store the text
+    writer does, each task putting its objects in place itself (committer
+    version 2) instead of leaving all of them to the driver at the end. An
+    object's name follows from its key and task, so a repeated task writes over
+    its own; a failed run may leave objects, as any object store does.
     """
-    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = pages.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = pages.repartition(tasks, "listing_id", "fetched_at").select(
+        F.date_format("fetched_at", "yyyy-MM-dd").alias("day"),
+        F.concat(F.col("listing_id").cast("string"), F.date_format("fetched_at", "_HHmmss")).alias("object"),
+        F.col("html").alias("value"),
+    )
+    if folder := local_folder(spark, path):
+        return write_objects(rows, path, folder)
     (
-        pages.repartition(tasks, "listing_id", "fetched_at").select(
-            F.date_format("fetched_at", "yyyy-MM-dd").alias("day"),
-            F.concat(F.col("listing_id").cast("string"), F.date_format("fetched_at", "_HHmmss")).alias("object"),
-            F.col("html").alias("value"),
-        )
-        .write.partitionBy("day", "object").mode("append").option("compression", "gzip")
+        rows.write.partitionBy("day", "object").mode("append").option("compression", "gzip")
         .option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(path)
     )
 
@@ -92,11 +97,17 @@ def read_page_objects(spark: SparkSession, *paths: str) -> DataFrame:
     """Raw page objects with the id and fetch time taken from their path.
 
     Accepts both ``YYYY/MM/DD/{id}_{HHMMSS}.html.gz`` keys and the partition
-    layout of ``write_page_objects``; gzip is transparent to the reader.
+    layout of ``write_page_objects``; gzip is transparent to the reader. The
+    objects are those there at the call. Folders that tasks can open as files
+    are listed and read by tasks, any other store by Spark's reader.
     """
-    files = spark.read.text(list(paths), wholetext=True, recursiveFileLookup=True).select(
-        F.col("value"), F.col("_metadata.file_path").alias("path")
-    )
+    folders, files = [local_folder(spark, p) for p in paths], None
+    if all(folders) and all(is_folder(spark, p) for p in paths):
+        files = read_objects(spark, folders)
+    if files is None:
+        files = spark.read.text(list(paths), wholetext=True, recursiveFileLookup=True).select(
+            F.col("value"), F.col("_metadata.file_path").alias("path")
+        )
     # The text writer ends each of its files with a line feed that is not the page's.
     written = F.col("path").contains("object=")
     page = F.when(written, F.regexp_replace("value", r"\n\z", "")).otherwise(F.col("value"))

@@ -200,3 +200,38 @@ def test_page_objects_are_written_by_all_tasks(spark):
     names = [r[0] for r in spark.read.text(path, recursiveFileLookup=True).select("_metadata.file_name").distinct().collect()]
     assert len({n.split("-")[1] for n in names}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert rows(P.read_page_objects(spark, path)) == rows(pages)
+
+
+def test_page_objects_are_files_that_tasks_write_and_read(spark, monkeypatch):
+    import os
+    from conftest import ts
+    at = ts("2024-01-02 03:04:05")
+    pages = spark.createDataFrame(
+        [(7, at, "<p>a\nb</p>\n"), (7, at, "<p>a\nb</p>\n"), (-8, at, "ы"), (9, at, None), (10, at, ""), (None, at, "x"), (None, at, "x"), (11, None, "y"), (None, None, None),
+         (12, ts("2024-01-03 00:00:00"), "\n")], "listing_id long, fetched_at timestamp, html string")
+    path, other, empty = (scratch_path(spark, "objects") for _ in range(3))
+    P.write_page_objects(pages, path)
+    names = [n for _, _, files in os.walk(path.removeprefix("file:")) for n in files if "_SUCCESS" not in n]
+    assert len(names) >= 7 and all(n.startswith("part-") and n.endswith(".txt.gz") for n in names)  # no checksum beside each
+    got = P.read_page_objects(spark, path)
+    assert "FileScan text" not in plan(got) and "MapInArrow" in plan(got)
+    P.write_page_objects(pages.limit(0), empty)
+    assert P.read_page_objects(spark, empty).count() == 0 and P.read_page_objects(spark, path, empty).count() == len(names)
+    monkeypatch.setattr(P, "local_folder", lambda spark, path: None)  # a store that only Spark reaches
+    P.write_page_objects(pages, other)
+    want = P.read_page_objects(spark, other)
+    assert "FileScan text" in plan(want) and rows(want) == rows(got) == rows(P.read_page_objects(spark, path))
+    assert {(7, "<p>a\nb</p>\n\n<p>a\nb</p>\n"), (9, ""), (10, ""), (12, "\n")} < {(r.listing_id, r.html) for r in got.collect()}
+
+
+def test_page_objects_packed_in_other_ways(spark, tmp_path):
+    import bz2
+    folder = tmp_path / "2024" / "01" / "02"
+    folder.mkdir(parents=True)
+    (folder / "42_030405.html").write_text("plain")
+    (folder / "_43_030405.html").write_text("hidden")
+    (folder / "44_030405.html").write_text("")
+    assert rows(P.read_page_objects(spark, str(tmp_path)).select("listing_id", "html")) == [(42, "plain")]
+    (folder / "45_030405.html.bz2").write_bytes(bz2.compress(b"packed"))
+    assert rows(P.read_page_objects(spark, str(tmp_path)).select("listing_id", "html")) == [(42, "plain"), (45, "packed")]
+    assert P.read_page_objects(spark, f"{tmp_path}/2024/*").count() == 2
